@@ -20,12 +20,14 @@ MILESTONES = [18.0, 17.0, 16.0, 15.0]
 MAG_UNKNOWN = 99.0
 
 
-def build_map(entries: list[tuple[str, Column]], value_type: str) -> Column:
-    """map<string, value_type> of the entries whose value is not NULL (no shuffle, no UDF)."""
-    items = F.array(*[
-        F.struct(F.lit(k).alias("k"), v.cast(value_type).alias("v")) for k, v in entries
-    ])
-    return F.map_from_entries(F.filter(items, lambda e: e["v"].isNotNull()))
+# Set on band map columns that cannot hold a missing or non-finite value.
+FINITE_VALUES = {"finite_values": True}
+
+
+def build_map(entries: list[tuple[str, str]], value_type: str) -> Column:
+    """map<string, value_type> of the (key, SQL expression) entries whose value is not NULL (no shuffle, no UDF)."""
+    items = ", ".join(f"struct('{k}' AS k, CAST({v} AS {value_type}) AS v)" for k, v in entries)
+    return F.expr(f"map_from_entries(filter(array({items}), e -> e.v IS NOT NULL))")
 
 
 def empty_map(value_type: str) -> Column:

@@ -18,8 +18,9 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 def is_finite(value: Column) -> Column:
     """True for a number that is neither NULL, NaN nor infinite (never NULL itself)."""
+    # NaN sorts above every number, so two comparisons settle it.
     v = value.cast("double")
-    return v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
+    return F.coalesce((v > float("-inf")) & (v < float("inf")), F.lit(False))
 
 
 def flux_to_mag(flux: Column) -> Column:

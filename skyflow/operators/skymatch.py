@@ -139,13 +139,16 @@ def sky_resolve_batch(
     points = stage.select("stage_row", "ra", "dec")
     if n_rows is None:
         n_rows = points.count()
-    hit = materialize(
-        sky_match_nearest(
-            points, objects, radius_deg=radius_deg, known_rows=n_rows, rows_per_task=rows_per_task
-        ).select("stage_row", "object_id"),
-        "matched",
-    )
-    n_todo = n_rows - hit.count()
+    if objects.isEmpty():
+        hit, n_todo = points.select("stage_row", F.lit(0).cast("long").alias("object_id")).filter(F.lit(False)), n_rows
+    else:
+        hit = materialize(
+            sky_match_nearest(
+                points, objects, radius_deg=radius_deg, known_rows=n_rows, rows_per_task=rows_per_task
+            ).select("stage_row", "object_id"),
+            "matched",
+        )
+        n_todo = n_rows - hit.count()
     todo = points
     if 0 < n_todo < n_rows:
         todo = materialize(points.join(hit, "stage_row", "left_anti"), "unmatched")
@@ -160,11 +163,8 @@ def sky_resolve_batch(
         n_leaders = found.count()
         if n_leaders == 0:
             raise RuntimeError("staged rows left unmatched: check ra/dec")
-        leaders = materialize(
-            with_row_index(
-                found, [F.col("stage_row")], "object_id", known_rows=n_leaders, start=next_object_id + n_new
-            ),
-            "new-ids",
+        leaders = with_row_index(
+            found, [F.col("stage_row")], "object_id", known_rows=n_leaders, start=next_object_id + n_new
         )
         n_new += n_leaders
         match_pass = F.lit(n_passes).alias("match_pass")

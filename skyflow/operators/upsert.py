@@ -10,16 +10,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.bands import merge_band_maps
 from ..functions.scalars import NAMES_PER_YEAR, base26_name, parse_base26
 from ..schemas import CONTRACT_COLUMNS, OBJECTS
-from .numbering import with_row_index
+from .numbering import write_row_index
 
 
-def stage_contract(valid: DataFrame, *order: Column, known_rows: int | None = None) -> DataFrame:
+def stage_contract(valid: DataFrame, *order: Column) -> tuple[DataFrame, int]:
     """
-    The ten contract columns plus stage_row 0..n-1. The order decides who leads and who gets the lower
-    id; newest first, then native id, unless another total order is given.
+    The ten contract columns plus stage_row 0..n-1, written out, and n. The order decides who leads and
+    who gets the lower id; newest first, then native id, unless another total order is given.
     """
     order = list(order) or [F.col("jdmax").desc(), F.col("native_id"), F.col("survey_id")]
-    return with_row_index(valid, order, "stage_row", known_rows).select("stage_row", *CONTRACT_COLUMNS)
+    staged, n = write_row_index(valid, order, "stage_row")
+    return staged.select("stage_row", *CONTRACT_COLUMNS), n
 
 
 def insert_if_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

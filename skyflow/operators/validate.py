@@ -13,9 +13,14 @@ _MAPS = ("latest_filter", "latest_mag", "n_sources")
 
 
 def _map_problem(df: DataFrame, name: str) -> Column:
-    """Why a band map is refused, or NULL. Text is parsed as JSON; real maps only need finite values."""
+    """
+    Why a band map is refused, or NULL. Text is parsed as JSON; real maps only need finite values,
+    and maps that a survey plugin built without others (column metadata) need no look at all.
+    """
     bad_values = F.lit(f"{name} has non-finite values")
     if isinstance(df.schema[name].dataType, T.MapType):
+        if df.schema[name].metadata.get("finite_values"):
+            return F.lit(None).cast("string")
         finite = F.forall(F.map_values(F.col(name)), is_finite)
         return F.when(F.col(name).isNull(), F.lit(f"{name} is not JSON")).when(~finite, bad_values)
     parsed = json_variant(F.col(name))

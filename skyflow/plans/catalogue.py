@@ -54,13 +54,15 @@ def _flat_objects(df: DataFrame) -> DataFrame:
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every alert of both surveys as a contract row with its event_id."""
     ev = A.events(spark, sf_dir)
-    lsst = normalize.normalize_lsst(A.lsst_raw(ev), A.PIPELINE_LSST, ["event_id"])
-    ztf = normalize.normalize_ztf(A.ztf_raw(ev), A.PIPELINE_ZTF, ["event_id"])
-    return lsst.unionByName(ztf)
+    return normalize.normalize_lsst(A.lsst_raw(ev), A.PIPELINE_LSST, ["event_id"]).unionByName(
+        normalize.normalize_ztf(A.ztf_raw(ev), A.PIPELINE_ZTF, ["event_id"]))
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.validate_alerts(_alerts(spark, sf_dir), A.NOW_MJD)
+    ev = A.events(spark, sf_dir)
+    lsst = normalize.normalize_lsst(A.lsst_raw(ev), A.PIPELINE_LSST, ["event_id"])
+    ztf = normalize.normalize_ztf(A.ztf_raw(ev), A.PIPELINE_ZTF, ["event_id"])
+    return validate.validate_alerts(lsst, A.NOW_MJD).unionByName(validate.validate_alerts(ztf, A.NOW_MJD))
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +180,7 @@ def multi_survey_ingest_query(spark, sf_dir):
 @query
 def stage_contract(spark, sf_dir):
     order = [F.col("jdmax").desc(), F.col("event_id")]
-    return _flat_contract(upsert.stage_contract(_valid(spark, sf_dir), *order))
+    return _flat_contract(upsert.stage_contract(_valid(spark, sf_dir), *order)[0])
 
 
 @query
@@ -416,13 +418,15 @@ def _points(df: DataFrame) -> DataFrame:
 @query
 def sky_match_nearest(spark, sf_dir):
     """Every valid alert against the objects made from the early batch."""
-    found = skymatch.sky_match_nearest(_points(_staged(spark, sf_dir)), _objects(spark, sf_dir).select("object_id", "ra", "dec"))
+    points = materialize(_points(_staged(spark, sf_dir)), "points")
+    objects = materialize(_objects(spark, sf_dir).select("object_id", "ra", "dec"), "objects")
+    found = skymatch.sky_match_nearest(points, objects)
     return found.select("stage_row", "object_id", F.round("separation_arcsec", 6).alias("separation_arcsec"))
 
 
 def _ordered_points(spark, sf_dir) -> DataFrame:
-    staged = upsert.stage_contract(_valid(spark, sf_dir), F.col("jdmax").desc(), F.col("event_id"))
-    return materialize(staged.select("stage_row", "ra", "dec"), "points")
+    staged, _ = upsert.stage_contract(_valid(spark, sf_dir), F.col("jdmax").desc(), F.col("event_id"))
+    return staged.select("stage_row", "ra", "dec")
 
 
 @query
@@ -579,8 +583,8 @@ def unmatched_hosts(spark, sf_dir):
 
 @query
 def host_crossmatch(spark, sf_dir):
-    matched = hosts.host_crossmatch(
-        _objects(spark, sf_dir).select("object_id", "ra", "dec"), A.galaxies(spark, sf_dir), 10.0)
+    objects = materialize(_objects(spark, sf_dir).select("object_id", "ra", "dec"), "objects")
+    matched = hosts.host_crossmatch(objects, A.galaxies(spark, sf_dir), 10.0)
     return matched.select("object_id", "host_name", F.round("separation_arcsec", 6).alias("separation_arcsec"), "rank")
 
 
@@ -700,7 +704,7 @@ def event_span(spark, sf_dir):
 @query
 def band_map_build(spark, sf_dir):
     ev = A.lsst_raw(A.events(spark, sf_dir))
-    made = B.build_map([(b, F.col(f"{b}_psfFlux")) for b in A.BANDS], "double")
+    made = B.build_map([(b, f"{b}_psfFlux") for b in A.BANDS], "double")
     return ev.select("event_id", F.explode(made).alias("band", "flux"))
 
 
@@ -756,7 +760,7 @@ def request_batches(spark, sf_dir):
 @query
 def assign_ids_names(spark, sf_dir):
     """A new object per valid alert, continuing after 17,570 names of the same year: three and four letters."""
-    staged = upsert.stage_contract(_valid(spark, sf_dir), F.col("jdmax").desc(), F.col("event_id"))
+    staged, _ = upsert.stage_contract(_valid(spark, sf_dir), F.col("jdmax").desc(), F.col("event_id"))
     leaders = staged.select("stage_row", (F.col("stage_row") + 17_571).alias("object_id"))
     state = upsert.NameState(17_571, 17_570, "SKY", "24")
     return upsert.assign_names(leaders, state).select("stage_row", "object_id", "name")
@@ -871,8 +875,8 @@ def scalar_parse_band_map(spark, sf_dir):
 @query
 def scalar_merge_bands(spark, sf_dir):
     raw = normalize.normalize_lsst(A.lsst_raw(A.events(spark, sf_dir)), 1, ["event_id"])
-    stored = B.build_map([("g_lsst", F.lit(20.0)), ("r_lsst", F.lit(21.0))], "double")
-    stored_mjd = B.build_map([("g_lsst", F.lit(60320.0)), ("r_lsst", F.lit(60312.0))], "double")
+    stored = B.build_map([("g_lsst", "20.0"), ("r_lsst", "21.0")], "double")
+    stored_mjd = B.build_map([("g_lsst", "60320.0"), ("r_lsst", "60312.0")], "double")
     merged = B.merge_band_maps(stored, stored_mjd, F.col("latest_mag"), F.col("latest_filter"))
     return raw.select("event_id", merged.alias("m")).select(
         "event_id", *[F.try_element_at("m", F.lit(f"{b}_lsst")).alias(f"{b}_lsst") for b in A.BANDS])

@@ -48,7 +48,7 @@ class IngestParams:
 
 @dataclass
 class IngestResult:
-    """The state after the batch (written out), and what the batch did."""
+    """The state after the batch (its objects written out), and what the batch did."""
 
     state: SkyState
     staged: DataFrame
@@ -103,16 +103,14 @@ def ingest_batch(state: SkyState, contract: DataFrame, params: IngestParams) ->
     Nothing of the given state changes; the caller makes the returned state current.
     """
     rejects = alert_rejects(contract, params.now_mjd)
-    stage = materialize(stage_contract(validate_alerts(contract, params.now_mjd)), "stage")
+    stage, n_rows = stage_contract(validate_alerts(contract, params.now_mjd))
     names = name_state(state.objects, params.name_prefix, year_of(params.now))
     resolution = sky_resolve_batch(
-        stage, state.objects.select("object_id", "ra", "dec"), names.next_object_id, params.radius_deg
+        stage, state.objects.select("object_id", "ra", "dec"), names.next_object_id, params.radius_deg, n_rows
     )
     check_names_left(names, resolution.n_new)
     staged = materialize(stage.join(resolution.assignments, "stage_row"), "staged")
-    created = materialize(
-        create_objects(stage, assign_names(resolution.leaders, names), params.now_column), "created"
-    )
+    created = create_objects(stage, assign_names(resolution.leaders, names), params.now_column)
     changes = materialize(
         upsert_objects(state.objects.unionByName(created), staged, params.now_column), "objects"
     )
@@ -122,9 +120,9 @@ def ingest_batch(state: SkyState, contract: DataFrame, params: IngestParams) ->
     events = batch_events(staged, created, updated_minus_new(changes, created), new_selections, params)
     new_state = SkyState(
         objects=changes.select(*OBJECTS.names),
-        native_names=materialize(native, "names"),
-        selections=materialize(selections, "selections"),
-        nights=materialize(nights, "nights"),
+        native_names=native,
+        selections=selections,
+        nights=nights,
     )
     return IngestResult(new_state, staged, created, changes, events, rejects, resolution)
 
