@@ -116,10 +116,14 @@ def upsert_objects(objects: DataFrame, staged: DataFrame, now: Column) -> DataFr
     span = batch_span_per_object(staged).select(
         "object_id", F.col("jdmin").alias("n_jdmin"), F.col("jdmax").alias("n_jdmax")
     )
-    rows = objects.join(span.join(newest, "object_id"), "object_id", "left")
+    # The stored dates under a name of their own: inside a lambda, `latest_mjd` would mean the column of
+    # that name in the select below, that is, the dates already merged.
+    rows = objects.withColumn("_stored_mjd", F.col("latest_mjd")).join(
+        span.join(newest, "object_id"), "object_id", "left"
+    )
     touched = F.col("n_jdmax").isNotNull()
     is_new = F.coalesce(F.col("n_jdmax") > F.col("jdmax"), F.lit(False))
-    old_mjd, new_mjd = F.col("latest_mjd"), F.col("n_mjd")
+    old_mjd, new_mjd = F.col("_stored_mjd"), F.col("n_mjd")
 
     def merged(name: str, new: str) -> Column:
         return F.when(touched, merge_band_maps(F.col(name), old_mjd, F.col(new), new_mjd)).otherwise(F.col(name))

@@ -898,8 +898,8 @@ def scalar_payload_unpack(spark, sf_dir):
 
 @query
 def scalar_band_label(spark, sf_dir):
-    band = F.concat(F.coalesce(F.element_at(F.array(*[F.lit(b) for b in A.BANDS]), F.when(F.col("k") >= 0, (F.col("k") + 1).cast("int"))), F.lit("u")),
-                    F.when(F.col("survey_id") == 1, F.lit("_lsst")).otherwise(F.lit("_ztf")))
+    letter = F.expr("CASE k WHEN 0 THEN 'g' WHEN 1 THEN 'r' WHEN 2 THEN 'i' WHEN 3 THEN 'z' ELSE 'u' END")
+    band = F.concat(letter, F.when(F.col("survey_id") == 1, F.lit("_lsst")).otherwise(F.lit("_ztf")))
     return A.events(spark, sf_dir).select("event_id", band.alias("band"), B.band_label(band).alias("label"))
 
 
