@@ -16,8 +16,11 @@ from .numbering import write_row_index
 def stage_contract(valid: DataFrame, *order: Column) -> tuple[DataFrame, int]:
     """
     The ten contract columns plus stage_row 0..n-1, written out, and n. The order decides who leads and
-    who gets the lower id; newest first, then native id, unless another total order is given.
+    who gets the lower id: the one given, else that of an `input_row` column where the rows have one, else
+    newest first and then by native id.
     """
+    if not order and "input_row" in valid.columns:
+        order = [F.col("input_row")]
     order = list(order) or [F.col("jdmax").desc(), F.col("native_id"), F.col("survey_id")]
     staged, n = write_row_index(valid, order, "stage_row")
     return staged.select("stage_row", *CONTRACT_COLUMNS), n

@@ -141,7 +141,7 @@ def src_alert_json(spark, sf_dir):
 
 @query
 def src_skip_malformed(spark, sf_dir):
-    messages = A.lsst_messages(A.events(spark, sf_dir))
+    messages = materialize(A.lsst_messages(A.events(spark, sf_dir)), "messages")
     skipped = alerts.skipped_messages(messages, "diaObjectId")
     return skipped.select("event_id", "skip_reason")
 

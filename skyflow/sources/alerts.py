@@ -55,32 +55,32 @@ def stream_alert_topic(
     return reader.load().select(F.col("value").cast("string").alias("value"), "partition", "offset")
 
 
+def _readable(value: Column, id_key: str) -> Column:
+    """The message is a JSON object with an id: anything else has no such path, so one look settles it."""
+    return F.try_variant_get(json_variant(value), f"$.{id_key}", "string").isNotNull()
+
+
 def message_problem(value: Column, id_key: str) -> Column:
-    """Why a message is skipped, or NULL: not JSON, no object, or no id."""
+    """Why a message that is not readable is skipped: not JSON, no object, or no id."""
     parsed = json_variant(value)
     return (
         F.when(parsed.isNull(), F.lit("not JSON"))
         .when(~F.schema_of_variant(parsed).startswith("OBJECT"), F.lit("not an object"))
-        .when(
-            F.coalesce(F.schema_of_variant(F.try_variant_get(parsed, f"$.{id_key}", "variant")), F.lit("VOID")) == "VOID",
-            F.lit(f"no {id_key}"),
-        )
+        .otherwise(F.lit(f"no {id_key}"))
     )
 
 
 def parse_alerts(messages: DataFrame, schema: T.StructType, id_key: str) -> DataFrame:
     """The readable messages as typed rows; other columns of `messages` (offsets) are kept."""
     rest = [c for c in messages.columns if c != "value"]
-    readable = messages.filter(message_problem(F.col("value"), id_key).isNull())
-    parsed = readable.select(*rest, F.from_json("value", schema).alias("_a"))
+    parsed = messages.filter(_readable(F.col("value"), id_key)).select(*rest, F.from_json("value", schema).alias("_a"))
     return parsed.select(*rest, "_a.*")
 
 
 def skipped_messages(messages: DataFrame, id_key: str) -> DataFrame:
     """The messages that are set aside, with `skip_reason`."""
-    return messages.withColumn("skip_reason", message_problem(F.col("value"), id_key)).filter(
-        F.col("skip_reason").isNotNull()
-    )
+    bad = messages.filter(~_readable(F.col("value"), id_key))
+    return bad.withColumn("skip_reason", message_problem(F.col("value"), id_key))
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:

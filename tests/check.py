@@ -15,7 +15,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.9g}") if value != int(value) or abs(value) > 1e15 else int(value)
+        return "nan" if math.isnan(value) else int(value) if value.is_integer() else value
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, int):
