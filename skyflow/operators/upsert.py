@@ -10,20 +10,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.bands import merge_band_maps
 from ..functions.scalars import NAMES_PER_YEAR, base26_name, parse_base26
 from ..schemas import CONTRACT_COLUMNS, OBJECTS
-from .numbering import write_row_index
+from .numbering import with_row_index, write_row_index
 
 
-def stage_contract(valid: DataFrame, *order: Column) -> tuple[DataFrame, int]:
+def stage_order(valid: DataFrame) -> list[Column]:
     """
-    The ten contract columns plus stage_row 0..n-1, written out, and n. The order decides who leads and
-    who gets the lower id: the one given, else that of an `input_row` column where the rows have one, else
-    newest first and then by native id.
+    The order that decides who leads and who gets the lower id: that of an `input_row` column where the
+    rows have one, else newest first and then by native id.
     """
-    if not order and "input_row" in valid.columns:
-        order = [F.col("input_row")]
-    order = list(order) or [F.col("jdmax").desc(), F.col("native_id"), F.col("survey_id")]
-    staged, n = write_row_index(valid, order, "stage_row")
-    return staged.select("stage_row", *CONTRACT_COLUMNS), n
+    if "input_row" in valid.columns:
+        return [F.col("input_row")]
+    return [F.col("jdmax").desc(), F.col("native_id"), F.col("survey_id")]
+
+
+def number_rows(valid: DataFrame, row_id: str, known_rows: int) -> DataFrame:
+    """(row_id, stage_row, ra, dec): the batch numbered 0..n-1 in stage order, without its wide columns."""
+    order = stage_order(valid)
+    keys = [c for c in ("input_row", "jdmax", "native_id", "survey_id") if c in valid.columns]
+    narrow = valid.select(row_id, "ra", "dec", *keys)
+    return with_row_index(narrow, order, "stage_row", known_rows).select(row_id, "stage_row", "ra", "dec")
+
+
+def stage_contract(valid: DataFrame, *order: Column) -> DataFrame:
+    """The ten contract columns plus stage_row 0..n-1 in stage order, or in the total order given."""
+    return write_row_index(valid, list(order) or stage_order(valid), "stage_row")[0].select("stage_row", *CONTRACT_COLUMNS)
 
 
 def insert_if_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

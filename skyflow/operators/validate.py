@@ -12,27 +12,48 @@ MJD_FLOOR = 40000.0   # fixed value: a JD or a placeholder never lies in (40000,
 _MAPS = ("latest_filter", "latest_mag", "n_sources")
 
 
+def _is_map(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.MapType)
+
+
+def _known_good(df: DataFrame, name: str) -> bool:
+    """A survey plugin built the map without missing or non-finite values (column metadata)."""
+    return _is_map(df, name) and bool(df.schema[name].metadata.get("finite_values"))
+
+
+def _finite_values(df: DataFrame, name: str) -> Column:
+    """The map, or the JSON object in the text, has finite values only; NULL or false for anything else."""
+    if _is_map(df, name):
+        return F.forall(F.map_values(F.col(name)), is_finite)
+    return F.forall(F.map_values(json_object(json_variant(F.col(name)))), lambda v: is_finite(json_number(v)))
+
+
 def _map_problem(df: DataFrame, name: str) -> Column:
+    missing = F.col(name).isNull() if _is_map(df, name) else json_variant(F.col(name)).isNull()
+    return F.when(missing, F.lit(f"{name} is not JSON")).when(
+        ~F.coalesce(_finite_values(df, name), F.lit(False)), F.lit(f"{name} has non-finite values")
+    )
+
+
+def is_valid(df: DataFrame, now_mjd: float) -> Column:
     """
-    Why a band map is refused, or NULL. Text is parsed as JSON; real maps only need finite values,
-    and maps that a survey plugin built without others (column metadata) need no look at all.
+    The row has no problem: plain comparisons, which reach the scan as pushed filters. NaN sorts above
+    every number, so the upper bounds also refuse NaN and infinity.
     """
-    bad_values = F.lit(f"{name} has non-finite values")
-    if isinstance(df.schema[name].dataType, T.MapType):
-        if df.schema[name].metadata.get("finite_values"):
-            return F.lit(None).cast("string")
-        finite = F.forall(F.map_values(F.col(name)), is_finite)
-        return F.when(F.col(name).isNull(), F.lit(f"{name} is not JSON")).when(~finite, bad_values)
-    parsed = json_variant(F.col(name))
-    values = F.map_values(json_object(parsed))
-    finite = F.forall(values, lambda v: is_finite(json_number(v)))
-    return F.when(parsed.isNull(), F.lit(f"{name} is not JSON")).when(
-        ~F.coalesce(finite, F.lit(False)), bad_values
+    ra, dec, jdmax = (F.col(c).cast("double") for c in ("ra", "dec", "jdmax"))
+    fine = (
+        F.col("native_id").isNotNull() & is_finite(F.col("survey_id")) & is_finite(F.col("pipeline_id"))
+        & (ra >= 0.0) & (ra < 360.0) & (dec >= -90.0) & (dec <= 90.0)
+        & (jdmax > MJD_FLOOR) & (jdmax <= now_mjd + 1.0)
     )
+    for name in _MAPS:
+        if not _known_good(df, name):
+            fine = fine & _finite_values(df, name)
+    return fine
 
 
 def alert_problem(df: DataFrame, now_mjd: float) -> Column:
-    """First failing reason of each contract row, NULL for a valid row. jdmin is not checked."""
+    """First failing reason of a contract row, NULL for a valid row. jdmin is not checked."""
     ra, dec, jdmax = (F.col(c).cast("double") for c in ("ra", "dec", "jdmax"))
     checks = [F.when(F.col("native_id").isNull(), F.lit("no object_id"))]
     for name in ("ra", "dec", "jdmax", "survey_id", "pipeline_id"):
@@ -57,7 +78,7 @@ def check_alerts(df: DataFrame, now_mjd: float) -> DataFrame:
 
 def validate_alerts(df: DataFrame, now_mjd: float) -> DataFrame:
     """The valid rows as typed contract rows (extra columns are kept)."""
-    good = check_alerts(df, now_mjd).filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    good = df.filter(is_valid(df, now_mjd))
     kinds = {"latest_filter": "double", "latest_mag": "double", "n_sources": "long"}
     typed = {
         "native_id": F.col("native_id").cast("string"),
@@ -74,4 +95,4 @@ def validate_alerts(df: DataFrame, now_mjd: float) -> DataFrame:
 
 def alert_rejects(df: DataFrame, now_mjd: float) -> DataFrame:
     """The refused rows with their reason: the dead-letter side output."""
-    return check_alerts(df, now_mjd).filter(F.col("reject_reason").isNotNull())
+    return check_alerts(df.filter(~F.coalesce(is_valid(df, now_mjd), F.lit(False))), now_mjd)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import bands as B, scalars as S, sky
 from ..operators import clock, facility, history, hosts, normalize, outbox, selection, skymatch, upsert, validate
 from ..operators.lineage import materialize, new_dir
+from ..operators.numbering import write_row_index
 from ..schemas import CONTRACT, OBJECTS
 from ..sources import alerts, dimensions, facility as facility_source, state as state_source
 from ..streaming.ingest import start_stream_ingest
@@ -59,9 +60,10 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The valid alerts of both surveys, read from survey tables as the surveys would deliver them."""
     ev = A.events(spark, sf_dir)
-    lsst = normalize.normalize_lsst(A.lsst_raw(ev), A.PIPELINE_LSST, ["event_id"])
-    ztf = normalize.normalize_ztf(A.ztf_raw(ev), A.PIPELINE_ZTF, ["event_id"])
+    lsst = normalize.normalize_lsst(materialize(A.lsst_raw(ev), "lsst"), A.PIPELINE_LSST, ["event_id"])
+    ztf = normalize.normalize_ztf(materialize(A.ztf_raw(ev), "ztf"), A.PIPELINE_ZTF, ["event_id"])
     return validate.validate_alerts(lsst, A.NOW_MJD).unionByName(validate.validate_alerts(ztf, A.NOW_MJD))
 
 
@@ -180,7 +182,7 @@ def multi_survey_ingest_query(spark, sf_dir):
 @query
 def stage_contract(spark, sf_dir):
     order = [F.col("jdmax").desc(), F.col("event_id")]
-    return _flat_contract(upsert.stage_contract(_valid(spark, sf_dir), *order)[0])
+    return _flat_contract(upsert.stage_contract(_valid(spark, sf_dir), *order))
 
 
 @query
@@ -425,8 +427,9 @@ def sky_match_nearest(spark, sf_dir):
 
 
 def _ordered_points(spark, sf_dir) -> DataFrame:
-    staged, _ = upsert.stage_contract(_valid(spark, sf_dir), F.col("jdmax").desc(), F.col("event_id"))
-    return staged.select("stage_row", "ra", "dec")
+    valid = _valid(spark, sf_dir).select("jdmax", "event_id", "ra", "dec")
+    return materialize(write_row_index(valid, [F.col("jdmax").desc(), F.col("event_id")], "stage_row")[0], "points").select(
+        "stage_row", "ra", "dec")
 
 
 @query
@@ -760,7 +763,8 @@ def request_batches(spark, sf_dir):
 @query
 def assign_ids_names(spark, sf_dir):
     """A new object per valid alert, continuing after 17,570 names of the same year: three and four letters."""
-    staged, _ = upsert.stage_contract(_valid(spark, sf_dir), F.col("jdmax").desc(), F.col("event_id"))
+    valid = _valid(spark, sf_dir).select("jdmax", "event_id")
+    staged, _ = write_row_index(valid, [F.col("jdmax").desc(), F.col("event_id")], "stage_row")
     leaders = staged.select("stage_row", (F.col("stage_row") + 17_571).alias("object_id"))
     state = upsert.NameState(17_571, 17_570, "SKY", "24")
     return upsert.assign_names(leaders, state).select("stage_row", "object_id", "name")

@@ -14,7 +14,7 @@ from ..operators.lineage import materialize
 from ..operators.skymatch import Resolution, sky_resolve_batch
 from ..operators.upsert import (
     assign_names, check_names_left, create_objects, first_selections, insert_if_absent, name_state, native_names,
-    stage_contract, updated_minus_new, upsert_objects, year_of,
+    number_rows, updated_minus_new, upsert_objects, year_of,
 )
 from ..operators.validate import alert_rejects, validate_alerts
 from ..schemas import EVENTS, OBJECTS
@@ -55,8 +55,14 @@ class IngestResult:
     created: DataFrame
     changes: DataFrame
     events: DataFrame
-    rejects: DataFrame
-    resolution: Resolution | None
+    contract: DataFrame
+    params: IngestParams
+    resolution: Resolution
+
+    @property
+    def rejects(self) -> DataFrame:
+        """The refused rows with their reasons."""
+        return alert_rejects(self.contract, self.params.now_mjd)
 
     @property
     def updated(self) -> DataFrame:
@@ -102,15 +108,20 @@ def ingest_batch(state: SkyState, contract: DataFrame, params: IngestParams) ->
     One survey's batch: validate, stage, resolve, create, update, names, selections, events, clock.
     Nothing of the given state changes; the caller makes the returned state current.
     """
-    rejects = alert_rejects(contract, params.now_mjd)
-    stage, n_rows = stage_contract(validate_alerts(contract, params.now_mjd))
+    valid = materialize(
+        validate_alerts(contract, params.now_mjd).withColumn("row_id", F.monotonically_increasing_id()), "valid"
+    )
+    # Only keys and positions are sorted, numbered and resolved; the wide rows are joined once, at the end.
+    n_rows = valid.count()
+    points = materialize(number_rows(valid, "row_id", n_rows), "points")
     names = name_state(state.objects, params.name_prefix, year_of(params.now))
     resolution = sky_resolve_batch(
-        stage, state.objects.select("object_id", "ra", "dec"), names.next_object_id, params.radius_deg, n_rows
+        points, state.objects.select("object_id", "ra", "dec"), names.next_object_id, params.radius_deg, n_rows
     )
     check_names_left(names, resolution.n_new)
-    staged = materialize(stage.join(resolution.assignments, "stage_row"), "staged")
-    created = create_objects(stage, assign_names(resolution.leaders, names), params.now_column)
+    resolved = points.select("row_id", "stage_row").join(resolution.assignments, "stage_row")
+    staged = materialize(valid.join(resolved, "row_id").drop("row_id"), "staged")
+    created = create_objects(staged.drop("object_id"), assign_names(resolution.leaders, names), params.now_column)
     changes = materialize(
         upsert_objects(state.objects.unionByName(created), staged, params.now_column), "objects"
     )
@@ -124,7 +135,7 @@ def ingest_batch(state: SkyState, contract: DataFrame, params: IngestParams) ->
         selections=selections,
         nights=nights,
     )
-    return IngestResult(new_state, staged, created, changes, events, rejects, resolution)
+    return IngestResult(new_state, staged, created, changes, events, contract, params, resolution)
 
 
 def age_out(state: SkyState, params: IngestParams) -> tuple[SkyState, DataFrame, DataFrame]:
