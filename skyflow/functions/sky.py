@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 MATCH_RADIUS_DEG = 0.000277778   # fixed value: the 1 arcsec match radius
 CELLS_PER_RADIUS = 16            # a join cell is this many radii high
@@ -12,11 +12,12 @@ _ZONE_SHIFT = 1 << 32
 _MARGIN = 1.0 + 1e-9             # keeps positions on a cell edge inside the ball that touches it
 
 
-def haversine(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
+def haversine_sql(ra1: str, dec1: str, ra2: str, dec2: str) -> str:
     """sin^2(separation / 2): grows with the separation, so it can be compared and ordered as it is."""
-    ddec = F.sin(F.radians(dec2 - dec1) / 2)
-    dra = F.sin(F.radians(ra2 - ra1) / 2)
-    return ddec * ddec + F.cos(F.radians(dec1)) * F.cos(F.radians(dec2)) * dra * dra
+    return (
+        f"(pow(sin(radians({dec2} - {dec1}) / 2), 2) + cos(radians({dec1})) * cos(radians({dec2})) "
+        f"* pow(sin(radians({ra2} - {ra1}) / 2), 2))"
+    )
 
 
 def haversine_limit(radius_deg: float) -> float:
@@ -28,52 +29,50 @@ def haversine_to_arcsec(h: Column) -> Column:
 
 
 def angular_sep_arcsec(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
-    return haversine_to_arcsec(haversine(ra1, dec1, ra2, dec2))
+    def half_chord(a: Column, b: Column) -> Column:
+        return F.pow(F.sin(F.radians(b - a) / 2), F.lit(2))
+
+    h = half_chord(dec1, dec2) + F.cos(F.radians(dec1)) * F.cos(F.radians(dec2)) * half_chord(ra1, ra2)
+    return haversine_to_arcsec(h)
 
 
-def _zone(dec: Column, height: float) -> Column:
+def _zone(dec: str, height: float) -> str:
     top = math.ceil(180.0 / height) - 1
-    return F.least(F.greatest(F.floor((dec + 90.0) / height), F.lit(0)), F.lit(top)).cast("long")
+    return f"CAST(least(greatest(floor(({dec} + 90D) / {height!r}D), 0), {top}) AS BIGINT)"
 
 
-def _buckets(zone: Column, height: float) -> Column:
+def _buckets(zone: str, height: float) -> str:
     """RA buckets of a zone: about square cells, fewer towards the poles."""
-    mid = (zone + 0.5) * height - 90.0
-    return F.greatest(F.floor(360.0 * F.cos(F.radians(mid)) / height), F.lit(1)).cast("long")
+    return f"CAST(greatest(floor(360D * cos(radians(({zone} + 0.5D) * {height!r}D - 90D)) / {height!r}D), 1) AS BIGINT)"
 
 
-def sky_cell(ra: Column, dec: Column, height: float) -> Column:
-    """The cell a position lies in, as one long."""
+def with_cell(df: DataFrame, ra: str, dec: str, height: float, name: str) -> DataFrame:
+    """`df` plus the cell its position lies in, as one long."""
     zone = _zone(dec, height)
     n = _buckets(zone, height)
-    return zone * _ZONE_SHIFT + F.pmod(F.floor(ra / 360.0 * n).cast("long"), n)
+    return df.withColumn(name, F.expr(f"{zone} * {_ZONE_SHIFT}L + pmod(CAST(floor({ra} / 360D * {n}) AS BIGINT), {n})"))
 
 
-def ball_cells(ra: Column, dec: Column, radius_deg: float, height: float) -> Column:
-    """Every cell that a circle of `radius_deg` around the position touches (RA wrap and poles included)."""
+def with_ball_cells(df: DataFrame, ra: str, dec: str, radius_deg: float, height: float, name: str) -> DataFrame:
+    """One row of `df` per cell that a circle of `radius_deg` around the position touches (RA wrap and poles included)."""
     r = radius_deg * _MARGIN
-    half_ra = F.when(F.abs(dec) + r >= 90.0, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(math.radians(r))) / F.cos(F.radians(dec)))))
-        * _MARGIN + 1e-12
+    half = (
+        f"CASE WHEN abs({dec}) + {r!r}D >= 90D THEN 180D ELSE degrees(asin(least(1D, {math.sin(math.radians(r))!r}D "
+        f"/ cos(radians({dec}))))) * {_MARGIN!r}D + 1e-12D END"
     )
-    zones = F.sequence(_zone(dec - r, height), _zone(dec + r, height))
-
-    def in_zone(zone: Column) -> Column:
-        n = _buckets(zone, height)
-        lo = F.floor((ra - half_ra) / 360.0 * n).cast("long")
-        hi = F.least(F.floor((ra + half_ra) / 360.0 * n).cast("long"), lo + n - 1)
-        return F.transform(F.sequence(lo, hi), lambda b: zone * _ZONE_SHIFT + F.pmod(b, n))
+    zones = f"sequence({_zone(f'({dec} - {r!r}D)', height)}, {_zone(f'({dec} + {r!r}D)', height)})"
+    per_zone = df.withColumn("_half", F.expr(half)).withColumn("_zone", F.expr(f"explode({zones})"))
+    sized = per_zone.withColumn("_n", F.expr(_buckets("_zone", height)))
+    low, high = (f"CAST(floor(({ra} {sign} _half) / 360D * _n) AS BIGINT)" for sign in "-+")
+    buckets = sized.withColumn("_bucket", F.expr(f"explode(sequence({low}, least({high}, {low} + _n - 1)))"))
+    return buckets.withColumn(name, F.expr(f"_zone * {_ZONE_SHIFT}L + pmod(_bucket, _n)")).drop("_half", "_zone", "_n", "_bucket")
 
-    return F.flatten(F.transform(zones, in_zone))
 
-
-def tight_cell(ra: Column, dec: Column, radius_deg: float) -> Column:
+def tight_cell(ra: str, dec: str, radius_deg: float) -> Column:
     """A cell so small that any two positions in it are less than `radius_deg` apart."""
     side = radius_deg / math.sqrt(2.0) * (1.0 - 1e-6)
-    zone = F.floor((dec + 90.0) / side).cast("long")
-    low, high = zone * side - 90.0, (zone + 1) * side - 90.0
-    widest = F.when(low * high <= 0, F.lit(1.0)).otherwise(
-        F.cos(F.radians(F.least(F.abs(low), F.abs(high))))
-    )
-    n = F.greatest(F.ceil(360.0 * widest / side), F.lit(1)).cast("long")
-    return zone * _ZONE_SHIFT + F.pmod(F.floor(ra / 360.0 * n).cast("long"), n)
+    zone = f"CAST(floor(({dec} + 90D) / {side!r}D) AS BIGINT)"
+    low, high = f"({zone} * {side!r}D - 90D)", f"(({zone} + 1) * {side!r}D - 90D)"
+    widest = f"CASE WHEN {low} * {high} <= 0 THEN 1D ELSE cos(radians(least(abs({low}), abs({high})))) END"
+    n = f"CAST(greatest(ceil(360D * ({widest}) / {side!r}D), 1) AS BIGINT)"
+    return F.expr(f"{zone} * {_ZONE_SHIFT}L + pmod(CAST(floor({ra} / 360D * {n}) AS BIGINT), {n})")

@@ -29,22 +29,24 @@ def salted_join(
     """
     Inner join on `key` and `condition`. The rows of a hot left key are spread over several tasks
     by a hash of `left_id`, and the right rows of just those keys are repeated once per task, so
-    every pair is still met exactly once. When the left side is known to hold no more than
-    `rows_per_task` rows no key can be hot and the plain join is used. All non-key column names of
-    the two sides must differ.
+    every pair is still met exactly once. Without a hot key (found by one count per key, or known from
+    the number of left rows) it is the plain join. All non-key column names of the two sides must differ.
     """
-    if known_rows is not None and known_rows <= rows_per_task:
-        joined = left.alias("l").join(right.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & condition)
-        return joined.drop(F.col(f"r.{key}"))
-
-    hot = F.broadcast(hot_keys(left, key, rows_per_task))   # at most MAX_HOT_KEYS rows by construction
+    hot = []
+    if known_rows is None or known_rows > rows_per_task:
+        hot = hot_keys(left, key, rows_per_task).collect()   # at most MAX_HOT_KEYS rows
+    same_key = F.col(f"l.{key}") == F.col(f"r.{key}")
+    if not hot:
+        return left.alias("l").join(right.alias("r"), same_key & condition).drop(F.col(f"r.{key}"))
+
+    kind = left.schema[key].dataType.simpleString()
+    salted = F.broadcast(left.sparkSession.createDataFrame([tuple(r) for r in hot], f"{key} {kind}, _salts int"))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
-    spread = left.join(hot, key, "left").withColumn("_salt", F.pmod(F.hash(left_id), salts)).drop("_salts")
+    spread = left.join(salted, key, "left").withColumn("_salt", F.pmod(F.hash(left_id), salts)).drop("_salts")
     repeated = (
-        right.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+        right.join(salted, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     )
     joined = spread.alias("l").join(
-        repeated.alias("r"),
-        (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._salt") == F.col("r._salt")) & condition,
+        repeated.alias("r"), same_key & (F.col("l._salt") == F.col("r._salt")) & condition
     )
     return joined.drop(F.col("r." + key), F.col("l._salt"), F.col("r._salt"))

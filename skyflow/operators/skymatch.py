@@ -16,8 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.sky import (
-    CELLS_PER_RADIUS, MATCH_RADIUS_DEG, ball_cells, haversine, haversine_limit, haversine_to_arcsec, sky_cell,
-    tight_cell,
+    CELLS_PER_RADIUS, MATCH_RADIUS_DEG, haversine_limit, haversine_sql, haversine_to_arcsec, tight_cell,
+    with_ball_cells, with_cell,
 )
 from .lineage import materialize
 from .numbering import with_row_index
@@ -46,15 +46,13 @@ def sky_pairs(
     left = rows.select(F.col(row_key).alias("_row"), F.col("ra").alias("_ra"), F.col("dec").alias("_dec"))
     right = objects.select(F.col(object_key).alias("_obj"), F.col("ra").alias("_ora"), F.col("dec").alias("_odec"))
 
-    def cells(df: DataFrame, ra: str, dec: str, copy: bool) -> DataFrame:
-        ra, dec = F.col(ra), F.col(dec)
-        return df.withColumn(
-            "_cell", F.explode(ball_cells(ra, dec, radius_deg, height)) if copy else sky_cell(ra, dec, height)
-        )
-
-    left = cells(left, "_ra", "_dec", spread == "rows")
-    right = cells(right, "_ora", "_odec", spread == "objects")
-    h = haversine(F.col("_ra"), F.col("_dec"), F.col("_ora"), F.col("_odec"))
+    if spread == "rows":
+        left = with_ball_cells(left, "_ra", "_dec", radius_deg, height, "_cell")
+        right = with_cell(right, "_ora", "_odec", height, "_cell")
+    else:
+        left = with_cell(left, "_ra", "_dec", height, "_cell")
+        right = with_ball_cells(right, "_ora", "_odec", radius_deg, height, "_cell")
+    h = F.expr(haversine_sql("_ra", "_dec", "_ora", "_odec"))
     pairs = salted_join(
         left, right, "_cell", h < haversine_limit(radius_deg), "_row", known_rows, rows_per_task
     )
@@ -90,19 +88,18 @@ def sky_new_leaders(
     """(row_key, ra, dec) of the rows with no row of a smaller `row_key` within the radius."""
     order = F.col(row_key)
     candidates = (
-        rows.groupBy(tight_cell(F.col("ra"), F.col("dec"), radius_deg).alias("_tight"))
+        rows.groupBy(tight_cell("ra", "dec", radius_deg).alias("_tight"))
         .agg(
             F.min(order).alias("_cand"), F.min_by("ra", order).alias("_cra"), F.min_by("dec", order).alias("_cdec"),
         )
         .drop("_tight")
     )
     height = radius_deg * 4
-    left = rows.select(
-        order.alias("_row"), F.col("ra").alias("_ra"), F.col("dec").alias("_dec"),
-        sky_cell(F.col("ra"), F.col("dec"), height).alias("_cell"),
+    left = with_cell(
+        rows.select(order.alias("_row"), F.col("ra").alias("_ra"), F.col("dec").alias("_dec")), "_ra", "_dec", height, "_cell"
     )
-    right = candidates.withColumn("_cell", F.explode(ball_cells(F.col("_cra"), F.col("_cdec"), radius_deg, height)))
-    h = haversine(F.col("_ra"), F.col("_dec"), F.col("_cra"), F.col("_cdec"))
+    right = with_ball_cells(candidates, "_cra", "_cdec", radius_deg, height, "_cell")
+    h = F.expr(haversine_sql("_ra", "_dec", "_cra", "_cdec"))
     blocked = salted_join(
         left, right, "_cell",
         (F.col("_row") < F.col("_cand")) & (h < haversine_limit(radius_deg)), "_row", known_rows, rows_per_task,

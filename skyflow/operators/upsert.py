@@ -25,7 +25,7 @@ def stage_order(valid: DataFrame) -> list[Column]:
 
 def number_rows(valid: DataFrame, row_id: str, known_rows: int) -> DataFrame:
     """(row_id, stage_row, ra, dec): the batch numbered 0..n-1 in stage order, without its wide columns."""
-    order = stage_order(valid)
+    order = [*stage_order(valid), F.col(row_id)]   # total, so that every evaluation numbers alike
     keys = [c for c in ("input_row", "jdmax", "native_id", "survey_id") if c in valid.columns]
     narrow = valid.select(row_id, "ra", "dec", *keys)
     return with_row_index(narrow, order, "stage_row", known_rows).select(row_id, "stage_row", "ra", "dec")

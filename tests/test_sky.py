@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from skyflow.functions.sky import MATCH_RADIUS_DEG, angular_sep_arcsec, ball_cells, sky_cell, tight_cell
+from skyflow.functions.sky import MATCH_RADIUS_DEG, angular_sep_arcsec, tight_cell, with_ball_cells, with_cell
 from skyflow.operators import hosts, numbering, skew, skymatch
 
 ARCSEC = 1.0 / 3600.0
@@ -147,17 +147,17 @@ def test_every_position_in_the_ball_is_in_its_cells(spark):
         ra2 = (ra + r * math.cos(t) / max(math.cos(math.radians(dec)), 1e-9)) % 360.0
         if h((ra, dec), (ra2, dec2)) < LIMIT:
             pairs.append((ra, dec, ra2, dec2))
-    df = spark.createDataFrame(pairs, "ra double, dec double, ra2 double, dec2 double")
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, ra double, dec double, ra2 double, dec2 double")
     height = MATCH_RADIUS_DEG * 4
-    missed = df.filter(~F.array_contains(
-        ball_cells(F.col("ra"), F.col("dec"), MATCH_RADIUS_DEG, height), sky_cell(F.col("ra2"), F.col("dec2"), height)))
-    assert len(pairs) > 2000 and missed.count() == 0
+    cells = with_ball_cells(with_cell(df, "ra2", "dec2", height, "c2"), "ra", "dec", MATCH_RADIUS_DEG, height, "c")
+    met = cells.filter("c = c2").groupBy("i").count().collect()
+    assert len(pairs) > 2000 and len(met) == len(pairs) and all(r["count"] == 1 for r in met)
 
 
 def test_tight_cells_are_smaller_than_the_radius(spark):
     rnd = random.Random(8)
     pts = [(rnd.uniform(0, 3 * ARCSEC), d + rnd.uniform(-1.5, 1.5) * ARCSEC) for d in (0.0, 45.0, -70.0) for _ in range(300)]
-    df = spark.createDataFrame(pts, "ra double, dec double").withColumn("c", tight_cell(F.col("ra"), F.col("dec"), MATCH_RADIUS_DEG))
+    df = spark.createDataFrame(pts, "ra double, dec double").withColumn("c", tight_cell("ra", "dec", MATCH_RADIUS_DEG))
     groups: dict = {}
     for r in df.collect():
         groups.setdefault(r["c"], []).append((r["ra"], r["dec"]))
