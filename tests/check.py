@@ -37,9 +37,11 @@ def duck(sf_dir: str):
     return con
 
 
-def compare(spark, con, name, query, sql, sf_dir):
+def compare(spark, con, name, query, sql, sf_dir, look=None):
     """(problem or None, n_rows)."""
     df = query(spark, sf_dir)
+    if look is not None:
+        look(df)
     got_cols, got = rows_of(df.columns, df.collect())
     cur = con.execute(sql)
     want_cols, want = rows_of([d[0] for d in cur.description], cur.fetchall())
