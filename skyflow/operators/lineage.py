@@ -7,14 +7,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_unset: dict[str, str] = {}   # application id -> folder, where the session names none
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="skyflow-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _unset:
+        _unset[app] = tempfile.mkdtemp(prefix="skyflow-")
+    return _unset[app]
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

@@ -140,6 +140,7 @@ def ingest_batch(state: SkyState, contract: DataFrame, params: IngestParams) ->
 
 def age_out(state: SkyState, params: IngestParams) -> tuple[SkyState, DataFrame, DataFrame]:
     """Switch off stale and faint objects: (state, deactivated rows, their events). Runs even with no alerts."""
+    state = state.with_tables(nights=materialize(state.nights, "nights"))   # read three times below
     aged = materialize(
         deactivate_objects(
             state.objects, state.nights, params.now_mjd, params.deactivate_after_days, params.faint_mag

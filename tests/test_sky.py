@@ -190,6 +190,26 @@ def test_salted_join_meets_every_pair_once(spark):
     assert skew.hot_keys(left, "k", 100).collect()[0].asDict() == {"k": 7, "_salts": 10}
 
 
+def test_shared_folder_is_the_sessions_or_a_temporary_one(spark, monkeypatch):
+    from skyflow.operators import lineage
+
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert lineage.shared_dir(spark) == named.rstrip("/")
+
+    class Unset:
+        sparkContext = spark.sparkContext
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    monkeypatch.setattr(lineage, "_unset", {})
+    first = lineage.shared_dir(Unset())
+    assert first and lineage.shared_dir(Unset()) == first
+
+
 def test_host_crossmatch_with_copies(spark):
     objs = frame(spark, {i: (150.0, 2.0) for i in range(1, 5)}, "object_id")
     rows = [(f"C{i:03d}", "galaxy", 150.0, 2.0 + ARCSEC) for i in range(40)] + [
