@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from .packing import op6_best_fit_packing
 from .token_counts import op7_token_counts
+from .token_files import op8_token_files
 
-QUERIES = {"op7_token_counts": op7_token_counts}
+QUERIES = {
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_token_counts": op7_token_counts,
+    "op8_token_files": op8_token_files,
+}
 SQL: dict[str, str] = {}
