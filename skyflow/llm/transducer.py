@@ -12,6 +12,7 @@ changes in number, as one is asked for.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -28,28 +29,31 @@ class Transducer:
     def __init__(
         self, tokens: Sequence[tuple[int, ...]], n_symbols: int, merge: Callable[[int, int], tuple[float, int] | None],
         ends: frozenset[int] = frozenset(), restarts: dict[int, int] | None = None, fixed: dict[int, int] | None = None,
-        max_states: int = 250_000, with_ids: bool = True,
+        max_states: int = 200_000, with_ids: bool = True,
     ) -> None:
         self._with_ids = with_ids
         self._tokens, self._merge, self._ends = tokens, merge, ends
         self._restarts, self._fixed, self._max = restarts or {}, fixed or {}, max_states
         self.lengths = np.array([len(x) for x in tokens], np.int32)
-        self._child: list[dict[int, int]] = [{}]
+        self._n_symbols = n_symbols
+        self._child: dict[int, int] = {}                    # node * n_symbols + symbol -> node
         self._token = [-1]
         self._single: dict[int, int] = {}
         for i, symbols in enumerate(tokens):
             node = 0
             for s in symbols:
-                following = self._child[node].get(s)
+                following = self._child.get(node * n_symbols + s)
                 if following is None:
-                    following = self._child[node][s] = len(self._child)
-                    self._child.append({})
+                    following = self._child[node * n_symbols + s] = len(self._token)
                     self._token.append(-1)
                 node = following
             if symbols:
                 self._token[node] = i
                 if len(symbols) == 1:
                     self._single[symbols[0]] = i
+        self._inner = bytearray(len(self._token))           # nodes below which there are longer tokens
+        for place in self._child:
+            self._inner[place // n_symbols] = 1
         self._spines: dict[int, tuple | None] = {}
         self._fits: dict[tuple[int, int], bool] = {}
         self._column = np.full(n_symbols, -1, np.int32)
@@ -58,11 +62,14 @@ class Transducer:
 
     def _clear(self, width: int) -> None:
         self._width = width
-        self._states: list[tuple] = [((), -1)]
-        self._ids = {self._states[0]: START}
-        self._next = np.full((1024, width), -1, np.int32)
-        self._emit = np.full((1024 if self._with_ids else 1, width), -1, np.int32)
-        self._delta = np.zeros((1024 if not self._with_ids else 1, width), np.int8)
+        start = array("i", [-1]).tobytes()                  # last token, then (node, token before, fewer) of each open node
+        self._states: list[bytes] = [start]
+        self._ids = {start: START}
+        rows = self._max + 50_000                           # untouched rows take no memory
+        self._next = np.zeros((rows, width), np.int32)      # 0: not compiled, else the state + 1
+        kind = np.uint16 if len(self._tokens) <= 0xFFFF else np.int32
+        self._emit = np.zeros((rows if self._with_ids else 1, width), kind)
+        self._delta = np.zeros((1 if self._with_ids else rows, width), np.int8)
 
     # ---- which token can follow which ----
 
@@ -130,39 +137,46 @@ class Transducer:
     def _compile(self, state: int, column: int) -> None:
         symbol, at = self._met[column], (state, column)
         if symbol in self._fixed:
-            self._next[at] = START
-            self._label(at, -1, self._fixed[symbol])
+            self._next[at] = START + 1
+            self._label(at, 0, self._fixed[symbol])
             return
         origin = state
         if symbol in self._restarts:
             origin, symbol = START, self._restarts[symbol]
-        active, last = self._states[origin]
+        known = array("i", self._states[origin])
+        child, n = self._child, self._n_symbols
         opened, token, delta = [], -1, 0
-        for node, before, fewer in (*active, (0, last, 0)):
-            following = self._child[node].get(symbol)
-            if following is None:
-                continue
-            opened.append((following, before, fewer))
-            t = self._token[following]
+        for i in range(1, len(known), 3):
+            following = child.get(known[i] * n + symbol)
+            if following is not None:
+                opened.append((following, known[i + 1], known[i + 2]))
+        following = child.get(symbol)
+        if following is not None:
+            opened.append((following, known[0], 0))
+        for node, before, fewer in opened:
+            t = self._token[node]
             if t >= 0 and self._fit(before, t):
                 token, delta = t, fewer + 1
         if token < 0:
             raise ValueError(f"no token for symbol {symbol}")
         self._label(at, token, delta)
         if symbol in self._ends:
-            self._next[at] = START
+            self._next[at] = START + 1
             return
-        key = (tuple((n, b, f - delta) for n, b, f in opened if self._child[n]), token)
+        key = array("i", [token])
+        for node, before, fewer in opened:
+            if self._inner[node]:
+                key.extend((node, before, fewer - delta))
+        key = key.tobytes()
         target = self._ids.get(key)
         if target is None:
             target = self._ids[key] = len(self._states)
             self._states.append(key)
             if target >= len(self._next):
-                more = max(1024, len(self._next) // 2)
-                for name, empty in (("_next", -1), ("_emit", -1) if self._with_ids else ("_delta", 0)):
+                for name in ("_next", "_emit" if self._with_ids else "_delta"):
                     old = getattr(self, name)
-                    setattr(self, name, np.concatenate([old, np.full((more, self._width), empty, old.dtype)]))
-        self._next[at] = target
+                    setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        self._next[at] = target + 1
 
     def _label(self, at: tuple[int, int], token: int, delta: int) -> None:
         if self._with_ids:
@@ -174,11 +188,11 @@ class Transducer:
         np.multiply(state, self._width, out=cells)
         cells += columns
         found = self._next.ravel().take(cells)
-        if len(found) and found.min() < 0:
-            for cell in np.unique(cells[found < 0]).tolist():
+        if len(found) and found.min() == 0:
+            for cell in np.unique(cells[found == 0]).tolist():
                 self._compile(cell // self._width, cell % self._width)
             found = self._next.ravel().take(cells)
-        return found
+        return found - 1
 
     def run(self, symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
         """The table cell of each symbol; `last` marks those after which the state is START. Chunks of equal length run side
@@ -228,7 +242,7 @@ class Transducer:
 
     def tokens_at(self, cells: np.ndarray) -> np.ndarray:
         """The last token of the encoding up to each symbol."""
-        return self._emit.ravel().take(cells)
+        return self._emit.ravel().take(cells).astype(np.int32)
 
     def deltas_at(self, cells: np.ndarray) -> np.ndarray:
         """By how much each symbol changes the number of tokens."""
