@@ -5,8 +5,10 @@ from __future__ import annotations
 from .packing import op6_best_fit_packing
 from .token_counts import op7_token_counts
 from .token_files import op8_token_files
+from .toxicity import op3_toxicity
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
