@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .mixing import op1_mixing
 from .packing import op6_best_fit_packing
 from .token_counts import op7_token_counts
 from .token_files import op8_token_files
 from .toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op3_toxicity": op3_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_counts": op7_token_counts,
