@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .fingerprints import op2_fingerprints
 from .mixing import op1_mixing
 from .packing import op6_best_fit_packing
 from .token_counts import op7_token_counts
@@ -10,6 +11,7 @@ from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_fingerprints": op2_fingerprints,
     "op3_toxicity": op3_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_counts": op7_token_counts,
