@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from .fingerprints import op2_fingerprints
 from .mixing import op1_mixing
+from .near_dedup import op5_near_duplicates
 from .packing import op6_best_fit_packing
 from .token_counts import op7_token_counts
 from .token_files import op8_token_files
 from .toxicity import op3_toxicity
+from . import sql
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_fingerprints": op2_fingerprints,
     "op3_toxicity": op3_toxicity,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
 }
-SQL: dict[str, str] = {}
+SQL = {"op5_near_duplicates": sql.NEAR_DUPLICATES}
