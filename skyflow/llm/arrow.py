@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 BATCH_ROWS = 2_000      # whole texts are in these batches
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def map_rows(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -29,7 +29,7 @@ class Transducer:
     def __init__(
         self, tokens: Sequence[tuple[int, ...]], n_symbols: int, merge: Callable[[int, int], tuple[float, int] | None],
         ends: frozenset[int] = frozenset(), restarts: dict[int, int] | None = None, fixed: dict[int, int] | None = None,
-        max_states: int = 80_000, with_ids: bool = True,
+        max_states: int = 140_000, with_ids: bool = True,
     ) -> None:
         self._with_ids = with_ids
         self._tokens, self._merge, self._ends = tokens, merge, ends
@@ -65,7 +65,7 @@ class Transducer:
         start = array("i", [-1]).tobytes()                  # last token, then (node, token before, fewer) of each open node
         self._states: list[bytes] = [start]
         self._ids = {start: START}
-        rows = self._max + 30_000                           # untouched rows take no memory
+        rows = self._max + 20_000                           # untouched rows take no memory
         self._next = np.zeros((rows, width), np.int32)      # 0: not compiled, else the state + 1
         kind = np.uint16 if len(self._tokens) <= 0xFFFF else np.int32
         self._emit = np.zeros((rows if self._with_ids else 1, width), kind)
@@ -128,7 +128,7 @@ class Transducer:
                 (m := self._merge(x, y)) and m[0] < x_until and m[0] <= y_until for x, x_until in a[1] for y, y_until in b[0])
         else:
             found = self._bpe(self._tokens[left] + self._tokens[right])[0] == [left, right]
-        if len(self._fits) > 300_000:
+        if len(self._fits) > 150_000:
             self._fits.clear()
         self._fits[pair] = found
         return found

@@ -196,7 +196,7 @@ def piece_bpe(path: str) -> PieceBpe:
     return PieceBpe(path)
 
 
-def batches(sizes: Sequence[int], limit: int = 1_000_000) -> list[tuple[int, int]]:
+def batches(sizes: Sequence[int], limit: int = 400_000) -> list[tuple[int, int]]:
     """Ranges of neighbouring rows of about `limit` characters; a longer text stands alone."""
     out, start, total = [], 0, 0
     for i, n in enumerate(sizes):
