@@ -6,6 +6,7 @@ from .fingerprints import op2_fingerprints
 from .mixing import op1_mixing
 from .near_dedup import op5_near_duplicates
 from .packing import op6_best_fit_packing
+from .substring_dedup import op4_substring_dedup
 from .token_counts import op7_token_counts
 from .token_files import op8_token_files
 from .toxicity import op3_toxicity
@@ -15,9 +16,10 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_fingerprints": op2_fingerprints,
     "op3_toxicity": op3_toxicity,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
 }
-SQL = {"op5_near_duplicates": sql.NEAR_DUPLICATES}
+SQL = {"op4_substring_dedup": sql.SUBSTRING_DEDUP, "op5_near_duplicates": sql.NEAR_DUPLICATES}
