@@ -56,14 +56,37 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
         "source", "source_size", "_rank", F.least("_limit", F.coalesce(F.col("_final") * F.col("_weight"), F.col("_limit"))).alias("target"))
 
 
+def row_key(id_column: str = "doc_id", text_column: str = "text", seed: int = 0) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column))
+
+
+def mixed_documents(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:
+    """
+    The mix as documents: one row, with all columns of `docs`, for each document and epoch that takes words of it; its text is
+    the words taken, joined by single spaces, or the document's own text where all are taken. Rows follow `mix`; documents
+    of which nothing is taken are not in the mix.
+    """
+    _, spans = mix(docs, text_column=text_column, **options)
+    taken = spans.groupBy("row_key", "source", "first_word", "epoch", "size").agg(
+        F.sort_array(F.collect_list(F.struct("word", "n_words"))).alias("_parts"), F.sum("n_words").alias("_n"))
+    key = row_key(options.get("id_column", "doc_id"), text_column, options.get("seed", 0))
+    source = F.col(options.get("source_column", "source"))
+    once = docs.withColumn("_key", key).withColumn("_source", source).dropDuplicates(["_key", "_source"])
+    both = once.alias("d").join(taken.alias("t"), (F.col("d._key") == F.col("t.row_key")) & F.col("d._source").eqNullSafe(F.col("t.source")))
+    words = F.regexp_extract_all(F.col(f"d.{text_column}"), F.lit(WORD), F.lit(0))
+    part = lambda p: F.array_join(F.slice(words, (p["word"] + 1).cast("int"), p["n_words"].cast("int")), " ")
+    text = F.when(F.col("_n") == F.col("t.size"), F.col(f"d.{text_column}")).otherwise(F.array_join(F.transform("_parts", part), " "))
+    return both.select(*(text.alias(c) if c == text_column else F.col(f"d.{c}") for c in docs.columns))
+
+
 def mix(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most_times: float = MOST_TIMES, block_words: int = BLOCK_WORDS,
     slots_per_shard: int = SLOTS_PER_SHARD, seed: int = 0, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
 ) -> tuple[DataFrame, DataFrame]:
     """
-    (documents, spans). `documents`: doc_id, source, size, source_size, target, first_word (of the document in its source's
-    line of words). `spans`: one row for each stretch of a document's words in each block that the mix takes: shard, slot,
-    doc_id, source, size, first_word, block, epoch, word (from 0 in the document), n_words.
+    (documents, spans). `documents`: doc_id, source, size, source_size, target, row_key (a hash of id and text), first_word
+    (of the document in its source's line of words). `spans`: one row for each stretch of a document's words in each block that the mix takes: shard, slot,
+    doc_id, source, size, row_key, first_word, block, epoch, word (from 0 in the document), n_words.
 
     Words are packed into blocks of `block_words`, source by source; the documents lie in the order of a hash. Every source
     gets as many slots as come nearest to its target. The slots of all sources are dealt to output shards by a
@@ -78,7 +101,7 @@ def mix(
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"),
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column)).alias("_order"))
+        row_key(id_column, text_column, seed).alias("_order"))
     # equal rows first as one, so that they cannot fill one line; split again below
     rows = rows.groupBy("source", "doc_id", "size", "_order").agg(F.count("*").alias("_times"))
     line = F.pmod("_order", F.lit(_LINES))
@@ -96,7 +119,7 @@ def mix(
         rows.withColumn("_in_line", F.sum(words).over(within) - words).alias("r")
         .join(starts.alias("s"), same_source("r", "s") & (F.col("r._line") == F.col("s._line")))
         .join(targets.alias("t"), same_source("r", "t"))
-        .select("r.doc_id", "r.source", "r.size", "t.source_size", "t.target", "t._rank", (F.col("_start") + F.col("_in_line")).alias("_first"), "_times")
+        .select("r.doc_id", "r.source", "r.size", "t.source_size", "t.target", "t._rank", F.col("_order").alias("row_key"), (F.col("_start") + F.col("_in_line")).alias("_first"), "_times")
         .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)))
         .withColumn("first_word", F.col("_first") + F.col("_copy") * F.col("size")).drop("_first", "_times", "_copy")
     )
@@ -129,10 +152,10 @@ def mix(
         laid.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
         .withColumn("word", begin - F.col("first_word"))
         .withColumn("n_words", F.least((F.col("block") + 1) * block_words, F.col("first_word") + F.col("size")) - begin)
-        .select("_rank", "block", "doc_id", "source", "size", "first_word", "word", "n_words")
+        .select("_rank", "block", "doc_id", "source", "size", "row_key", "first_word", "word", "n_words")
     )
     spans = stretches.join(slots, ["_rank", "block"]).select(
-        "shard", "slot", "doc_id", "source", "size", "first_word", "block", "epoch", "word", "n_words")
+        "shard", "slot", "doc_id", "source", "size", "row_key", "first_word", "block", "epoch", "word", "n_words")
     return laid.drop("_rank"), spans
 
 

@@ -104,7 +104,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """
-    doc_id, n_shingles, component_id and kept of every row. Documents whose sets of five-word shingles (A-Z lower-cased;
+    doc_id, n_shingles, component_id, kept and text_key (xxhash64 of the text) of every row. Documents whose sets of five-word shingles (A-Z lower-cased;
     fewer words are one shingle) have 100 * intersection >= `percent` * union (at least 80) are linked; component_id is the smallest id that
     links reach, kept marks its row.
 
@@ -173,9 +173,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     classes = nodes.select("node", "least_id").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
     by_node = classes.join(least, "label").select("node", "component_id")
-    return signed.select("doc_id", "n_shingles", "node").join(by_node, "node", "left").select(
+    return signed.select("doc_id", "n_shingles", "node", "text_key").join(by_node, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(False)).alias("kept"))
+        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(False)).alias("kept"), "text_key")
 
 
 def _node_sets(docs: DataFrame, needed: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -187,4 +187,4 @@ def _node_sets(docs: DataFrame, needed: DataFrame, id_column: str, text_column:
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate group at 85 %."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=85)
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=85).drop("text_key")
