@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .fingerprints import op2_fingerprints
+from .licenses import op9_licenses
 from .mixing import op1_mixing
 from .near_dedup import op5_near_duplicates
 from .packing import op6_best_fit_packing
@@ -21,5 +22,6 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
+    "op9_licenses": op9_licenses,
 }
-SQL = {"op4_substring_dedup": sql.SUBSTRING_DEDUP, "op5_near_duplicates": sql.NEAR_DUPLICATES}
+SQL = {"op9_licenses": sql.LICENSES, "op4_substring_dedup": sql.SUBSTRING_DEDUP, "op5_near_duplicates": sql.NEAR_DUPLICATES}

@@ -1,5 +1,7 @@
 """DuckDB SQL of those queries that SQL can express."""
 
+from .licenses import TEMPLATES
+
 NEAR_DUPLICATES = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -32,3 +34,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(r), 0)::BIGINT AS n_remov
   sha256(array_to_string(CASE WHEN r IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(r, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
 FROM words LEFT JOIN removed USING (doc_id)
 """
+
+#: A paragraph names a licence if it has at least 0.6 of the word pairs of one of its templates.
+LICENSES = r"""
+WITH templates(family, t) AS (VALUES {templates}),
+lines AS (SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '[\r\n]+')) AS line FROM documents),
+numbered AS (SELECT doc_id, row_number() OVER () AS n, line FROM lines),
+tokens AS (SELECT doc_id, n, list_transform(regexp_extract_all(lower(line), '[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}.\-]*'), lambda w: rtrim(w, '.-')) AS w FROM numbered),
+pairs AS (SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p FROM tokens WHERE len(w) > 1),
+own AS (SELECT family, t, list_transform(regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}.\-]*'), lambda w: rtrim(w, '.-')) AS w FROM templates),
+wanted AS (SELECT DISTINCT family, t, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p FROM own),
+sizes AS (SELECT family, t, count(*) AS n_pairs FROM wanted GROUP BY ALL),
+shares AS (
+  SELECT doc_id, n, s.family, count(*) / any_value(n_pairs) AS share FROM pairs JOIN wanted w USING (p) JOIN sizes s ON s.family = w.family AND s.t = w.t
+  GROUP BY doc_id, n, s.family, s.t HAVING count(*) >= 0.6 * any_value(n_pairs)),
+best AS (SELECT doc_id, n, arg_max(family, share) AS family FROM shares GROUP BY doc_id, n),
+found AS (SELECT doc_id, string_agg(DISTINCT family, ',' ORDER BY family) AS licenses, count(*) AS n_paragraphs FROM best GROUP BY doc_id)
+SELECT d.doc_id, coalesce(licenses, '') AS licenses, coalesce(n_paragraphs, 0)::BIGINT AS n_paragraphs FROM documents d LEFT JOIN found USING (doc_id)
+"""
+
+LICENSES = LICENSES.format(templates=", ".join("('{}', '{}')".format(f, t.replace("'", "''")) for f, texts in TEMPLATES.items() for t in texts))
