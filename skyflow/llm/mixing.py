@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..operators.lineage import materialize
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST_TIMES = 1.5, 2
@@ -36,24 +38,23 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     sum(min(most_times * size, level * weight)) is the wanted total, found by running sums in the order in which
     sources reach their limit. One row per source meets in one task here.
     """
-    total = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("_total"))          # one row
+    total = sizes.agg(F.sum("source_size")).first()[0] or 0
     order = Window.orderBy(F.col("source").asc_nulls_last())
     rank = F.row_number().over(order) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int"))
-    rows = sizes.join(F.broadcast(total), F.lit(True)).withColumn("_rank", rank).withColumn("_weight", weight)
-    limit = F.col("source_size") * float(most_times)
-    by_limit = Window.orderBy(limit / F.col("_weight"), "_rank")
+    rows = sizes.withColumn("_rank", rank).withColumn("_weight", weight)
+    by_limit = Window.orderBy(F.col("_limit") / F.col("_weight"), "_rank")
     before = by_limit.rowsBetween(Window.unboundedPreceding, -1)
     rows = (
-        rows.withColumn("_limit", limit)
-        .withColumn("_level", (F.col("_total") * share - F.coalesce(F.sum("_limit").over(before), F.lit(0.0)))
+        rows.withColumn("_limit", F.col("source_size") * float(most_times))
+        .withColumn("_level", (F.lit(total * share) - F.coalesce(F.sum("_limit").over(before), F.lit(0.0)))
                     / F.sum("_weight").over(by_limit.rowsBetween(0, Window.unboundedFollowing)))
         .withColumn("_level", F.when(F.col("_level") <= F.col("_limit") / F.col("_weight"), F.col("_level")))
     )
     # the first source that stays below its limit sets the level
-    level = rows.filter("_level IS NOT NULL").agg(F.min_by("_level", F.struct(F.col("_limit") / F.col("_weight"), F.col("_rank"))).alias("_final"))
-    return rows.join(F.broadcast(level), F.lit(True)).select(
-        "source", "source_size", "_rank", F.least("_limit", F.coalesce(F.col("_final") * F.col("_weight"), F.col("_limit"))).alias("target"))
+    level = rows.filter("_level IS NOT NULL").agg(F.min_by("_level", F.struct(F.col("_limit") / F.col("_weight"), F.col("_rank")))).first()[0]
+    target = F.col("_limit") if level is None else F.least("_limit", F.lit(level) * F.col("_weight"))
+    return rows.select("source", "source_size", "_rank", target.alias("target"))
 
 
 def row_key(id_column: str = "doc_id", text_column: str = "text", seed: int = 0) -> Column:
@@ -103,13 +104,13 @@ def mix(
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         row_key(id_column, text_column, seed).alias("_order"))
     # equal rows first as one, so that they cannot fill one line; split again below
-    rows = rows.groupBy("source", "doc_id", "size", "_order").agg(F.count("*").alias("_times"))
-    line = F.pmod("_order", F.lit(_LINES))
+    rows = materialize(
+        rows.groupBy("source", "doc_id", "size", "_order").agg(F.count("*").alias("_times")).withColumn("_line", F.pmod("_order", F.lit(_LINES))),
+        "mix-rows")
     words = F.col("size") * F.col("_times")
-    rows = rows.withColumn("_line", line)
-    lines = rows.groupBy("source", "_line").agg(F.sum(words).alias("_words"))
-    sizes = lines.groupBy("source").agg(F.sum("_words").alias("source_size"))
-    targets = source_targets(sizes, weights, share, most_times)
+    lines = materialize(rows.groupBy("source", "_line").agg(F.sum(words).alias("_words")), "mix-lines")
+    sizes = materialize(lines.groupBy("source").agg(F.sum("_words").alias("source_size")), "mix-sources")      # one row per source
+    targets = materialize(source_targets(sizes, weights, share, most_times), "mix-targets")
     # at most _LINES rows per source in a group
     starts = lines.withColumn(
         "_start", F.sum("_words").over(Window.partitionBy("source").orderBy("_line")) - F.col("_words")).drop("_words")
