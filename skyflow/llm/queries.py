@@ -7,6 +7,7 @@ from .licenses import op9_licenses
 from .mixing import op1_mixing
 from .near_dedup import op5_near_duplicates
 from .packing import op6_best_fit_packing
+from .search import op10_search
 from .substring_dedup import op4_substring_dedup
 from .token_counts import op7_token_counts
 from .token_files import op8_token_files
@@ -23,5 +24,6 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
     "op9_licenses": op9_licenses,
+    "op10_search": op10_search,
 }
-SQL = {"op9_licenses": sql.LICENSES, "op4_substring_dedup": sql.SUBSTRING_DEDUP, "op5_near_duplicates": sql.NEAR_DUPLICATES}
+SQL = {"op10_search": sql.SEARCH, "op9_licenses": sql.LICENSES, "op4_substring_dedup": sql.SUBSTRING_DEDUP, "op5_near_duplicates": sql.NEAR_DUPLICATES}

@@ -35,6 +35,21 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(r), 0)::BIGINT AS n_remov
 FROM words LEFT JOIN removed USING (doc_id)
 """
 
+SEARCH = r"""
+WITH words AS (
+  SELECT doc_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS t FROM documents),
+tf AS (SELECT doc_id, t, count(*) AS c FROM words GROUP BY ALL),
+lengths AS (SELECT d.doc_id, coalesce(sum(c), 0) AS dl FROM documents d LEFT JOIN tf USING (doc_id) GROUP BY d.doc_id),
+stats AS (SELECT count(*) AS n, avg(dl) AS mean FROM lengths),
+df AS (SELECT t, ln(1 + ((SELECT n FROM stats) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf GROUP BY t),
+scores AS (
+  SELECT q.doc_id AS query_id, x.doc_id, round(sum(idf * x.c * 2.2 / (x.c + 1.2 * (0.25 + 0.75 * dl / (SELECT mean FROM stats)))), 6) AS score
+  FROM tf q JOIN tf x USING (t) JOIN df USING (t) JOIN lengths l ON l.doc_id = x.doc_id WHERE q.doc_id % 50 = 0 GROUP BY 1, 2)
+SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank, score FROM scores
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10
+"""
+
 #: A paragraph names a licence if it has at least 0.6 of the word pairs of one of its templates.
 LICENSES = r"""
 WITH templates(family, t) AS (VALUES {templates}),
