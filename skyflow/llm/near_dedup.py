@@ -17,9 +17,10 @@ from .words import STEP, mix, powers, runs, words_of
 
 SHINGLE = 5
 PERCENT = 80                 # the default of the library's near-duplicate operators
-HASHES, ROWS = 128, 4        # 32 bands of 4: a pair at 0.8 shares no band with probability 6e-8, at 0.85 with 6e-11
-SKETCH_BITS = 512
-_SLACK = 0.23                # 6.5 standard deviations of the share of differing samples at 0.8
+HASHES, ROWS = 252, 6        # 42 bands of 6: a pair at 0.8 shares no band with probability 3e-6, at 0.85 with 2e-9
+SKETCH_BITS = 1024
+LEADERS = 32                 # times as many leaders in each further round
+_SLACK = 0.131               # 5.2 standard deviations of the share of differing samples at 0.8
 _rng = np.random.default_rng(5081)          # seeded: the same functions everywhere
 _MULTIPLY = (_rng.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -108,9 +109,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     fewer words are one shingle) have 100 * intersection >= `percent` * union (at least 80) are linked; component_id is the smallest id that
     links reach, kept marks its row.
 
-    Equal sets become one node first. 128 MinHash samples of each node give 32 bands and an odd sketch. A band's nodes are
+    Equal sets become one node first. 252 MinHash samples of each node give 42 bands and an odd sketch. A band's nodes are
     not paired with each other: each is compared with one leader; nodes that the links found so far have joined need no more
-    comparison, and only in bands that still hold several components more leaders are compared, eight times as many in
+    comparison, and only in bands that still hold several components more leaders are compared, LEADERS times as many in
     each round, until no two components of a band are uncompared. Pairs whose sketches differ in more bits
     than nearly equal sets can are dropped; the others are confirmed on their full sets. Components are joined between
     rounds. All steps are keyed by node or (band, node); what a hot band or leader gathers is only counted or joined.
@@ -129,7 +130,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     leaders = spread.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("members")).filter("members > 1")
     members = materialize(spread.join(leaders, "band"), "bands")
     sketches = nodes.select("node", "sketch", "n")
-    # every node in a shared band has its whole text looked up once
     needed = members.select("node").distinct().join(nodes.select("node", "pick"), "node")
     label = materialize(needed.select("node", F.col("node").alias("label")), "labels")
     n_bits = HASHES * 2 * (1 - percent / 100 + _SLACK)
@@ -144,8 +144,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
         differ = F.aggregate(F.zip_with("_sa", "_sb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
         near = two.filter((F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent) & (differ <= n_bits)).select("a", "b", "_na", "_nb")
         near = materialize(near, "near")
-        if sets is None:
-            sets = _node_sets(docs, needed, id_column, text_column)
+        # nodes whose sketches come near another's have their whole text looked up, once
+        looked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+        missing = materialize((looked if sets is None else looked.join(sets, "node", "left_anti")).join(needed, "node"), "looked-up")
+        if sets is None or not missing.isEmpty():
+            more = _node_sets(docs, missing, id_column, text_column)
+            sets = more if sets is None else sets.unionByName(more)
         common = F.size(F.array_intersect("_x", "_y"))
         links = (
             near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y")), "b")
@@ -165,11 +169,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
         most = left.agg(F.max("members")).first()[0]
         if most is None or reach >= 2 * most:
             break
-        # the next leaders by a hash: about 8 times as many as before, in the end all
+        # the next leaders by a hash, in the end all
         rank = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("members") / float(1 << 30)
-        heads = left.filter((rank < reach * 8) & ((rank >= reach) | F.lit(reach == 1))).select("band", F.col("node").alias("a"), F.col("label").alias("_la"))
+        heads = left.filter((rank < reach * LEADERS) & ((rank >= reach) | F.lit(reach == 1))).select("band", F.col("node").alias("a"), F.col("label").alias("_la"))
         pairs = left.join(heads, "band").filter("label != _la").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        reach *= 8
+        reach *= LEADERS
     classes = nodes.select("node", "least_id").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
     by_node = classes.join(least, "label").select("node", "component_id")
