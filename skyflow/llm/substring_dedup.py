@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.lineage import materialize
 from .arrow import map_rows, texts_of
 from .vocab import batches
-from .words import runs, words_of
+from .words import runs, span_hashes, words_of
 
 WINDOW = 35
 GRAM = 8
@@ -38,7 +38,8 @@ def _anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _spans(docs: DataFrame, window: int) -> DataFrame:
-    """(row_id, text_key, anchors, starts, counts): the stretches of neighbouring windows that share one anchor."""
+    """(row_id, text_key, anchors, contents, starts, counts): the stretches of neighbouring windows that share one anchor, and
+    a hash of each one's words."""
 
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -59,11 +60,13 @@ def _spans(docs: DataFrame, window: int) -> DataFrame:
                 counts = np.diff(np.append(at, len(inside)))
                 starts = inside[at] - w.first[d[at]]
                 offsets = pa.array(np.searchsorted(d[at], np.arange(b - a + 1)), pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (v[at].view(np.int64), starts.astype(np.int32), counts.astype(np.int32))]
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (
+                    v[at].view(np.int64), span_hashes(w.hashes, inside[at], inside[at] + counts + window - 1).view(np.int64),
+                    starts.astype(np.int32), counts.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).slice(a, b - a), part.column(2).slice(a, b - a), *lists], names=["row_id", "text_key", "anchors", "starts", "counts"])
+                    [part.column(0).slice(a, b - a), part.column(2).slice(a, b - a), *lists], names=["row_id", "text_key", "anchors", "contents", "starts", "counts"])
 
-    return map_rows(docs, find, "row_id bigint, text_key bigint, anchors array<bigint>, starts array<int>, counts array<int>")
+    return map_rows(docs, find, "row_id bigint, text_key bigint, anchors array<bigint>, contents array<bigint>, starts array<int>, counts array<int>")
 
 
 def _contexts(docs: DataFrame, window: int) -> DataFrame:
@@ -71,35 +74,30 @@ def _contexts(docs: DataFrame, window: int) -> DataFrame:
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts = texts_of(part.column(1))
-            keys = [part.column(i) for i in (0, 2)]
-            wanted = part.column(3).to_pylist()
+            texts, wanted = texts_of(part.column(0)), part.column(1).to_pylist()
             for a, b in batches([len(t) for t in texts]):
                 w = words_of(texts[a:b])
                 window_hash = runs(w.hashes, window).view(np.int64)
                 begin, end, first = w.begin.tolist(), w.end.tolist(), w.first.tolist()
-                of, anchors, starts, phrases, hashes = [], [], [], [], []
+                found: list[dict] = []
+                phrases, hashes = [], []
                 for i in range(a, b):
+                    found += wanted[i]
                     for s in wanted[i]:
                         at = first[i - a] + s["start"]
-                        of.append(i)
-                        anchors.append(s["anchor"])
-                        starts.append(s["start"])
                         last = at + s["count"] + window - 1
                         phrases.append(b" ".join([w.data[x:y] for x, y in zip(begin[at:last], end[at:last])]).decode("utf-8", "replace"))
                         hashes.append(window_hash[at:at + s["count"]])
-                index = pa.array(of, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [k.take(index) for k in keys] + [pa.array(anchors, pa.int64()), pa.array(starts, pa.int32()), pa.array(phrases, pa.string()),
-                                                     pa.array(hashes, pa.list_(pa.int64()))],
-                    names=["row_id", "text_key", "anchor", "start", "words", "windows"])
+                    [*(pa.array([s[c] for s in found], pa.int64()) for c in ("anchor", "content", "times")), pa.array(phrases, pa.string()),
+                     pa.array(hashes, pa.list_(pa.int64()))], names=["anchor", "content", "times", "words", "windows"])
 
-    return map_rows(docs, cut, "row_id bigint, text_key bigint, anchor bigint, start int, words string, windows array<bigint>")
+    return map_rows(docs.select("text", "wanted"), cut, "anchor bigint, content bigint, times bigint, words string, windows array<bigint>")
 
 
 def _locate(key: tuple, contexts: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
     """Every occurrence of the shard's phrases in the contexts dealt to this task, as covered stretches of words."""
-    empty = pd.DataFrame({"context": pd.Series(dtype=object), "covered": pd.Series(dtype=object)})
+    empty = pd.DataFrame({"anchor": pd.Series(dtype="int64"), "content": pd.Series(dtype="int64"), "covered": pd.Series(dtype=object)})
     if not len(contexts) or not len(phrases):
         return empty
     ids: dict[str, int] = {}
@@ -109,7 +107,7 @@ def _locate(key: tuple, contexts: pd.DataFrame, phrases: pd.DataFrame) -> pd.Dat
         automaton.add_word(number(text))
     automaton.make_automaton()
     found, covered = [], []
-    for context, text in zip(contexts["context"], contexts["words"]):
+    for at, text in enumerate(contexts["words"]):
         stretches: list[list[int]] = []
         for end, length in automaton.iter(number(text)):
             begin = end + 1 - length
@@ -117,9 +115,9 @@ def _locate(key: tuple, contexts: pd.DataFrame, phrases: pd.DataFrame) -> pd.Dat
                 begin = min(begin, stretches.pop()[0])
             stretches.append([begin, end + 1])
         if stretches:
-            found.append(context)
+            found.append(at)
             covered.append([x for s in stretches for x in s])
-    return pd.DataFrame({"context": found, "covered": covered}) if found else empty
+    return contexts[["anchor", "content"]].iloc[found].assign(covered=covered) if found else empty
 
 
 def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -130,7 +128,8 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_column: str
 
     1. Every window gets an anchor that depends on its words alone; neighbouring windows share it. Anchors are counted
        (aggregated before the shuffle), and only stretches around anchors that recur are looked at again.
-    2. The windows of these stretches are counted, equal stretches as one with a weight: recurring passages are confirmed.
+    2. Equal stretches are counted as one with a weight and read once. Where an anchor has several kinds of stretches, their
+       windows are counted one by one: recurring passages are confirmed.
     3. Each maximal run of confirmed windows is a phrase. Phrases are dealt by anchor into shards of bounded size, each is
        compiled to an Aho-Corasick automaton over words, and the distinct stretches are streamed through the automaton
        of their anchor, a shard with many of them in several tasks. Equal windows have equal anchors, so no
@@ -146,35 +145,41 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_column: str
     row_id = F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("row_id")
     rows = docs.select(row_id, F.col(text_column).alias("text"), F.xxhash64(text_column).alias("text_key"))
     spans = materialize(_spans(rows, window), "anchors")
-    each = spans.select(*key, F.explode(F.arrays_zip(F.col("anchors").alias("anchor"), F.col("starts").alias("start"), F.col("counts").alias("count"))).alias("s"))
+    each = spans.select(*key, F.inline(F.arrays_zip(
+        F.col("anchors").alias("anchor"), F.col("contents").alias("content"), F.col("starts").alias("start"), F.col("counts").alias("count"))))
     recurring = spans.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1").select("anchor")
-    wanted = (
-        each.select(*key, "s", F.col("s.anchor").alias("anchor")).join(recurring, "anchor")
-        .groupBy(*key).agg(F.collect_set("s").alias("wanted")))        # within one document
-    found = rows.join(wanted, key).select("row_id", "text", "text_key", "wanted")
-    contexts = materialize(_contexts(found, window).withColumn("context", F.md5("words")), "contexts")
-    distinct = materialize(
-        contexts.groupBy("context").agg(
-            F.first("anchor").alias("anchor"), F.first("words").alias("words"), F.first("windows").alias("windows"), F.count("*").alias("times")), "contexts")
-    each_window = distinct.select("context", "times", F.posexplode("windows").alias("at", "window"))
+    spots = materialize(each.join(recurring, "anchor"), "spots")
+    # equal stretches as one, with their number and one place where the words can be read
+    kinds = materialize(
+        spots.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct(*key, "start", "count")).alias("pick")), "kinds")
+    wanted = kinds.select(*(F.col(f"pick.{c}").alias(c) for c in key), F.struct("anchor", "content", "times", "pick.start", "pick.count").alias("s")).groupBy(
+        *key).agg(F.collect_list("s").alias("wanted"))                                                            # within one document
+    distinct = materialize(_contexts(rows.join(wanted, key), window), "contexts")
+    # an anchor with one kind of stretch: all its windows recur; else they are counted one by one
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1").select("anchor")
+    mixed = distinct.join(several, "anchor", "left_semi")
+    each_window = mixed.select("anchor", "content", "times", F.posexplode("windows").alias("at", "window"))
     confirmed = each_window.groupBy("window").agg(F.sum("times").alias("_n")).filter("_n > 1").select("window")
-    runs_ = each_window.join(confirmed, "window").groupBy("context").agg(F.sort_array(F.collect_list("at")).alias("at"))     # at most WINDOW - GRAM + 1
+    runs_ = each_window.select("anchor", "content", "at", "window").distinct().join(confirmed, "window").groupBy("anchor", "content").agg(
+        F.sort_array(F.collect_list("at")).alias("at"))                                                           # at most WINDOW - GRAM + 1
     # neighbouring places have one difference between place and rank
-    runs_ = runs_.select("context", F.posexplode("at").alias("rank", "at")).groupBy("context", (F.col("at") - F.col("rank")).alias("_run")).agg(
+    runs_ = runs_.select("anchor", "content", F.posexplode("at").alias("rank", "at")).groupBy("anchor", "content", (F.col("at") - F.col("rank")).alias("_run")).agg(
         F.min("at").alias("low"), F.max("at").alias("high"))
     words = F.slice(F.split("words", " "), F.col("low") + 1, F.col("high") - F.col("low") + window)
-    phrases = materialize(
-        runs_.join(distinct, "context").select("anchor", F.array_join(words, " ").alias("phrase")).distinct(), "phrases")
+    parts = runs_.join(mixed.select("anchor", "content", "words"), ["anchor", "content"]).select("anchor", F.array_join(words, " ").alias("phrase"))
+    whole = distinct.join(several, "anchor", "left_anti").select("anchor", F.col("words").alias("phrase"))
+    phrases = materialize(parts.unionByName(whole).distinct(), "phrases")
     shards = max(1, math.ceil(phrases.count() / SHARD_PHRASES))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard")
-    streams = distinct.join(phrases.select("anchor").distinct(), "anchor").select(shard, "context", "words")
+    streams = distinct.select(shard, "anchor", "content", "words")
     tasks = streams.groupBy("shard").agg(F.ceil(F.count("*") / TASK_CONTEXTS).cast("int").alias("tasks"))     # one row per shard
-    dealt = streams.join(tasks, "shard").withColumn("task", F.pmod(F.xxhash64("context"), F.col("tasks")).cast("int")).select("shard", "task", "context", "words")
+    dealt = streams.join(tasks, "shard").withColumn("task", F.pmod(F.xxhash64("anchor", "content"), F.col("tasks")).cast("int")).select(
+        "shard", "task", "anchor", "content", "words")
     compiled = phrases.select(shard, "phrase").join(tasks, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), "phrase")
     located = materialize(
-        dealt.groupBy("shard", "task").cogroup(compiled.groupBy("shard", "task")).applyInPandas(_locate, "context string, covered array<int>"), "located")
-    by_row = contexts.select(*key, "start", "context").join(located, "context").select(
-        *key, F.transform("covered", lambda x: x + F.col("start")).alias("covered"))
+        dealt.groupBy("shard", "task").cogroup(compiled.groupBy("shard", "task")).applyInPandas(
+            _locate, "anchor bigint, content bigint, covered array<int>"), "located")
+    by_row = spots.join(located, ["anchor", "content"]).select(*key, F.transform("covered", lambda x: x + F.col("start")).alias("covered"))
     removed = by_row.groupBy(*key).agg(F.flatten(F.collect_set("covered")).alias("_covered"))                 # within one document
     keyed = docs.withColumn("_row", row_id).withColumn("_text_key", F.xxhash64(text_column)).alias("d")
     joined = keyed.join(removed.alias("r"), (F.col("_row") == F.col("r.row_id")) & (F.col("_text_key") == F.col("r.text_key")), "left").select("d.*", "_covered").drop("_row", "_text_key")

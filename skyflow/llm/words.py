@@ -82,3 +82,10 @@ def runs(hashes: np.ndarray, n: int) -> np.ndarray:
     inverse = pow(STEP, -1, 2**64)
     total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers(STEP, len(hashes)))])
     return mix((total[n:] - total[:-n]) * powers(inverse, len(hashes) - n + 1))
+
+
+def span_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of the words from begin to end of each span; equal words have equal hashes wherever they stand."""
+    total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers(STEP, len(hashes)))])
+    back = powers(pow(STEP, -1, 2**64), len(hashes) + 1)
+    return mix((total[end] - total[begin]) * back[begin] + mix((end - begin).astype(np.uint64)))
