@@ -75,15 +75,16 @@ def fit_toxicity(
 
     Spark counts in how many documents of each class every hashed n-gram occurs and turns the counts into log-count ratios;
     the rows of the bounded sample, reduced to the kept n-grams, are then fitted by logistic regression on the
-    driver. Without labels of both classes the model scores every text by the share of label 1 (0.5 without labels).
+    driver. Without labelled documents of both classes the model scores every text by the share of label 1 (0.5 without labels).
     """
     spark = docs.sparkSession
     classes = labels.filter(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull()).groupBy(
         F.col(id_column).alias("_id")).agg(F.max(label_column).cast("int").alias("_label"))
     share = {r["_label"]: r["n"] for r in classes.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    prior = (share.get(1, 0) + 0.5) / (sum(share.values()) + 1)
+    constant = ToxicityModel(np.empty(0, np.int64), np.empty(0, np.float32), float(np.log(prior / (1 - prior))))
     if len(share) < 2:
-        prior = (share.get(1, 0) + 0.5) / (sum(share.values()) + 1)
-        return ToxicityModel(np.empty(0, np.int64), np.empty(0, np.float32), float(np.log(prior / (1 - prior))))
+        return constant
     order = [F.xxhash64("_id"), F.col("_id")]
     sample = None
     for label in (0, 1):
@@ -108,7 +109,10 @@ def fit_toxicity(
             names=["bucket", "n0", "n1"])
 
     counts = map_rows(rows, count, "bucket bigint, n0 bigint, n1 bigint").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    n0, n1 = counts.filter("bucket = -1").select("n0", "n1").first()
+    totals = counts.filter("bucket = -1").select("n0", "n1").first()
+    if not totals or not min(totals):
+        return constant
+    n0, n1 = totals
     ratio = F.log((F.col("n1") + _SMOOTH) / (n1 + 2 * _SMOOTH)) - F.log((F.col("n0") + _SMOOTH) / (n0 + 2 * _SMOOTH))
     strength = F.abs("ratio") / F.sqrt(1 / (F.col("n1") + _SMOOTH) + 1 / (F.col("n0") + _SMOOTH))
     best = (
