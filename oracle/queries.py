@@ -386,8 +386,8 @@ add("apply_create_results", """
            CASE WHEN a.item_id IS NOT NULL THEN NULL WHEN a.outcome IN ('ok', 'ambiguous', 'retry') THEN 'ambiguous' WHEN a.outcome = 'rejected' THEN 'failed' ELSE o.sync_state END AS sync_state,
            CASE WHEN a.item_id IS NOT NULL THEN 0 WHEN a.outcome IS NOT NULL THEN o.sync_attempts + 1 ELSE o.sync_attempts END AS sync_attempts,
            CASE WHEN a.item_id IS NOT NULL THEN NULL WHEN a.outcome IS NULL THEN o.sync_last_error
-                WHEN a.outcome = 'ok' THEN '2xx response did not list this name'
-                WHEN a.outcome = 'retry' THEN 'POST not accepted, will retry: refused'
+                WHEN a.outcome = 'ok' THEN 'accepted, but the answer has no target of this name'
+                WHEN a.outcome = 'retry' THEN 'create request refused for now, sent again later: refused'
                 ELSE 'POST ' || a.outcome || ': ' || CASE WHEN a.batch_id % 7 = 5 THEN '<html>Internal error</html>' ELSE 'refused' END END AS sync_last_error,
            coalesce(a.item_id, o.facility_id) AS facility_id,
            CASE WHEN a.item_id IS NOT NULL THEN a.mag ELSE o.facility_mag END AS facility_mag, a.item_id IS NOT NULL AS was_created
@@ -400,9 +400,9 @@ add("reconcile_ambiguous", """
            CASE WHEN v.verdict = 'adopt' THEN o.active <> (o.object_id % 4 = 1) ELSE o.sync_pending END AS sync_pending,
            CASE WHEN v.verdict IN ('adopt', 'resend') THEN NULL WHEN v.verdict = 'conflict' THEN 'conflict' ELSE o.sync_state END AS sync_state,
            o.sync_attempts + CASE WHEN v.verdict IN ('foreign', 'conflict') THEN 1 ELSE 0 END AS sync_attempts,
-           CASE v.verdict WHEN 'adopt' THEN NULL WHEN 'foreign' THEN 'name lookup returned other targets: filter not applied?'
-                WHEN 'resend' THEN 'lookup: not at the facility, will POST again'
-                WHEN 'conflict' THEN CAST(v.n_found AS VARCHAR) || ' target(s) named ' || o.name || ' (or wrong position)' ELSE o.sync_last_error END AS sync_last_error,
+           CASE v.verdict WHEN 'adopt' THEN NULL WHEN 'foreign' THEN 'lookup gave targets of other names'
+                WHEN 'resend' THEN 'lookup found nothing, to be created again'
+                WHEN 'conflict' THEN CAST(v.n_found AS VARCHAR) || ' targets have the name ' || o.name || ' or elsewhere on the sky' ELSE o.sync_last_error END AS sync_last_error,
            CASE WHEN v.verdict = 'adopt' THEN o.object_id + 800000 ELSE o.facility_id END AS facility_id,
            CASE WHEN v.verdict = 'adopt' THEN 15.0::DOUBLE + o.object_id % 9 ELSE o.facility_mag END AS facility_mag,
            coalesce(v.verdict = 'adopt', false) AS was_adopted

@@ -36,7 +36,7 @@ def empty_map(value_type: str) -> Column:
 
 def parse_band_map(text: Column, value_type: str = "double") -> Column:
     """JSON text to a band map; NULL, empty or non-object text gives an empty map."""
-    parsed = F.transform_values(json_object(json_variant(text)), lambda _, v: json_number(v).cast(value_type))
+    parsed = F.transform_values(json_object(json_variant(text)), lambda _, v: json_number(v).try_cast(value_type))
     return F.coalesce(parsed, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast(f"array<{value_type}>")))
 
 

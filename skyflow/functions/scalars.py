@@ -19,7 +19,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 def is_finite(value: Column) -> Column:
     """True for a number that is neither NULL, NaN nor infinite (never NULL itself)."""
     # NaN sorts above every number, so two comparisons settle it.
-    v = value.cast("double")
+    v = value.try_cast("double")
     return F.coalesce((v > float("-inf")) & (v < float("inf")), F.lit(False))
 
 
@@ -112,9 +112,12 @@ def payload_number(text: Column) -> Column:
 
 
 def json_variant(text: Column) -> Column:
-    """Parsed JSON, or NULL. Bare NaN/Infinity tokens become text so that they parse (and are non-finite)."""
-    quoted = F.regexp_replace(text, r"([:,\[]\s*)-?(NaN|Infinity)(?=\s*[,}\]])", '$1"NaN"')
-    return F.try_parse_json(quoted)
+    """
+    Parsed JSON, or NULL. Where it doesn't parse as it is, bare NaN/Infinity tokens (those followed by whole strings
+    only, so outside of any) become text so that they parse and are non-finite.
+    """
+    bare = r'-?\b(NaN|Infinity)\b(?=(?:[^"\\]++|\\.|"(?:[^"\\]++|\\.)*+")*+$)'
+    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.regexp_replace(text, bare, '"NaN"')))
 
 
 def json_object(variant: Column) -> Column:

@@ -38,14 +38,10 @@ def nights_since_detection(objects: DataFrame, nights: DataFrame, now_mjd: float
     `objects` plus `nights_since`: nights of the object's last survey after its last detection, or
     calendar days when no survey is recorded. The range count is an equi-join on (survey, day).
     """
-    # Validated dates lie in (40000, now + 1], so the calendar has at most some 20,000 days per survey
-    # of a fixed list of surveys, whatever the size of the object table.
-    calendar = F.broadcast(later_nights(nights).select(F.col("survey_id").alias("_s"), F.col("day").alias("_d"), "n_later"))
-    totals = F.broadcast(
-        nights.groupBy(F.col("survey_id").alias("_ts")).agg(
-            F.count(F.lit(1)).alias("_total"), F.min("night").alias("_first")
-        )
-    )
+    # Validated dates lie in (40000, now + 1], so the calendar has at most some 20,000 days per survey; Spark
+    # broadcasts it where its size allows.
+    calendar = later_nights(nights).select(F.col("survey_id").alias("_s"), F.col("day").alias("_d"), "n_later")
+    totals = nights.groupBy(F.col("survey_id").alias("_ts")).agg(F.count(F.lit(1)).alias("_total"), F.min("night").alias("_first"))
     day = observing_night(F.col("jdmax"))
     joined = (
         objects.withColumn("_day", day)

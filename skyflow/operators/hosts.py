@@ -34,11 +34,12 @@ def host_crossmatch(objects: DataFrame, galaxies: DataFrame, radius_arcsec: floa
     # Entries at one position rank by name, so only the first three of them can ever be used.
     same_place = Window.partitionBy("ra", "dec").orderBy("host_name")
     usable = (
-        galaxies.filter(F.col("object_type") == "galaxy").select("host_name", "ra", "dec")
+        galaxies.filter(F.col("object_type") == "galaxy").select("host_name", "ra", "dec").distinct()
         .withColumn("_copy", F.row_number().over(same_place)).filter(F.col("_copy") <= MAX_HOSTS).drop("_copy")
     )
     pairs = sky_pairs(objects, usable, "object_id", "host_name", radius_arcsec / 3600.0, cells_per_radius=4)
-    ranked = host_rank(pairs, F.col("_h"), F.col("host_name"))
+    once = pairs.groupBy("object_id", "host_name").agg(F.min("_h").alias("_h"))     # a host counts once, at its nearest entry
+    ranked = host_rank(once, F.col("_h"), F.col("host_name"))
     return ranked.select(
         "object_id", "host_name", haversine_to_arcsec(F.col("_h")).alias("separation_arcsec"), "rank"
     )

@@ -11,10 +11,12 @@ _unset: dict[str, str] = {}   # application id -> folder, where the session name
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset and all runs on one machine."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _unset:
         _unset[app] = tempfile.mkdtemp(prefix="skyflow-")

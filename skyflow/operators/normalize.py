@@ -15,7 +15,7 @@ ZTF_BANDS = ["g", "r"]
 
 def _column(df: DataFrame, name: str, kind: str = "double") -> str:
     """A column that a stream may lack (then NULL), as a SQL expression."""
-    return f"CAST({name if name in df.columns else 'NULL'} AS {kind})"
+    return f"TRY_CAST({name if name in df.columns else 'NULL'} AS {kind})"
 
 
 def _declination(df: DataFrame) -> str:

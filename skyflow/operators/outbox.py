@@ -261,8 +261,8 @@ def apply_create_results(objects: DataFrame, answered: DataFrame) -> DataFrame:
     created = F.coalesce((outcome == "ok") & F.col("_item").isNotNull(), F.lit(False))
     problem = outcome.isNotNull() & ~created
     error = (
-        F.when(outcome == "ok", F.lit("2xx response did not list this name"))
-        .when(outcome == "retry", F.concat(F.lit("POST not accepted, will retry: "), _python_text(F.col("_body"))))
+        F.when(outcome == "ok", F.lit("accepted, but the answer has no target of this name"))
+        .when(outcome == "retry", F.concat(F.lit("create request refused for now, sent again later: "), _python_text(F.col("_body"))))
         .otherwise(F.concat(F.lit("POST "), outcome, F.lit(": "), _python_text(F.col("_body"))))
     )
     state = (
@@ -320,10 +320,10 @@ def reconcile_ambiguous(objects: DataFrame, verdicts: DataFrame) -> DataFrame:
     verdict = F.when(F.col("sync_state") == "ambiguous", F.col("verdict"))
     adopt, conflict = verdict == "adopt", verdict == "conflict"
     error = (
-        F.when(verdict == "foreign", F.lit("name lookup returned other targets: filter not applied?"))
-        .when(verdict == "resend", F.lit("lookup: not at the facility, will POST again"))
-        .when(conflict, F.concat(F.col("n_found").cast("string"), F.lit(" target(s) named "), F.col("name"),
-                                 F.lit(" (or wrong position)")))
+        F.when(verdict == "foreign", F.lit("lookup gave targets of other names"))
+        .when(verdict == "resend", F.lit("lookup found nothing, to be created again"))
+        .when(conflict, F.concat(F.col("n_found").cast("string"), F.lit(" targets have the name "), F.col("name"),
+                                 F.lit(" or elsewhere on the sky")))
     )
     return rows.withColumns({
         "facility_id": F.when(adopt, F.col("f_id")).otherwise(F.col("facility_id")),

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .lineage import materialize
+
 ROWS_PER_TASK = 1_000_000   # a key with more left rows than this is split
-MAX_HOT_KEYS = 1024         # keys beyond the 1024 largest hold under 1/1024 of all rows each
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """(key, _salts) of the largest keys that hold more than `rows_per_task` rows: at most MAX_HOT_KEYS rows."""
+    """(key, _salts) of every key that holds more than `rows_per_task` rows: at most one for as many rows."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_task)
-    return (
-        counts.orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
-    )
+    return counts.select(key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
 
 
 def salted_join(
@@ -32,15 +30,13 @@ def salted_join(
     every pair is still met exactly once. Without a hot key (found by one count per key, or known from
     the number of left rows) it is the plain join. All non-key column names of the two sides must differ.
     """
-    hot = []
-    if known_rows is None or known_rows > rows_per_task:
-        hot = hot_keys(left, key, rows_per_task).collect()   # at most MAX_HOT_KEYS rows
+    salted = None
+    if known_rows is None or known_rows > rows_per_task:     # fewer rows can't hold a hot key
+        salted = materialize(hot_keys(left, key, rows_per_task), "hot-keys")
     same_key = F.col(f"l.{key}") == F.col(f"r.{key}")
-    if not hot:
+    if salted is None or salted.isEmpty():
         return left.alias("l").join(right.alias("r"), same_key & condition).drop(F.col(f"r.{key}"))
 
-    kind = left.schema[key].dataType.simpleString()
-    salted = F.broadcast(left.sparkSession.createDataFrame([tuple(r) for r in hot], f"{key} {kind}, _salts int"))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     spread = left.join(salted, key, "left").withColumn("_salt", F.pmod(F.hash(left_id), salts)).drop("_salts")
     repeated = (

@@ -40,7 +40,7 @@ def is_valid(df: DataFrame, now_mjd: float) -> Column:
     The row has no problem: plain comparisons, which reach the scan as pushed filters. NaN sorts above
     every number, so the upper bounds also refuse NaN and infinity.
     """
-    ra, dec, jdmax = (F.col(c).cast("double") for c in ("ra", "dec", "jdmax"))
+    ra, dec, jdmax = (F.col(c).try_cast("double") for c in ("ra", "dec", "jdmax"))
     fine = (
         F.col("native_id").isNotNull() & is_finite(F.col("survey_id")) & is_finite(F.col("pipeline_id"))
         & (ra >= 0.0) & (ra < 360.0) & (dec >= -90.0) & (dec <= 90.0)
@@ -54,7 +54,7 @@ def is_valid(df: DataFrame, now_mjd: float) -> Column:
 
 def alert_problem(df: DataFrame, now_mjd: float) -> Column:
     """First failing reason of a contract row, NULL for a valid row. jdmin is not checked."""
-    ra, dec, jdmax = (F.col(c).cast("double") for c in ("ra", "dec", "jdmax"))
+    ra, dec, jdmax = (F.col(c).try_cast("double") for c in ("ra", "dec", "jdmax"))
     checks = [F.when(F.col("native_id").isNull(), F.lit("no object_id"))]
     for name in ("ra", "dec", "jdmax", "survey_id", "pipeline_id"):
         checks.append(F.when(~is_finite(F.col(name)), F.lit(f"{name} missing or not finite")))
@@ -82,13 +82,13 @@ def validate_alerts(df: DataFrame, now_mjd: float) -> DataFrame:
     kinds = {"latest_filter": "double", "latest_mag": "double", "n_sources": "long"}
     typed = {
         "native_id": F.col("native_id").cast("string"),
-        "survey_id": F.col("survey_id").cast("int"),
-        "pipeline_id": F.col("pipeline_id").cast("int"),
-        **{c: F.col(c).cast("double") for c in ("ra", "dec", "jdmin", "jdmax")},
+        "survey_id": F.col("survey_id").try_cast("int"),
+        "pipeline_id": F.col("pipeline_id").try_cast("int"),
+        **{c: F.col(c).try_cast("double") for c in ("ra", "dec", "jdmin", "jdmax")},
     }
     for name, kind in kinds.items():
         is_map = isinstance(df.schema[name].dataType, T.MapType)
-        typed[name] = F.col(name).cast(f"map<string,{kind}>") if is_map else parse_band_map(F.col(name), kind)
+        typed[name] = F.col(name).try_cast(f"map<string,{kind}>") if is_map else parse_band_map(F.col(name), kind)
     extra = [c for c in df.columns if c not in CONTRACT_COLUMNS]
     return good.select(*[typed[c].alias(c) for c in CONTRACT_COLUMNS], *extra)
 

@@ -1083,7 +1083,7 @@ def request_log_append(spark, sf_dir):
     requests = batches.withColumns({"method": F.lit("POST"), "url": F.lit("https://facility.example/transients/")})
     rows = outbox.request_log_rows(requests, _create_answers(batches), _log_now(), "v1", "r1")
     path = new_dir(spark, "requests")
-    state_source.append_requests(rows, path)
+    state_source.append_requests(rows, path, 1)
     stored = spark.read.parquet(path)
     return stored.select(
         F.element_at("object_ids", 1).alias("first_id"), F.size("object_ids").alias("n"), "method", "status_code",
@@ -1122,10 +1122,10 @@ def _stream_lsst(spark, ev: DataFrame, passes: int) -> state_source.StateStore:
         newest = normalize.latest_alert_per_object(raw, "diaObjectId", "lastDiaSourceMjdTai", "ra")
         return normalize.normalize_lsst(newest, A.PIPELINE_LSST)
 
-    for turn in range(passes):
+    for _ in range(passes):
         q = start_stream_ingest(
             alerts.stream_alert_files(spark, path), to_contract, store, RUN_B, new_dir(spark, "checkpoint"),
-            f"lsst-{turn}", new_dir(spark, "history"))
+            "lsst", new_dir(spark, "history"))
         q.awaitTermination()
     return store
 

@@ -56,8 +56,10 @@ def stream_alert_topic(
 
 
 def _readable(value: Column, id_key: str) -> Column:
-    """The message is a JSON object with an id: anything else has no such path, so one look settles it."""
-    return F.try_variant_get(json_variant(value), f"$.{id_key}", "string").isNotNull()
+    """The message is a JSON object with an id. Repeated keys and non-finite numbers are as good as elsewhere."""
+    schema = T.StructType([T.StructField(id_key, _s), T.StructField("_corrupt", _s)])
+    found = F.from_json(value, schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    return F.coalesce(F.ltrim(value).startswith("{") & found[id_key].isNotNull() & found["_corrupt"].isNull(), F.lit(False))
 
 
 def message_problem(value: Column, id_key: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -55,10 +56,10 @@ class StateStore:
     """
     Snapshots of the state under one root:
 
-        <root>/version=<n>/<table>/      parquet
-        <root>/commits/<n>.json          written last; the highest one is the current state
+        <root>/version=<n>-<unique>/<table>/   parquet
+        <root>/commits/<n>.json                written last, names the folder; the highest one is the current state
 
-    A version without its commit file does not exist for readers, so all tables of a batch change
+    Two writers of one version have folders of their own, and only one of them can create the commit file. A version without its commit file does not exist for readers, so all tables of a batch change
     together or not at all. The commit also remembers the last streaming batch it contains.
     """
 
@@ -87,19 +88,29 @@ class StateStore:
         version = self.current()
         if version is None:
             return empty_state(self.spark)
-        base = f"{self.root}/version={version}"
+        base = f"{self.root}/{self.commit_info()['folder']}"
         return SkyState(**{n: self.spark.read.schema(s).parquet(f"{base}/{n}") for n, s in _TABLES.items()})
 
     def commit(self, state: SkyState, **info) -> int:
         """Write all tables as a new version, then its commit file. `info` must be JSON."""
         version = (self.current() or 0) + 1
+        folder = f"version={version}-{uuid.uuid4().hex}"
         for f in fields(SkyState):
-            getattr(state, f.name).write.mode("overwrite").parquet(f"{self.root}/version={version}/{f.name}")
-        _write_text(self.spark, f"{self.root}/commits/{version}.json", json.dumps({"version": version, **info}))
+            getattr(state, f.name).write.parquet(f"{self.root}/{folder}/{f.name}")
+        _write_text(self.spark, f"{self.root}/commits/{version}.json", json.dumps({"version": version, "folder": folder, **info}))
         return version
 
+    def expire(self, keep: int = 10) -> None:
+        """Delete all but the newest `keep` versions: first what makes one current, then its tables."""
+        for version in self._versions()[:-keep] if keep > 0 else []:
+            commit = f"{self.root}/commits/{version}.json"
+            folder = json.loads(self.spark.read.text(commit, wholetext=True).first()[0])["folder"]
+            for path in (commit, f"{self.root}/{folder}"):
+                target, fs = _file_system(self.spark, path)
+                fs.delete(target, True)
 
-def append_history(events: DataFrame, path: str, batch: int, next_id: int = 1) -> int:
+
+def append_history(events: DataFrame, path: str, batch: int | str, next_id: int = 1) -> int:
     """
     Add one batch of events (with `event_rank`, their order within a moment) to the history and return the
     next free id. Ids break ties of the event time in the order things happened. A batch has its own
@@ -114,6 +125,7 @@ def append_history(events: DataFrame, path: str, batch: int, next_id: int = 1) -
     return next_id + n
 
 
-def append_requests(log_rows: DataFrame, path: str) -> None:
-    log_rows.withColumn("request_date", F.to_date("request_time")).write.mode("append").partitionBy(
-        "request_date").parquet(path)
+def append_requests(log_rows: DataFrame, path: str, batch: int | str) -> None:
+    """Add one batch of requests to the log. Writing a batch again replaces it."""
+    log_rows.withColumn("request_date", F.to_date("request_time")).write.mode("overwrite").partitionBy(
+        "request_date").parquet(f"{path.rstrip('/')}/batch={batch}")

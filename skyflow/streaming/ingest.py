@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -22,22 +23,27 @@ def start_stream_ingest(
 ) -> StreamingQuery:
     """
     Drain what the source holds now (Trigger.AvailableNow) and stop. Each micro-batch becomes one
-    committed state version; Spark moves the source offsets only after that. A batch that is
-    delivered again is recognised by its id in the last commit, and one the commit missed changes nothing twice
-    because the merge is replay-safe. No watermark: late alerts count.
+    committed state version; Spark moves the source offsets only after that. A batch that this query delivers again
+    is recognised by the query's own id, which lives in its checkpoint, and the batch's number. Whatever a new
+    checkpoint delivers is ingested: alerts seen before change nothing, because the merge is replay-safe. No watermark: late alerts count.
     """
+    def query_id() -> str:
+        text = messages.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0]
+        return json.loads(text)["id"]
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         done = store.commit_info()
         applied = done.get("applied", {})
-        if applied.get(survey, -1) >= batch_id:
+        query = f"{survey}/{query_id()}"
+        if applied.get(query, -1) >= batch_id:
             return
         result = ingest_batch(store.load(), to_contract(batch), params)
         next_id = done.get("next_event_id", 1)
         if history_path is not None:
             rank = F.create_map(*[F.lit(x) for pair in EVENT_RANKS.items() for x in pair])
             ranked = result.events.withColumn("event_rank", F.try_element_at(rank, F.col("event_type")))
-            next_id = append_history(ranked, history_path, (store.current() or 0) + 1, next_id)
-        store.commit(result.state, applied={**applied, survey: batch_id}, next_event_id=next_id)
+            next_id = append_history(ranked, history_path, f"{query.replace('/', '-')}-{batch_id}", next_id)
+        store.commit(result.state, applied={**applied, query: batch_id}, next_event_id=next_id)
 
     return (
         messages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

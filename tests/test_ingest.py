@@ -29,25 +29,25 @@ def test_three_objects(mock_run):
     got = by_id(mock_run.state.objects)
     assert sorted(got) == [1, 2, 3]
     one = got[1]
-    assert (one["ra"], one["dec"], one["jdmin"], one["jdmax"], one["jd_obs_trigger"]) == (150.0, 2.0, 61000.0, 61060.0, 61050.0)
-    assert one["latest_mags"] == {"g_lsst": 21.5, "r_lsst": 21.0, "i_lsst": 20.8, "g_ztf": 21.2, "r_ztf": 20.9}
-    assert one["n_sources"] == {"g_lsst": 5, "r_lsst": 8, "i_lsst": 3, "g_ztf": 12, "r_ztf": 10}
+    assert (one["ra"], one["dec"], one["jdmin"], one["jdmax"], one["jd_obs_trigger"]) == (33.25, -12.5, 61003.0, 61058.0, 61047.0)
+    assert one["latest_mags"] == {"g_lsst": 19.75, "i_lsst": 19.25, "z_lsst": 18.5, "g_ztf": 19.5, "r_ztf": 19.0}
+    assert one["n_sources"] == {"g_lsst": 14, "i_lsst": 2, "z_lsst": 6, "g_ztf": 4, "r_ztf": 7}
     assert [got[i]["last_survey_id"] for i in (1, 2, 3)] == [2, 1, 2]
     assert all(r["active"] and r["sync_pending"] for r in got.values())
 
 
 def test_ids_follow_the_newest_first_order(spark):
-    # Without an order of their own, 1000002 (61055) leads before 1000001 (61050).
+    # Without an order of their own, 7207 (61052) leads before 7100 (61047).
     rows = contract(spark, LSST).drop("input_row")
     result = plan.ingest_batch(store_module.empty_state(spark), rows, PARAMS)
-    assert {i: r["ra"] for i, r in by_id(result.created).items()} == {1: 160.0, 2: 150.0}
+    assert {i: r["ra"] for i, r in by_id(result.created).items()} == {1: 48.5, 2: 33.25}
 
 
 def test_names_nights_and_native_ids(mock_run):
     assert {r["name"][-3:] for r in mock_run.state.objects.collect()} == {"aaa", "aab", "aac"}
-    assert {tuple(r) for r in mock_run.state.nights.collect()} == {(1, 61049), (1, 61054), (2, 61059), (2, 61054)}
+    assert {tuple(r) for r in mock_run.state.nights.collect()} == {(1, 61046), (1, 61051), (2, 61057), (2, 61051)}
     native = {(r["survey_id"], r["native_id"]) for r in mock_run.state.native_names.collect()}
-    assert native == {(1, "1000001"), (1, "1000002"), (2, "ZTF24aaaaaa"), (2, "ZTF24bbbbbb")}
+    assert native == {(1, "7100"), (1, "7207"), (2, "ZTF25north"), (2, "ZTF25south")}
 
 
 def test_event_counts(mock_run):
@@ -206,10 +206,13 @@ def test_state_store_and_streaming(spark, tmp_path):
     version = store.current()
     drain("c1")                    # nothing new: no version
     assert store.current() == version
-    drain("c2")                    # a lost checkpoint delivers batch 0 again: recognised
-    assert store.current() == version
-    drain("c3", "lsst-replay")     # ingested again under another name: objects stay
-    assert by_id(store.load().objects) == first
+    drain("c2")                    # a lost checkpoint delivers batch 0 again: ingested, objects stay
+    assert store.current() == version + 1 and by_id(store.load().objects) == first
+    (src / "c.json").write_text(message(5, 61050.0))
+    drain("c3")                    # a fresh checkpoint with something new under the same name: nothing is lost
+    assert len(by_id(store.load().objects)) == 3
+    store.expire(keep=1)
+    assert store._versions() == [store.current()] and len(by_id(store.load().objects)) == 3
     (src / "b.json").write_text(message(0, 61055.0))
     drain("c1")
     assert by_id(store.load().objects)[1]["jdmax"] == 61055.0

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql.readwriter import DataFrameWriter
 
 import __spark_entry__ as entry
+from skyflow.plans import catalogue
 
-QUERIES, SQLS = entry.queries(), entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in catalogue.QUERIES}
+SQLS = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 PAIRWISE = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 

@@ -269,7 +269,7 @@ def test_create_answers_by_name(spark):
     answers = _answers(spark, (0, 201, '[{"name": "SKY26x1", "id": 7}, {"name": "SKY26x2"}]', None), (1, 400, '{"e": 1}', None))
     got = by_id(outbox.apply_create_results(objs, outbox.apply_create_responses(sent, answers)))
     assert (got[1]["facility_id"], got[1]["facility_mag"], got[1]["sync_pending"], got[1]["was_created"]) == (7, 20.0, False, True)
-    assert got[2]["sync_state"] == "ambiguous" and "did not list" in got[2]["sync_last_error"]
+    assert got[2]["sync_state"] == "ambiguous" and "no target of this name" in got[2]["sync_last_error"]
     assert got[3]["sync_state"] == "failed" and got[3]["sync_attempts"] == 1
     assert got[4]["sync_attempts"] == 0 and got[4]["sync_state"] == "ambiguous"
 
@@ -403,3 +403,32 @@ def test_dimensions(spark):
     assert more.count() == 12 and dimensions.pipeline_id_of(more, "lsst-default", "v1.1") == 12
     with pytest.raises(ValueError):
         dimensions.pipeline_id_of(pipes, "lsst-default", "v9")
+
+
+# ---------------------------------------------------------------- input that must not stop or lose a batch
+
+def test_messages_with_repeated_keys_and_nan_in_text_are_read(spark):
+    texts = ['{"diaObjectId": 6, "sherlock_classifications": "odd: NaN, see note"}', '{"diaObjectId": 7, "ra": 1, "ra": 2}',
+             '{"diaObjectId": 8, "ra": NaN}', '[{"diaObjectId": 9}]', '{"ra": 1}', "{bad", None]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert {r.diaObjectId for r in alerts.parse_alerts(messages, alerts.LSST_ALERT, "diaObjectId").collect()} == {6, 7, 8}
+    assert alerts.skipped_messages(messages, "diaObjectId").count() == 4
+
+
+def test_bad_values_refuse_one_row_only(spark):
+    schema = "native_id string, survey_id string, pipeline_id string, ra string, dec string, jdmin string, jdmax string, " \
+        "latest_filter string, latest_mag string, n_sources string"
+    good = ("a", "1", "1", "10.5", "2", "61000", "61050", '{"g": 61050}', '{"g": 20}', '{"g": 3}')
+    rows = [good, ("b", "1", "1", "abc", *good[4:]), ("c", *good[1:9], '{"g": 1e30}'), ("d", "one", *good[2:])]
+    df = spark.createDataFrame(rows, schema)
+    assert {r.native_id for r in validate.validate_alerts(df, 61061.0).collect()} == {"a", "c"}
+    assert {(r.native_id, r.reject_reason) for r in validate.alert_rejects(df, 61061.0).collect()} == {
+        ("b", "ra missing or not finite"), ("d", "survey_id missing or not finite")}
+
+
+def test_a_host_listed_twice_takes_one_rank(spark):
+    objs = spark.createDataFrame([(1, 10.0, 0.0)], "object_id bigint, ra double, dec double")
+    rows = [("A", "galaxy", 10.0001, 0.0), ("A", "galaxy", 10.0001, 0.0), ("A", "galaxy", 10.0002, 0.0), ("B", "galaxy", 10.0003, 0.0)]
+    gal = spark.createDataFrame(rows, "host_name string, object_type string, ra double, dec double")
+    got = {r["rank"]: r["host_name"] for r in hosts.host_crossmatch(objs, gal, 5.0).collect()}
+    assert got == {1: "A", 2: "B"}

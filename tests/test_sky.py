@@ -217,3 +217,11 @@ def test_host_crossmatch_with_copies(spark):
     gal = spark.createDataFrame(rows, "host_name string, object_type string, ra double, dec double")
     got = {(r["object_id"], r["rank"]): r["host_name"] for r in hosts.host_crossmatch(objs, gal, 5.0).collect()}
     assert got == {(i, k + 1): n for i in range(1, 5) for k, n in enumerate(["NEAR", "C000", "C001"])}
+
+
+def test_more_hot_keys_than_any_list(spark):
+    left = spark.range(15_000).select((F.col("id") % 1500).alias("k"), F.col("id").alias("l"))
+    right = spark.range(1500).select(F.col("id").alias("k"), F.col("id").alias("r"))
+    joined = skew.salted_join(left, right, "k", F.lit(True), "l", rows_per_task=5)
+    assert skew.hot_keys(left, "k", 5).count() == 1500
+    assert joined.count() == 15_000 and joined.select("l").distinct().count() == 15_000
