@@ -242,10 +242,12 @@ add("active_counts", "SELECT active, count(*) AS n FROM ob GROUP BY active")
 add("incremental_watermark", """
     SELECT 'incremental' AS run, strftime(max(TRY_CAST(date_ingested AS TIMESTAMP)) - INTERVAL 3 DAY, '%Y-%m-%dT%H:%M:%S.%fZ') AS since FROM tg
     UNION ALL SELECT 'empty', '2024-01-01T00:00:00.000000Z' UNION ALL SELECT 'forced', '2024-01-01T00:00:00.000000Z'""")
-add("run_report", """
-    SELECT 'new' AS section, (SELECT count(*) FROM i1_new) + (SELECT count(*) FROM i2_new) AS n
-    UNION ALL SELECT 'updated', (SELECT count(*) FROM i2_chg WHERE touched AND object_id NOT IN (SELECT object_id FROM i2_new))
-    UNION ALL SELECT 'deactivated', (SELECT count(*) FROM aged_a WHERE deactivation_reason IS NOT NULL)""", FULL)
+add("run_report", f"""
+    SELECT 'new' AS section, {' + '.join(f"(SELECT count(*) FROM i{i}_new)" for i in (1, 2, 3, 4))} AS n
+    UNION ALL SELECT 'updated', {' + '.join(
+        f"(SELECT count(*) FROM i{i}_chg WHERE touched AND object_id NOT IN (SELECT object_id FROM i{i}_new))" for i in (2, 3, 4))}
+    UNION ALL SELECT 'deactivated', (SELECT count(*) FROM aged_a WHERE deactivation_reason IS NOT NULL)
+        + (SELECT count(*) FROM aged_b WHERE deactivation_reason IS NOT NULL)""", FULL)
 add("event_span", "SELECT strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS first, strftime(max(event_time), '%Y-%m-%d %H:%M:%S') AS last, count(*) AS n FROM hist")
 add("band_map_build", " UNION ALL ".join(
     f"SELECT event_id, '{b}' AS band, {b}_psfFlux AS flux FROM lsst WHERE {b}_psfFlux IS NOT NULL" for b in A.BANDS))
@@ -317,8 +319,8 @@ add("scalar_parse_band_map", """
            CASE WHEN json_valid(latest_mag) THEN len(json_keys(latest_mag)) ELSE 0 END AS n FROM sub""")
 _STORED = {"g": ("20.0", "60320.0"), "r": ("21.0", "60312.0")}
 add("scalar_merge_bands", "SELECT event_id, " + ", ".join(
-    f"CASE WHEN mjd_{b}_lsst IS NOT NULL" + (f" AND mjd_{b}_lsst > {_STORED[b][1]}" if b in _STORED else "")
-    + f" THEN mag_{b}_lsst ELSE {_STORED[b][0] + '::DOUBLE' if b in _STORED else 'NULL'} END AS {b}_lsst" for b in A.BANDS) + " FROM lsst_c")
+    f"CASE WHEN mjd_{b} IS NOT NULL" + (f" AND mjd_{b} > {_STORED[b[0]][1]}" if b in ("g_lsst", "r_lsst") else "")
+    + f" THEN mag_{b} ELSE {_STORED[b[0]][0] + '::DOUBLE' if b in ('g_lsst', 'r_lsst') else 'NULL'} END AS {b}" for b in A.CONTRACT_BANDS) + " FROM alerts")
 add("scalar_json_details", "SELECT event_id, jdmin, jdmax, mag_g_lsst FROM alerts")
 add("scalar_payload_unpack", """
     SELECT log_id, pos AS position, 'SKY24' || CAST(CASE pos WHEN 0 THEN first_id ELSE second_id END AS VARCHAR) AS name,
@@ -340,16 +342,20 @@ add("scalar_merge_patch", "SELECT event_id, 'false' AS is_active, CAST(json_extr
 # ---------------------------------------------------------------- stateful upserts
 
 _ALL_LSST = {**latest_input("in_all", "lsst_c", "true"), **ingest("s1", "in_all", None, "2024-02-01", "60341.0::DOUBLE")}
-add("create_objects", f"SELECT {OBJECT_COLUMNS} FROM s1_new", _ALL_LSST)
+_ALL_BOTH = {
+    **_ALL_LSST, **latest_input("in_ztf_all", "ztf_c", "true"), **ingest("s2", "in_ztf_all", "s1_obj", "2024-02-01", "60341.0::DOUBLE"),
+}
+add("create_objects", f"SELECT {OBJECT_COLUMNS} FROM s1_new UNION ALL SELECT {OBJECT_COLUMNS} FROM s2_new", _ALL_BOTH)
 add("upsert_objects", f"SELECT {OBJECT_COLUMNS} FROM changes")
 add("merge_band_maps", "SELECT l.stage_row, " + ", ".join(
     f"CASE WHEN l.mjd_{b} IS NOT NULL AND (o.mjd_{b} IS NULL OR l.mjd_{b} > o.mjd_{b}) THEN l.mag_{b} ELSE o.mag_{b} END AS {b}"
     for b in A.CONTRACT_BANDS) + " FROM late l JOIN objects0 o ON o.object_id = l.object_id")
-_TWO = {
-    "ev_a": FULL["ev_a"], "ev_b": FULL["ev_b"], "in_lsst_a": FULL["in_lsst_a"], "in_lsst_b": FULL["in_lsst_b"],
-    **ingest("i1", "in_lsst_a", None, "2024-01-16", "60325.0::DOUBLE"), **ingest("j2", "in_lsst_b", "i1_obj", "2024-02-01", "60341.0::DOUBLE"),
+_UNAGED = {
+    **{name: FULL[name] for name in ("ev_a", "ev_b", "in_lsst_a", "in_lsst_b", "in_ztf_a", "in_ztf_b")},
+    **ingest("i1", "in_lsst_a", None, "2024-01-16", "60325.0::DOUBLE"), **ingest("i2", "in_ztf_a", "i1_obj", "2024-01-16", "60325.0::DOUBLE"),
+    **ingest("j3", "in_lsst_b", "i2_obj", "2024-02-01", "60341.0::DOUBLE"), **ingest("j4", "in_ztf_b", "j3_obj", "2024-02-01", "60341.0::DOUBLE"),
 }
-add("ingest_batch", f"SELECT {OBJECT_COLUMNS} FROM j2_obj", _TWO)
+add("ingest_batch", f"SELECT {OBJECT_COLUMNS} FROM j4_obj", _UNAGED)
 
 
 def _events(p: str, run: str) -> str:
@@ -368,8 +374,8 @@ def _events(p: str, run: str) -> str:
 
 add("batch_events", " UNION ALL ".join([_events("i1", "run-a"), _events("i2", "run-a"), _events("i3", "run-b"), _events("i4", "run-b")] + [
     f"SELECT 'run-{t}', object_id, 'deactivated', deactivation_reason, NULL, NULL, NULL FROM aged_{t} WHERE deactivation_reason IS NOT NULL" for t in ("a", "b")]), FULL)
-add("deactivate_objects", "SELECT object_id, active, sync_pending, deactivation_reason, nights_since FROM aged_a", FULL)
-add("replay_noop", f"SELECT {OBJECT_COLUMNS} FROM s1_obj", _ALL_LSST)
+add("deactivate_objects", "SELECT object_id, active, sync_pending, deactivation_reason, nights_since FROM aged_b", FULL)
+add("replay_noop", f"SELECT {OBJECT_COLUMNS} FROM s2_obj", _ALL_BOTH)
 
 # ---------------------------------------------------------------- outbox state machine
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -692,10 +693,12 @@ def incremental_watermark(spark, sf_dir):
 
 @query
 def run_report_query(spark, sf_dir):
-    run = _checked(_run_a(spark, sf_dir))
-    made = run.results["lsst"].created.unionByName(run.results["ztf"].created)
-    updated = run.results["lsst"].updated.unionByName(run.results["ztf"].updated)
-    return run_report(made, updated, run.deactivated)
+    first = _checked(_run_a(spark, sf_dir))
+    runs = [first, _checked(_run_b(spark, sf_dir, first))]
+    results = [r for run in runs for r in run.results.values()]
+    made, updated, off = (reduce(DataFrame.unionByName, frames) for frames in (
+        [r.created for r in results], [r.updated for r in results], [run.deactivated for run in runs]))
+    return run_report(made, updated, off)
 
 
 @query
@@ -878,12 +881,14 @@ def scalar_parse_band_map(spark, sf_dir):
 
 @query
 def scalar_merge_bands(spark, sf_dir):
-    raw = normalize.normalize_lsst(A.lsst_raw(A.events(spark, sf_dir)), 1, ["event_id"])
+    ev, columns = A.events(spark, sf_dir), ["event_id", "latest_mag", "latest_filter"]
+    raw = normalize.normalize_lsst(A.lsst_raw(ev), A.PIPELINE_LSST, ["event_id"]).select(*columns).unionByName(
+        normalize.normalize_ztf(A.ztf_raw(ev), A.PIPELINE_ZTF, ["event_id"]).select(*columns))
     stored = B.build_map([("g_lsst", "20.0"), ("r_lsst", "21.0")], "double")
     stored_mjd = B.build_map([("g_lsst", "60320.0"), ("r_lsst", "60312.0")], "double")
     merged = B.merge_band_maps(stored, stored_mjd, F.col("latest_mag"), F.col("latest_filter"))
     return raw.select("event_id", merged.alias("m")).select(
-        "event_id", *[F.try_element_at("m", F.lit(f"{b}_lsst")).alias(f"{b}_lsst") for b in A.BANDS])
+        "event_id", *[F.try_element_at("m", F.lit(b)).alias(b) for b in A.CONTRACT_BANDS])
 
 
 @query
@@ -950,9 +955,10 @@ def scalar_merge_patch(spark, sf_dir):
 
 @query
 def create_objects(spark, sf_dir):
-    """The flagship slice: newest alert per id, validated, resolved on an empty state, new objects."""
-    run = ingest_batch(state_source.empty_state(spark), _readers(A.events(spark, sf_dir))[0][1](), RUN_B)
-    return _object_columns(run.created)
+    """The flagship slice: newest alert per id, validated, resolved survey by survey from an empty state on, new objects."""
+    (_, lsst), (_, ztf) = _readers(A.events(spark, sf_dir))
+    first = ingest_batch(state_source.empty_state(spark), lsst(), RUN_B)
+    return _object_columns(first.created.unionByName(ingest_batch(first.state, ztf(), RUN_B).created))
 
 
 @query
@@ -973,11 +979,13 @@ def merge_band_maps(spark, sf_dir):
 
 @query
 def ingest_batch_query(spark, sf_dir):
-    """The early alerts of survey 1 into an empty state, then the late ones."""
-    ev = A.events(spark, sf_dir)
-    first = ingest_batch(state_source.empty_state(spark), _readers(ev.filter(F.col("mjd") < A.BATCH_SPLIT_MJD))[0][1](), RUN_A)
-    second = ingest_batch(first.state, _readers(ev.filter(F.col("mjd") >= A.BATCH_SPLIT_MJD))[0][1](), RUN_B)
-    return _object_columns(second.state.objects)
+    """The early alerts of both surveys into an empty state, then the late ones, without ageing."""
+    ev, state = A.events(spark, sf_dir), state_source.empty_state(spark)
+    early = F.col("mjd") < A.BATCH_SPLIT_MJD
+    for part, params in ((ev.filter(early), RUN_A), (ev.filter(~early), RUN_B)):
+        for _, read in _readers(part):
+            state = ingest_batch(state, read(), params).state
+    return _object_columns(state.objects)
 
 
 @query
@@ -989,22 +997,22 @@ def batch_events(spark, sf_dir):
 
 @query
 def deactivate_objects(spark, sf_dir):
-    """Ageing after the early run: every object with its reason, if any."""
-    ev = A.events(spark, sf_dir).filter(F.col("mjd") < A.BATCH_SPLIT_MJD)
-    state = state_source.empty_state(spark)
-    for _, read in _readers(ev):
-        state = ingest_batch(state, read(), RUN_A).state
-    aged = clock.deactivate_objects(state.objects, state.nights, RUN_A.now_mjd)
+    """Ageing after the late alerts, which follow the early run: every object with its reason, if any."""
+    state = _checked(_run_a(spark, sf_dir)).state
+    for _, read in _readers(A.events(spark, sf_dir).filter(F.col("mjd") >= A.BATCH_SPLIT_MJD)):
+        state = ingest_batch(state, read(), RUN_B).state
+    aged = clock.deactivate_objects(state.objects, state.nights, RUN_B.now_mjd)
     return aged.select("object_id", "active", "sync_pending", "deactivation_reason", "nights_since")
 
 
 @query
 def replay_noop(spark, sf_dir):
-    """A batch ingested twice: the objects after the second time."""
-    read = _readers(A.events(spark, sf_dir))[0][1]
-    once = ingest_batch(state_source.empty_state(spark), read(), IngestParams(now=RUN_B.now))
-    later = IngestParams(now=RUN_B.now + dt.timedelta(days=1))
-    return _object_columns(ingest_batch(once.state, read(), later).state.objects)
+    """Batches of both surveys ingested twice: the objects after the second time."""
+    state, later = state_source.empty_state(spark), IngestParams(now=RUN_B.now + dt.timedelta(days=1))
+    for params in (IngestParams(now=RUN_B.now), later):
+        for _, read in _readers(A.events(spark, sf_dir)):
+            state = ingest_batch(state, read(), params).state
+    return _object_columns(state.objects)
 
 
 # ---------------------------------------------------------------- outbox state machine
