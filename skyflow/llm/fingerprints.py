@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-# up to seven words that don't end a sentence and one more word, with the white space around them
-_STRETCH = r"\s*+(?:\S++(?<![.!?])\s++){0,7}+(?:\S++\s*+)"
+# up to seven words that don't end a sentence and that another word follows, and one more word, with the white space around them
+_STRETCH = r"\s*+(?:\S++(?<![.!?])\s++(?=\S)){0,7}+\S++\s*+"
 ROWS_PER_RANGE = 4_000      # neighbouring documents that one window group holds
 _MAX_RANGES = 2_000         # ranges whose bounds are looked up; beyond this many the ranges grow
 
 
+def stretches_of(line: Column) -> Column:
+    """The stretches of a line, which joined are the line; a line without words is a stretch itself."""
+    found = F.regexp_extract_all(line, F.lit(_STRETCH), F.lit(0))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(line))
+
+
 def leaves_of(text: Column) -> Column:
     """The leaf hashes of a text, section by section and paragraph by paragraph: array<array<array<bigint>>>. Sections end
     at an empty line, paragraphs at a line break; a paragraph without words is a leaf itself."""
-    def stretches(line: Column) -> Column:
-        found = F.regexp_extract_all(line, F.lit(_STRETCH), F.lit(0))
-        return F.transform(F.when(F.size(found) > 0, found).otherwise(F.array(line)), lambda x: F.xxhash64(x))
-
-    return F.transform(F.split(text, "\n\n", -1), lambda section: F.transform(F.split(section, "\n", -1), stretches))
+    leaves = lambda line: F.transform(stretches_of(line), lambda x: F.xxhash64(x))
+    return F.transform(F.split(text, "\n\n", -1), lambda section: F.transform(F.split(section, "\n", -1), leaves))
 
 
 def merkle(leaves: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from skyflow.llm import near_dedup as nd
 from skyflow.llm.components import connected_components
-from skyflow.llm.fingerprints import differing_branches, fingerprint_documents, op2_fingerprints, with_next
+from skyflow.llm.fingerprints import differing_branches, fingerprint_documents, op2_fingerprints, stretches_of, with_next
 from skyflow.llm.licenses import TEMPLATES, fit_licenses, scan_licenses
 from skyflow.llm.mixing import mix, mixed_documents, op1_mixing, permuted, source_targets
 from skyflow.llm.search import build_index, search
@@ -126,6 +126,24 @@ def test_differing_branches_locate_edits(spark):
     assert sorted((r.doc_id, r.section, r.paragraph, r.hash_a is None) for r in rows) == [(1, 1, 0, False), (1, 1, 2, True)]
 
 
+def test_every_word_of_a_line_is_in_a_leaf(spark, docs):
+    tails = ["One sentence. alpha beta", "One sentence. gamma delta", "a b c d e f g h i", "no stop here", "Stop! last", "漢字 straße", "", "w"]
+    texts = [t + end for t in tails for end in ("", " ", "\t", "\r", " \t \r", ".", ". ", "\r\nmore ", "\n\nmore\r", "\r\n\r\nmore \r\n")]
+    texts += [r.text[:len(r.text) - i % 40] for i, r in enumerate(docs.filter("text IS NOT NULL").collect())]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    lines = df.select(F.explode(F.split("text", "\n", -1)).alias("line")).select("line", stretches_of(F.col("line")).alias("parts")).collect()
+    assert all("".join(r.parts) == r.line for r in lines) and max(len(r.parts) for r in lines) > 1
+    roots = {r.root for r in fingerprint_documents(df).collect()}
+    assert len(roots) == len(set(texts))
+
+
+def test_an_edit_before_trailing_white_space_is_located(spark):
+    at = lambda word, end: spark.createDataFrame([(1, f"One sentence. alpha {word}{end}")], "doc_id long, text string")
+    for end in (" ", "\t", "\r", "\r\nnext line"):
+        rows = differing_branches(fingerprint_documents(at("beta", end)), fingerprint_documents(at("delta", end))).collect()
+        assert [(r.section, r.paragraph) for r in rows] == [(0, 0)]
+
+
 def test_next_rows(spark, no_docs):
     rows = [(i * 3, f"t{i}") for i in range(9000)] + [(None, "n"), (30, "again")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_tie", F.col("text"))
