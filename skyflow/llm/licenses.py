@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -19,7 +21,7 @@ SURE = 0.99                    # share of a family's calibration paragraphs that
 _WORD = r"[\p{L}\p{N}][\p{L}\p{N}.\-]*"
 _HINTS = r"(?i)licen[sc]|copyright|rights\s+reserved|permission|redistribut|warrant"   # chooses fit rows, not results
 
-#: The words by which texts name their licence.
+#: Sentences by which texts name their licence; the SQL knows these only.
 TEMPLATES = {
     "all-rights-reserved": ["All rights reserved."],
     "apache-2.0": ["Licensed under the Apache License, Version 2.0."],
@@ -31,13 +33,89 @@ TEMPLATES = {
     "mit": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."],
 }
 
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the {%s} as published by the Free Software Foundation, either {%s} of the License, or (at your option) any later version."
+_GNU_ONLY = "it under the terms of the {%s} as published by the Free Software Foundation, {%s}"
+_CC = "This work is licensed under a {Creative Commons %s %s} License."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+
+
+def _gnu(name: str, spdx: str, *versions: str) -> list[str]:
+    out = []
+    for v in versions:
+        out += [_GNU % (name, f"version {v}"), _GNU_ONLY % (name, f"version {v}")]
+        out += [f"licensed under the {{{name}}}, {{version {v}}}.", f"{{{name} v{v}}}", f"the {{{name} {v}}}", f"{{{spdx.split('-')[0]} {v}}} license", f"licensed under the {{{spdx.split('-')[0]}v{v} license}}"]
+    return out + _spdx(spdx, f"{spdx}-only", f"{spdx}-or-later")
+
+
+def _spdx(*ids: str) -> list[str]:
+    return [f"{{SPDX-License-Identifier: {i}}}" for i in ids]
+
+
+def _cc(kind: str, name: str, version: str) -> list[str]:
+    return [_CC % (name, version), f"Licensed under {{CC {kind} {version}}}.", f"a {{Creative Commons {name} {version} International License}}.", *_spdx(f"CC-{kind}-{version}")]
+
+
+#: The sentences above, SPDX ids and the usual headers and grants of more families. All word pairs in braces (name and version) must be in a paragraph.
+FAMILIES = {
+    "agpl-3.0": _gnu("GNU Affero General Public License", "AGPL-3.0", "3", "3.0"),
+    "all-rights-reserved": ["{All rights reserved}."],
+    "apache-2.0": [
+        "Licensed under the {Apache License, Version 2.0}.", "Licensed under the {Apache License, Version 2.0} (the License); you may not use this file except in compliance with the License.",
+        "licensed under the {Apache License 2.0}", "licensed under the {Apache 2.0 license}", "{Apache-2.0 License}", *_spdx("Apache-2.0")],
+    "bsd-2-clause": ["{BSD 2-Clause} License", "Simplified {BSD License}", "{Simplified BSD} License", "{2-clause BSD} license", *_spdx("BSD-2-Clause")],
+    "bsd-3-clause": [
+        "{Redistribution and use in source and binary forms}, with or without modification, are permitted.", _BSD.replace("Redistribution and use in source and binary forms", "{Redistribution and use in source and binary forms}"),
+        "{BSD 3-Clause} License", "{3-clause BSD} license", "{New BSD} License", "{Revised BSD} License", *_spdx("BSD-3-Clause"),
+        "Neither the {name of the copyright holder nor the names of its contributors} may be used to endorse or promote products derived from this software"],
+    "bsl-1.0": ["Distributed under the {Boost Software License, Version 1.0}.", *_spdx("BSL-1.0")],
+    "cc-by-3.0": _cc("BY", "Attribution", "3.0"),
+    "cc-by-4.0": _cc("BY", "Attribution", "4.0"),
+    "cc-by-nc-4.0": _cc("BY-NC", "Attribution-NonCommercial", "4.0"),
+    "cc-by-nc-sa-4.0": _cc("BY-NC-SA", "Attribution-NonCommercial-ShareAlike", "4.0"),
+    "cc-by-nd-4.0": _cc("BY-ND", "Attribution-NoDerivatives", "4.0"),
+    "cc-by-sa-3.0": _cc("BY-SA", "Attribution-ShareAlike", "3.0"),
+    "cc-by-sa-4.0": _cc("BY-SA", "Attribution-ShareAlike", "4.0"),
+    "cc0-1.0": ["{CC0 1.0} Universal", "{Creative Commons Zero} v1.0 Universal", "released under {CC0 1.0}", *_spdx("CC0-1.0")],
+    "epl-1.0": ["made available under the terms of the {Eclipse Public License v1.0}", "the {Eclipse Public License, Version 1.0}", *_spdx("EPL-1.0")],
+    "epl-2.0": ["made available under the terms of the {Eclipse Public License 2.0}", "the {Eclipse Public License v2.0}", "the {Eclipse Public License, Version 2.0}", *_spdx("EPL-2.0")],
+    "gpl-2.0": _gnu("GNU General Public License", "GPL-2.0", "2", "2.0"),
+    "gpl-3.0": ["This work is licensed under the {GNU General Public License, version 3}.", *_gnu("GNU General Public License", "GPL-3.0", "3", "3.0")],
+    "isc": [
+        "{ISC License}", "licensed under the {ISC License}", *_spdx("ISC"),
+        "{Permission to use, copy, modify, and/or distribute this software} for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "lgpl-2.1": _gnu("GNU Lesser General Public License", "LGPL-2.1", "2.1"),
+    "lgpl-3.0": _gnu("GNU Lesser General Public License", "LGPL-3.0", "3", "3.0"),
+    "mit": [
+        "Released under the {MIT License}.", "{Permission is hereby granted, free of charge, to any person obtaining a copy of this software}.", "{MIT License}", *_spdx("MIT"),
+        "{Permission is hereby granted, free of charge, to any person obtaining a copy of this software} and associated documentation files (the Software), to deal in the Software without restriction"],
+    "mpl-2.0": [
+        "This Source Code Form is subject to the terms of the {Mozilla Public License, v. 2.0}.", "the {Mozilla Public License, version 2.0}", "the {Mozilla Public License 2.0}", *_spdx("MPL-2.0")],
+    "unlicense": ["This is free and unencumbered software {released into the public domain}.", *_spdx("Unlicense")],
+    "zlib": ["This software is provided {as-is, without any express or implied warranty}. In no event will the authors be held liable", "the {zlib License}", *_spdx("Zlib")],
+}
+
+
+def class_of(family: str) -> str:
+    """The licence's name without its version: what the classifier tells apart. Templates tell versions apart."""
+    return re.split(r"-\d", family)[0]
+
+
+def _template(family: str, marked: str) -> tuple[str, str, list[str], list[str]]:
+    """family, text, its distinct word pairs, those of them that must be there."""
+    def pairs(text: str) -> list[str]:
+        found = [w.rstrip(".-") for w in re.findall(r"[a-z0-9][a-z0-9.\-]*", text.lower())]
+        return list(dict.fromkeys(f"{a} {b}" for a, b in zip(found, found[1:])))
+
+    text = marked.replace("{", "").replace("}", "")
+    return family, text, pairs(text), list(dict.fromkeys(p for part in re.findall(r"\{(.*?)\}", marked) for p in pairs(part)))
+
 
 @dataclass(frozen=True)
 class LicenseModel:
-    families: list[str]              # by class number; the last is UNKNOWN
+    classes: list[str]               # by class number; the last is UNKNOWN
     classifier: LogisticRegressionModel
     cuts: list[float]                # calibrated: a lower probability is unknown
-    templates: list[tuple[str, str]]
+    templates: list[tuple[str, str, list[str], list[str]]]
 
 
 def _words(text: Column) -> Column:
@@ -56,15 +134,26 @@ def _pairs(words: Column) -> Column:
     return F.filter(pairs, lambda p: p.isNotNull())
 
 
-def _likeness(words: Column, templates: list[tuple[str, str]], family: Column | None = None) -> Column:
-    """struct(likeness, family) of the template whose word pairs the paragraph has most of; of one family only if it is given."""
-    have = _pairs(words)
-    scores = []
-    for name, text in templates:
-        own = F.array_distinct(_pairs(_words(F.lit(text))))
-        share = F.size(F.array_intersect(own, have)) / F.size(own)
-        scores.append(F.struct((share if family is None else F.when(family == name, share).otherwise(0.0)).alias("likeness"), F.lit(name).alias("family")))
-    return F.greatest(*scores)
+def _likeness(words: Column, templates: list[tuple[str, str, list[str], list[str]]], name: Column | None = None) -> Column:
+    """struct(likeness, family) of the template whose word pairs the paragraph has most of, among those whose required pairs it
+    has all of (likeness 0: none); of one class only if it is given."""
+    # one literal: as expressions, the thousands of pairs take the planner minutes
+    rows = [{"name": class_of(family), "family": family, "own": own, "needed": needed} for family, _, own, needed in templates]
+    known = F.from_json(F.lit(json.dumps(rows)), "array<struct<name: string, family: string, own: array<string>, needed: array<string>>>")
+
+    def best(have: Column) -> Column:
+        def score(t: Column) -> Column:
+            confirmed = F.size(F.array_except(t["needed"], have)) == 0
+            if name is not None:
+                confirmed &= t["name"] == name
+            return F.struct(
+                F.when(confirmed, F.size(F.array_intersect(t["own"], have)) / F.size(t["own"])).otherwise(0.0).alias("likeness"),
+                F.when(confirmed, F.size(t["needed"])).otherwise(0).alias("needed"), t["family"].alias("family"))
+        return F.array_max(F.transform(known, score))
+
+    # a variable of a lambda function, so that the pairs are made once and not for every template
+    found = F.transform(F.array(_pairs(words)), best)[0]
+    return F.struct(found["likeness"].alias("likeness"), found["family"].alias("family"))
 
 
 def paragraphs_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -75,27 +164,27 @@ def paragraphs_of(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def fit_licenses(
-    docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, text_column: str = "text", max_rows: int = MAX_FIT_ROWS,
+    docs: DataFrame, templates: dict[str, list[str]] = FAMILIES, text_column: str = "text", max_rows: int = MAX_FIT_ROWS,
 ) -> LicenseModel:
     """
-    Learn the families from paragraphs of the corpus. A paragraph's label is the family of the template that it has nearly
+    Learn the licences' names from paragraphs of the corpus. A paragraph's label is the name in the template that it has nearly
     all word pairs of; paragraphs with few of any template's are unknown. At most `max_rows` paragraphs that use
     licence words and as many others are taken, chosen by a hash; the templates themselves always belong to them, so
-    that every family can be learned. Sparse binary word and word-pair features, multinomial logistic regression with an
-    elastic net. A quarter of the rows is left out of the fit and calibrates each family's cut: the probability that SURE of its paragraphs reach.
+    that every name can be learned. Sparse binary word and word-pair features, multinomial logistic regression with an
+    elastic net. A quarter of the rows is left out of the fit and calibrates each name's cut: the probability that SURE of its paragraphs reach.
     """
     spark = docs.sparkSession
-    pairs = [(name, text) for name, texts in sorted(templates.items()) for text in texts]
-    families = [*sorted(templates), UNKNOWN]
+    known = [_template(family, text) for family, texts in sorted(templates.items()) for text in texts]
+    classes = [*sorted({class_of(family) for family in templates}), UNKNOWN]
     lines = docs.select(F.explode(F.split(F.col(text_column), r"[\r\n]+", -1)).alias("text")).filter("trim(text) != ''")
     order = F.xxhash64("text")
     hinted = lines.filter(F.col("text").rlike(_HINTS)).orderBy(order).limit(max_rows)
     others = lines.filter(~F.col("text").rlike(_HINTS)).orderBy(order).limit(max_rows)
-    own = spark.createDataFrame([(text,) for _, text in pairs], "text string")
+    own = spark.createDataFrame([(text,) for _, text, _, _ in known], "text string")
     rows = hinted.unionByName(others).withColumn("_own", F.lit(False)).unionByName(own.withColumn("_own", F.lit(True)))
-    rows = rows.withColumn("_words", _words(F.col("text"))).withColumn("_best", _likeness(F.col("_words"), pairs))
-    number = F.element_at(F.create_map(*[F.lit(x) for i, f in enumerate(families) for x in (f, float(i))]), F.col("_best.family"))
-    label = F.when(F.col("_best.likeness") >= 0.9, number).when(F.col("_best.likeness") < 0.5, F.lit(float(len(families) - 1)))
+    rows = rows.withColumn("_words", _words(F.col("text"))).withColumn("_best", _likeness(F.col("_words"), known))
+    number = F.element_at(F.create_map(*[F.lit(x) for f in sorted(templates) for x in (f, float(classes.index(class_of(f))))]), F.col("_best.family"))
+    label = F.when(F.col("_best.likeness") >= 0.9, number).when(F.col("_best.likeness") < 0.5, F.lit(float(len(classes) - 1)))
     rows = rows.withColumn("label", label).filter("label IS NOT NULL").select(
         "label", "_own", _grams(F.col("_words")).alias("grams"), (F.pmod(F.xxhash64("text", F.lit(7)), F.lit(4)) == 0).alias("_calibrate"))
     rows = materialize(rows, "license-rows")
@@ -105,13 +194,13 @@ def fit_licenses(
     scored = classifier.transform(features.transform(rows.filter("_own OR _calibrate")))
     own_probability = F.element_at(vector_to_array("probability"), (F.col("label") + 1).cast("int"))
     cuts = {r["label"]: r["cut"] for r in scored.groupBy("label").agg(F.percentile_approx(own_probability, 1 - SURE, 10_000).alias("cut")).collect()}
-    return LicenseModel(families, classifier, [min(0.95, cuts.get(float(i), 0.5) * 0.9) for i in range(len(families))], pairs)
+    return LicenseModel(classes, classifier, [min(0.95, cuts.get(float(i), 0.5) * 0.9) for i in range(len(classes))], known)
 
 
 def scan_licenses(docs: DataFrame, model: LicenseModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """
-    doc_id, text_key, paragraph, family, probability, likeness of every paragraph that names a licence: the classifier's family
-    reaches its calibrated cut, and a template of that family confirms it. Every paragraph of every whole text is scored.
+    doc_id, text_key, paragraph, family, probability, likeness of every paragraph that names a licence: the classifier's name
+    reaches its calibrated cut, and a template of that name confirms it and gives the family with its version. Every paragraph of every whole text is scored.
     Null and empty texts have no paragraphs; null ids and repeated rows are scanned like others; other columns are not
     read; an empty table gives an empty table. Nothing is shuffled.
     """
@@ -119,11 +208,11 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, id_column: str = "doc_id
     features = HashingTF(inputCol="_grams", outputCol="features", numFeatures=FEATURES, binary=True)
     scored = model.classifier.transform(features.transform(lines)).withColumn("_p", F.element_at(vector_to_array("probability"), (F.col("prediction") + 1).cast("int")))
     cut = F.element_at(F.array(*map(F.lit, model.cuts)), (F.col("prediction") + 1).cast("int"))
-    family = F.element_at(F.array(*map(F.lit, model.families)), (F.col("prediction") + 1).cast("int"))
-    known = scored.withColumn("family", family).filter((F.col("family") != UNKNOWN) & (F.col("_p") >= cut))
-    confirmed = known.withColumn("_best", _likeness(F.col("_words"), model.templates, F.col("family")))
+    name = F.element_at(F.array(*map(F.lit, model.classes)), (F.col("prediction") + 1).cast("int"))
+    known = scored.withColumn("_name", name).filter((F.col("_name") != UNKNOWN) & (F.col("_p") >= cut))
+    confirmed = known.withColumn("_best", _likeness(F.col("_words"), model.templates, F.col("_name")))
     return confirmed.filter(F.col("_best.likeness") >= CONFIRMED).select(
-        "doc_id", "text_key", "paragraph", "family", F.col("_p").alias("probability"), F.col("_best.likeness").alias("likeness"))
+        "doc_id", "text_key", "paragraph", F.col("_best.family").alias("family"), F.col("_p").alias("probability"), F.col("_best.likeness").alias("likeness"))
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import __spark_entry__ as entry
 from skyflow.llm import near_dedup as nd
 from skyflow.llm.components import connected_components
 from skyflow.llm.fingerprints import differing_branches, fingerprint_documents, op2_fingerprints, stretches_of, with_next
-from skyflow.llm.licenses import TEMPLATES, fit_licenses, scan_licenses
+from skyflow.llm.licenses import FAMILIES, TEMPLATES, fit_licenses, scan_licenses
 from skyflow.llm.mixing import mix, mixed_documents, op1_mixing, permuted, source_targets
 from skyflow.llm.search import build_index, search
 from skyflow.llm.substring_dedup import drop_repeated_passages
@@ -284,6 +284,30 @@ def test_licenses_of_odd_documents(spark, odd_docs, no_docs, docs):
     fit_licenses(no_docs)
 
 
+LICENSE_LINES = [
+    ("// SPDX-License-Identifier: MIT", "mit"), ("# SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"), ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"),
+    ("it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or", "gpl-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "gpl-2.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "lgpl-3.0"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "agpl-3.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "gpl-3.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("Our code is under the BSD 2-Clause License", "bsd-2-clause"), ("ISC License", "isc"), ("CC0 1.0 Universal", "cc0-1.0"),
+    ("made available under the terms of the Eclipse Public License 2.0", "epl-2.0"),
+    ("This work is licensed under the GNU General Public License, version 7.", None), ("a general work for the public", None),
+]
+
+
+def test_licenses_beyond_the_sql(spark, docs):
+    model = fit_licenses(docs)
+    rows = scan_licenses(spark.createDataFrame(list(enumerate(t for t, _ in LICENSE_LINES)), "doc_id long, text string"), model).collect()
+    assert {LICENSE_LINES[r.doc_id][0]: r.family for r in rows} == {t: f for t, f in LICENSE_LINES if f}
+    texts = [(i, t.replace("{", "").replace("}", ""), f) for i, (f, t) in enumerate((f, t) for f, ts in FAMILIES.items() for t in ts)]
+    got = {r.doc_id: r.family for r in scan_licenses(spark.createDataFrame(texts, "doc_id long, text string, family string"), model).collect()}
+    assert [(t, f, got.get(i)) for i, t, f in texts if got.get(i) != f] == []
+    assert all(t in [x[1] for x in texts if x[2] == f] for f, ts in TEMPLATES.items() for t in ts if not f.startswith("cc"))
+
+
 # ---- search ----
 
 def test_search_of_odd_documents(spark, odd_docs, no_docs):
