@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .fingerprints import op2_fingerprints
+from .lexical import op12_lexical_search
 from .licenses import op9_licenses
 from .mixing import op1_mixing
 from .near_dedup import op5_near_duplicates
 from .packing import op6_best_fit_packing
+from .repair import op11_conversation_repair
 from .search import op10_search
 from .substring_dedup import op4_substring_dedup
 from .token_counts import op7_token_counts
@@ -25,5 +27,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_licenses": op9_licenses,
     "op10_search": op10_search,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_lexical_search": op12_lexical_search,
 }
-SQL = {"op10_search": sql.SEARCH, "op9_licenses": sql.LICENSES, "op4_substring_dedup": sql.SUBSTRING_DEDUP, "op5_near_duplicates": sql.NEAR_DUPLICATES}
+SQL = {"op10_search": sql.SEARCH, "op9_licenses": sql.LICENSES, "op4_substring_dedup": sql.SUBSTRING_DEDUP, "op5_near_duplicates": sql.NEAR_DUPLICATES,
+       "op11_conversation_repair": sql.CONVERSATION_REPAIR, "op12_lexical_search": sql.LEXICAL_SEARCH}
