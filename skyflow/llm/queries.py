@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import op13_chat_formatting
 from .fingerprints import op2_fingerprints
 from .lexical import op12_lexical_search
 from .licenses import op9_licenses
@@ -29,6 +30,8 @@ QUERIES = {
     "op10_search": op10_search,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_lexical_search": op12_lexical_search,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 SQL = {"op10_search": sql.SEARCH, "op9_licenses": sql.LICENSES, "op4_substring_dedup": sql.SUBSTRING_DEDUP, "op5_near_duplicates": sql.NEAR_DUPLICATES,
-       "op11_conversation_repair": sql.CONVERSATION_REPAIR, "op12_lexical_search": sql.LEXICAL_SEARCH}
+       "op11_conversation_repair": sql.CONVERSATION_REPAIR, "op12_lexical_search": sql.LEXICAL_SEARCH,
+       "op13_chat_formatting": sql.CHAT_FORMATTING}

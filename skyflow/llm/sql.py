@@ -150,3 +150,18 @@ ranked AS (
   FROM scores JOIN docs USING (r) WHERE score > 0)
 SELECT * FROM ranked WHERE rank <= 50
 """
+
+#: Each turn has 15 characters of marks and line breaks.
+CHAT_FORMATTING = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')) v(conv_id, turn, role, text)),
+sized AS (
+  SELECT *, len(replace(replace(replace(role, '\', '\\'), '<', '\<'), chr(10), '\n')) + len(replace(replace(text, '\', '\\'), '<', '\<')) AS escaped FROM said)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(escaped + 15)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
