@@ -133,6 +133,7 @@ class _Shard:
         best_at, best, scored, done, want = np.empty(0, np.int64), np.empty(0, np.int64), 0, 0, 2 * top
         while done < len(order) and bound[order[done]] >= floor:
             stop = done + 1 + int(np.searchsorted(np.cumsum(members[order[done:]]), want))
+            stop = min(stop, int(np.searchsorted(-bound[order], -floor, side="right")))
             chosen = np.zeros(len(kinds), bool)
             chosen[order[done:stop]] = True
             docs = chosen[group]
@@ -145,7 +146,7 @@ class _Shard:
                 keep = np.lexsort((self.doc_ids[best_at], -best))[:top]
                 best_at, best = best_at[keep], best[keep]
                 floor = max(floor, int(best[-1]))
-            done, want = stop, want * 4
+            done, want = stop, want * 2
         kept = best >= max(floor, 1)
         return self.doc_ids[best_at[kept]], best[kept], scored
 
