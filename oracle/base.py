@@ -243,32 +243,40 @@ def ingest(prefix: str, contract: str, objects: str | None, day: str, now: str)
     return out
 
 
-def latest_input(name: str, contract: str, where: str) -> dict[str, str]:
-    return {name: f"SELECT * FROM {contract} WHERE {where} QUALIFY row_number() OVER (PARTITION BY native_id ORDER BY jdmax DESC, event_id DESC) = 1"}
+def latest_input(name: str, contract: str, where: str, tie: str = "event_id DESC") -> dict[str, str]:
+    return {name: f"SELECT * FROM {contract} WHERE {where} QUALIFY row_number() OVER (PARTITION BY native_id ORDER BY jdmax DESC, {tie}) = 1"}
 
 
-def full_run() -> dict[str, str]:
-    """Both runs: survey 1, survey 2, ageing; then the late alerts the same way."""
+def full_run(p: str = "", contracts: tuple[str, str] = ("lsst_c", "ztf_c"), tie: str = "event_id DESC") -> dict[str, str]:
+    """Both runs: survey 1, survey 2, ageing; then the late alerts the same way. All names begin with `p`."""
     now_a, now_b = "60325.0::DOUBLE", "60341.0::DOUBLE"
     x: dict[str, str] = {}
     # The split is made on the event's own date, before a survey rounds it to JD.
     for tag, cmp in (("a", "<"), ("b", ">=")):
-        x[f"ev_{tag}"] = f"SELECT event_id FROM ev WHERE mjd {cmp} {SPLIT}"
-        for survey in ("lsst", "ztf"):
-            x.update(latest_input(f"in_{survey}_{tag}", f"{survey}_c", f"event_id IN (SELECT event_id FROM ev_{tag})"))
-    x.update(ingest("i1", "in_lsst_a", None, "2024-01-16", now_a))
-    x.update(ingest("i2", "in_ztf_a", "i1_obj", "2024-01-16", now_a))
-    x["nights_a"] = "SELECT DISTINCT survey_id, CAST(floor(jdmax - 0.5) AS INT) AS night FROM (SELECT survey_id, jdmax FROM i1_at UNION ALL SELECT survey_id, jdmax FROM i2_at)"
-    x["aged_a"] = aged("i2_obj", "nights_a", now_a, "10", "22.5")
-    x["state_a"] = f"SELECT {OBJECT_COLUMNS} FROM aged_a"
-    x.update(ingest("i3", "in_lsst_b", "state_a", "2024-02-01", now_b))
-    x.update(ingest("i4", "in_ztf_b", "i3_obj", "2024-02-01", now_b))
-    x["nights_b"] = "SELECT DISTINCT survey_id, CAST(floor(jdmax - 0.5) AS INT) AS night FROM (SELECT survey_id, jdmax FROM i3_at UNION ALL SELECT survey_id, jdmax FROM i4_at) UNION SELECT * FROM nights_a"
-    x["aged_b"] = aged("i4_obj", "nights_b", now_b, "10", "22.5")
+        x[f"{p}ev_{tag}"] = f"SELECT event_id FROM ev WHERE mjd {cmp} {SPLIT}"
+        for survey, contract in zip(("lsst", "ztf"), contracts):
+            x.update(latest_input(f"{p}in_{survey}_{tag}", contract, f"event_id IN (SELECT event_id FROM {p}ev_{tag})", tie))
+
+    def nights(one: str, two: str) -> str:
+        return f"SELECT DISTINCT survey_id, CAST(floor(jdmax - 0.5) AS INT) AS night FROM (SELECT survey_id, jdmax FROM {one} UNION ALL SELECT survey_id, jdmax FROM {two})"
+
+    x.update(ingest(f"{p}i1", f"{p}in_lsst_a", None, "2024-01-16", now_a))
+    x.update(ingest(f"{p}i2", f"{p}in_ztf_a", f"{p}i1_obj", "2024-01-16", now_a))
+    x[f"{p}nights_a"] = nights(f"{p}i1_at", f"{p}i2_at")
+    x[f"{p}aged_a"] = aged(f"{p}i2_obj", f"{p}nights_a", now_a, "10", "22.5")
+    x[f"{p}state_a"] = f"SELECT {OBJECT_COLUMNS} FROM {p}aged_a"
+    x.update(ingest(f"{p}i3", f"{p}in_lsst_b", f"{p}state_a", "2024-02-01", now_b))
+    x.update(ingest(f"{p}i4", f"{p}in_ztf_b", f"{p}i3_obj", "2024-02-01", now_b))
+    x[f"{p}nights_b"] = nights(f"{p}i3_at", f"{p}i4_at") + f" UNION SELECT * FROM {p}nights_a"
+    x[f"{p}aged_b"] = aged(f"{p}i4_obj", f"{p}nights_b", now_b, "10", "22.5")
     return x
 
 
 FULL = full_run()
+# The same from messages: error events are broken there, and no event id tells equal dates apart.
+CTES["lsst_m"] = "SELECT c.* FROM lsst_c c JOIN ev e ON e.event_id = c.event_id WHERE e.k >= 0"
+CTES["ztf_m"] = "SELECT c.* FROM ztf_c c JOIN ev e ON e.event_id = c.event_id WHERE e.k >= 0"
+FROM_MESSAGES = full_run("m", ("lsst_m", "ztf_m"), "ra DESC")
 
 _OUT = A.outbox_columns(D)
 CTES["ob"] = sel(_OUT, "customer")

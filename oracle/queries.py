@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from skyflow.plans import adapters as A
 
-from .base import BAND_COLUMNS, CONTRACT, D, FULL, NOW, OBJECT_COLUMNS, R, aged, arcsec, band_list, hav, ingest, latest_input
+from .base import BAND_COLUMNS, CONTRACT, D, FROM_MESSAGES, FULL, NOW, OBJECT_COLUMNS, R, aged, arcsec, band_list, hav, ingest, latest_input
 from .base import made_objects, merged, name_sql, near, newest, resolve, with_ctes
 
 SQL: dict[str, str] = {}
@@ -21,18 +21,41 @@ _LOG_NOW = "TIMESTAMP '1998-08-01'"
 
 # ---------------------------------------------------------------- sources and sinks
 
-add("src_alert_json", f"SELECT {', '.join('l.' + c for c in _LSST_FIELDS)} FROM lsst l JOIN ev e ON e.event_id = l.event_id WHERE e.k >= 0")
-add("src_skip_malformed", f"""
-    SELECT event_id, CASE kind WHEN 'cut' THEN 'not JSON' WHEN 'array' THEN 'not an object' ELSE 'no diaObjectId' END AS skip_reason
-    FROM (SELECT event_id, {_MESSAGE_KIND} AS kind FROM ev WHERE survey_id = 1) WHERE kind <> 'ok'""")
-add("src_bounded_batch", "SELECT count(*) AS accepted, 4 AS batches FROM ev WHERE survey_id = 1 AND k >= 0")
+_ZTF_FIELDS = [c for c in A.ztf_columns(D) if c != "event_id"]
+_ALL_FIELDS = [*_LSST_FIELDS, *[c for c in _ZTF_FIELDS if c not in _LSST_FIELDS]]
+add("src_alert_json", " UNION ALL ".join(
+    f"SELECT {', '.join(('l.' + c if c in fields else 'NULL') + ' AS ' + c for c in _ALL_FIELDS)}, '{survey}' AS survey FROM {survey} l JOIN ev e ON e.event_id = l.event_id WHERE e.k >= 0"
+    for survey, fields in (("lsst", _LSST_FIELDS), ("ztf", _ZTF_FIELDS))))
+_SKIPPED = {"skipped": f"""
+    SELECT event_id, survey_id, mjd, CASE kind WHEN 'cut' THEN 'not JSON' WHEN 'array' THEN 'not an object' ELSE CASE survey_id WHEN 1 THEN 'no diaObjectId' ELSE 'no objectId' END END AS skip_reason
+    FROM (SELECT event_id, survey_id, mjd, {_MESSAGE_KIND} AS kind FROM ev) WHERE kind <> 'ok'"""}
+add("src_skip_malformed", "SELECT event_id, skip_reason FROM skipped", _SKIPPED)
+add("src_bounded_batch", "SELECT CASE survey_id WHEN 1 THEN 'lsst' ELSE 'ztf' END AS survey, count(*) AS accepted, 4 AS batches FROM ev WHERE k >= 0 GROUP BY survey_id")
 _STREAM = {
-    "parsed": "SELECT c.* FROM lsst_c c JOIN ev e ON e.event_id = c.event_id WHERE e.k >= 0",
-    "in_all": "SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY native_id ORDER BY jdmax DESC, ra DESC) = 1",
-    **ingest("s1", "in_all", None, "2024-02-01", "60341.0::DOUBLE"),
+    **latest_input("in_all_lsst", "lsst_m", "true", "ra DESC"), **latest_input("in_all_ztf", "ztf_m", "true", "ra DESC"),
+    **ingest("s1", "in_all_lsst", None, "2024-02-01", "60341.0::DOUBLE"), **ingest("s2", "in_all_ztf", "s1_obj", "2024-02-01", "60341.0::DOUBLE"),
 }
 for _name in ("stream_ingest", "sink_commit_after_state"):
-    add(_name, f"SELECT {_NO_DAY} FROM s1_obj", _STREAM)
+    add(_name, f"SELECT {_NO_DAY} FROM s2_obj", _STREAM)
+add("stream_run", f"SELECT {OBJECT_COLUMNS} FROM maged_b", FROM_MESSAGES)
+_PARTS = [("lsst", 0, "mi1", "min_lsst_a"), ("ztf", 0, "mi2", "min_ztf_a"), ("lsst", 1, "mi3", "min_lsst_b"), ("ztf", 1, "mi4", "min_ztf_b")]
+add("stream_rejects", """
+    SELECT CASE survey_id WHEN 1 THEN 'lsst' ELSE 'ztf' END AS stream, 'skipped' AS stage, skip_reason AS reason, count(*) AS n FROM skipped GROUP BY ALL
+    UNION ALL SELECT stream, 'rejected', reason, count(*) FROM (""" + " UNION ALL ".join(
+        f"SELECT '{stream}' AS stream, CASE WHEN ra >= 0 AND ra < 360 AND dec BETWEEN -90 AND 90 THEN 'other' ELSE 'ra/dec out of range' END AS reason "
+        f"FROM {given} WHERE native_id NOT IN (SELECT native_id FROM {p}_stage)" for stream, _, p, given in _PARTS) + ") GROUP BY ALL",
+    {**FROM_MESSAGES, **_SKIPPED})
+
+
+def _half(batch: int) -> str:
+    return f"mjd {'<' if batch == 0 else '>='} {A.BATCH_SPLIT_MJD}::DOUBLE"
+
+
+add("stream_report", " UNION ALL ".join(f"""
+    SELECT '{stream}' AS stream, {batch} AS batch_id, m.n AS messages, m.bad AS skipped, g.n AS alerts, g.n - s.n AS rejected, s.n AS staged,
+           (SELECT count(*) FROM {p}_new) AS created, (SELECT count(*) FROM {p}_chg WHERE touched AND object_id NOT IN (SELECT object_id FROM {p}_new)) AS updated, m.n AS input_rows
+    FROM (SELECT count(*) AS n, count_if(k < 0) AS bad FROM ev WHERE survey_id = {1 if stream == 'lsst' else 2} AND {_half(batch)}) m,
+         (SELECT count(*) AS n FROM {given}) g, (SELECT count(*) AS n FROM {p}_stage) s""" for stream, batch, p, given in _PARTS), FROM_MESSAGES)
 add("multi_survey_ingest", f"SELECT {OBJECT_COLUMNS} FROM aged_b", FULL)
 add("stage_contract", f"SELECT stage_row, {CONTRACT} FROM ordered")
 _SUB_OK = f"""
@@ -50,6 +73,8 @@ add("sink_append_history", """
     FROM (SELECT *, row_number() OVER (ORDER BY event_time, object_id, survey_id, survey_object_id, pipeline_id) AS id FROM hist)
     GROUP BY 1""")
 add("sink_state_snapshot", f"SELECT {OBJECT_COLUMNS} FROM changes")
+_STRIP = {"late_strip": "SELECT * FROM late WHERE dec BETWEEN -10 AND 10"}
+add("state_bucket_merge", f"SELECT {OBJECT_COLUMNS} FROM strip_changes", {**_STRIP, "strip_changes": merged("objects0", "late_strip", "2024-02-01")})
 add("src_facility_targets", "SELECT id, name, ra, dec, subsurvey, mag, is_active, date_submitted, date_ingested, ostd_targ_id FROM tg "
     "UNION ALL SELECT id, name, ra, dec, subsurvey, mag, is_active, date_submitted, date_ingested, ostd_targ_id FROM tg WHERE id IS NULL")
 _SURVEYS = "(VALUES ('LSST', 1), ('ZTF', 2), ('LS4', 3), ('FACILITY', 4), ('ATLAS', 5), ('GOTO', 6), ('HSC', 7), ('BlackGEM', 8), ('TNS', 9)) s(survey_name, survey_id)"

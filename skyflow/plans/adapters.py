@@ -121,7 +121,7 @@ def ztf_two_band_columns(d: Dialect) -> dict[str, str]:
 
 
 def message_columns(d: Dialect) -> dict[str, str]:
-    """How each survey 1 event becomes a message: error events are broken in one of four ways."""
+    """How an event becomes a message: error events are broken in one of four ways."""
     return {
         "event_id": "event_id",
         "kind": f"CASE WHEN k >= 0 THEN 'ok' ELSE CASE {d.div('event_id', '2')} % 4 WHEN 0 THEN 'cut' WHEN 1 THEN 'array' "
@@ -293,22 +293,29 @@ def ztf_two_band_raw(ev: DataFrame) -> DataFrame:
     return _select(ev.filter("survey_id = 2"), ztf_two_band_columns(SPARK))
 
 
-def lsst_messages(ev: DataFrame) -> DataFrame:
-    """(value, event_id): survey 1 rows as JSON text, error events broken."""
-    one = ev.filter("survey_id = 1")
-    wide = _select(one, {**lsst_columns(SPARK), "kind": message_columns(SPARK)["kind"]})
-    fields = [c for c in lsst_columns(SPARK) if c != "event_id"]
-    rest = [c for c in fields if c != "diaObjectId"]
+def _messages(rows: DataFrame, columns: dict[str, str], id_key: str) -> DataFrame:
+    """(value, event_id): survey rows as JSON text, error events broken."""
+    wide = _select(rows, {**columns, "kind": message_columns(SPARK)["kind"]})
+    fields = [c for c in columns if c != "event_id"]
+    rest = [c for c in fields if c != id_key]
     value = (
         F.when(F.col("kind") == "ok", F.to_json(F.struct(*fields)))
         .when(F.col("kind") == "cut", F.substring(F.to_json(F.struct(*fields)), 1, 40))
         .when(F.col("kind") == "array", F.concat(F.lit("["), F.to_json(F.struct(*fields)), F.lit("]")))
         .when(F.col("kind") == "no id", F.to_json(F.struct(*rest)))
-        .otherwise(F.concat(F.lit('{"diaObjectId": null, '), F.substring(F.to_json(F.struct(*rest)), 2, 1_000_000)))
+        .otherwise(F.concat(F.lit(f'{{"{id_key}": null, '), F.substring(F.to_json(F.struct(*rest)), 2, 1_000_000)))
     )
     return wide.select(value.alias("value"), "event_id")
 
 
+def lsst_messages(ev: DataFrame) -> DataFrame:
+    return _messages(ev.filter("survey_id = 1"), lsst_columns(SPARK), "diaObjectId")
+
+
+def ztf_messages(ev: DataFrame) -> DataFrame:
+    return _messages(ev.filter("survey_id = 2"), ztf_columns(SPARK), "objectId")
+
+
 def submissions(ev: DataFrame) -> DataFrame:
     return _select(ev, submission_columns(SPARK))
 

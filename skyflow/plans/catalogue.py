@@ -14,7 +14,9 @@ from ..operators.lineage import materialize, new_dir
 from ..operators.numbering import write_row_index
 from ..schemas import CONTRACT, OBJECTS
 from ..sources import alerts, dimensions, facility as facility_source, state as state_source
-from ..streaming.ingest import start_stream_ingest
+from ..sources.buckets import BucketStore
+from ..streaming.ingest import StreamRun, SurveyStream, read_dead_letters, start_stream_ingest, stream_run
+from ..streaming.report import report_table
 from . import adapters as A
 from .ingest import (
     EVENT_RANKS, IngestParams, RunResult, age_out, ingest_batch, multi_survey_ingest, run_report,
@@ -134,43 +136,58 @@ def _iso(ts: str) -> Column:
 
 # ---------------------------------------------------------------- sources and sinks
 
+_MESSAGES = {
+    "lsst": (A.lsst_messages, alerts.LSST_ALERT, "diaObjectId"),
+    "ztf": (A.ztf_messages, alerts.ZTF_ALERT, "objectId"),
+}
+
+
 @query
 def src_alert_json(spark, sf_dir):
-    messages = A.lsst_messages(A.events(spark, sf_dir))
-    path = new_dir(spark, "messages")
-    messages.select("value").write.text(path)
-    return alerts.parse_alerts(alerts.read_alert_files(spark, path), alerts.LSST_ALERT, "diaObjectId")
+    """The messages of both surveys; a column that a survey lacks is NULL."""
+    ev, parsed = A.events(spark, sf_dir), []
+    for name, (messages, schema, id_key) in _MESSAGES.items():
+        path = new_dir(spark, "messages")
+        messages(ev).select("value").write.text(path)
+        parsed.append(alerts.parse_alerts(alerts.read_alert_files(spark, path), schema, id_key).withColumn("survey", F.lit(name)))
+    return parsed[0].unionByName(parsed[1], allowMissingColumns=True)
 
 
 @query
 def src_skip_malformed(spark, sf_dir):
-    messages = materialize(A.lsst_messages(A.events(spark, sf_dir)), "messages")
-    skipped = alerts.skipped_messages(messages, "diaObjectId")
-    return skipped.select("event_id", "skip_reason")
+    ev, skipped = A.events(spark, sf_dir), []
+    for messages, _, id_key in _MESSAGES.values():
+        skipped.append(alerts.skipped_messages(materialize(messages(ev), "messages"), id_key).select("event_id", "skip_reason"))
+    return skipped[0].unionByName(skipped[1])
 
 
 @query
 def src_bounded_batch(spark, sf_dir):
-    """Message files drained two per trigger; one row per micro-batch."""
-    path, out = new_dir(spark, "messages"), new_dir(spark, "batches")
-    A.lsst_messages(A.events(spark, sf_dir)).select("value").repartition(8).write.text(path)
-    parsed = alerts.parse_alerts(alerts.stream_alert_files(spark, path, 2), alerts.LSST_ALERT, "diaObjectId")
+    """Message files of both surveys drained two per trigger: accepted messages and micro-batches of each."""
+    ev, counted = A.events(spark, sf_dir), []
+    for name, (messages, schema, id_key) in _MESSAGES.items():
+        path, out = new_dir(spark, "messages"), new_dir(spark, "batches")
+        messages(ev).select("value").repartition(8).write.text(path)
+        parsed = alerts.parse_alerts(alerts.stream_alert_files(spark, path, 2), schema, id_key)
 
-    def store(batch, batch_id):
-        batch.agg(F.count(F.lit(1)).alias("accepted")).withColumn("batch_id", F.lit(batch_id)).write.mode(
-            "overwrite").parquet(f"{out}/run={batch_id}")
+        def store(batch, batch_id, out=out):
+            batch.agg(F.count(F.lit(1)).alias("accepted")).withColumn("batch_id", F.lit(batch_id)).write.mode(
+                "overwrite").parquet(f"{out}/run={batch_id}")
 
-    parsed.writeStream.foreachBatch(store).option("checkpointLocation", new_dir(spark, "checkpoint")).trigger(
-        availableNow=True).start().awaitTermination()
-    return spark.read.schema("accepted bigint, batch_id bigint").parquet(f"{out}/run=*").agg(
-        F.sum("accepted").alias("accepted"), F.count(F.lit(1)).alias("batches"))
+        parsed.writeStream.foreachBatch(store).option("checkpointLocation", new_dir(spark, "checkpoint")).trigger(
+            availableNow=True).start().awaitTermination()
+        counted.append(spark.read.schema("accepted bigint, batch_id bigint").parquet(f"{out}/run=*").agg(
+            F.sum("accepted").alias("accepted"), F.count(F.lit(1)).alias("batches")).withColumn("survey", F.lit(name)))
+    return counted[0].unionByName(counted[1])
 
 
 @query
 def sink_commit_after_state(spark, sf_dir):
-    """The same files read twice by fresh checkpoints: the second pass leaves the objects as they were."""
-    ev = A.events(spark, sf_dir)
-    store = _stream_lsst(spark, ev, passes=2)
+    """The files of both surveys read twice by fresh checkpoints: the second pass leaves the objects as they were."""
+    store, paths = _stored(spark), _write_messages(spark, A.events(spark, sf_dir))
+    for _ in range(2):
+        for stream in _streams(spark, paths):
+            start_stream_ingest(stream, store, RUN_B, dimensions.seed_pipelines(spark), new_dir(spark, "history")).awaitTermination()
     return _object_columns(store.load().objects).drop("updated_day")
 
 
@@ -218,16 +235,36 @@ def sink_append_history(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
 
 
+def _stored(spark: SparkSession) -> BucketStore:
+    return BucketStore(spark, new_dir(spark, "state"))
+
+
+def _store_objects(spark: SparkSession, objects: DataFrame) -> BucketStore:
+    store, objects = _stored(spark), materialize(objects, "objects")
+    store.merge(state_source.empty_state(spark).with_tables(objects=objects), objects)
+    return store
+
+
+def _merge_staged(store: BucketStore, staged: DataFrame) -> None:
+    """Alerts that are attached to stored objects already: the zones around them are read, those of changed objects written."""
+    around = store.near(staged)
+    changes = materialize(upsert.upsert_objects(around.objects, staged, RUN_B.now_column), "changes")
+    store.merge(around.with_tables(objects=changes.select(*OBJECTS.names)), changes.filter("touched"))
+
+
 @query
 def sink_state_snapshot(spark, sf_dir):
-    """Two committed versions; the store gives back the second."""
-    store = state_source.StateStore(spark, new_dir(spark, "state"))
-    staged = _staged(spark, sf_dir)
-    objects = _objects(spark, sf_dir)
-    empty = state_source.empty_state(spark)
-    store.commit(empty.with_tables(objects=objects))
-    changed = upsert.upsert_objects(store.load().objects, _late(staged), RUN_B.now_column).select(*OBJECTS.names)
-    store.commit(store.load().with_tables(objects=changed))
+    """Objects stored, then the late alerts merged: the store gives back the second state."""
+    store = _store_objects(spark, _objects(spark, sf_dir))
+    _merge_staged(store, materialize(_late(_staged(spark, sf_dir)), "staged"))
+    return _object_columns(store.load().objects)
+
+
+@query
+def state_bucket_merge(spark, sf_dir):
+    """Objects stored, then the late alerts of one strip of the sky merged; zones without one keep their files."""
+    store = _store_objects(spark, _objects(spark, sf_dir))
+    _merge_staged(store, materialize(_late(_staged(spark, sf_dir)).filter(F.col("dec").between(-10.0, 10.0)), "staged"))
     return _object_columns(store.load().objects)
 
 
@@ -1119,28 +1156,70 @@ def switch_by_hand(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
-def _stream_lsst(spark, ev: DataFrame, passes: int) -> state_source.StateStore:
-    """Survey 1 messages as files, drained by a streaming query into a state store, `passes` times over."""
-    path = new_dir(spark, "messages")
-    A.lsst_messages(ev).select("value").write.text(path)
-    store = state_source.StateStore(spark, new_dir(spark, "state"))
-
-    def to_contract(batch: DataFrame) -> DataFrame:
-        raw = alerts.parse_alerts(batch, alerts.LSST_ALERT, "diaObjectId")
-        newest = normalize.latest_alert_per_object(raw, "diaObjectId", "lastDiaSourceMjdTai", "ra")
-        return normalize.normalize_lsst(newest, A.PIPELINE_LSST)
-
-    for _ in range(passes):
-        q = start_stream_ingest(
-            alerts.stream_alert_files(spark, path), to_contract, store, RUN_B, new_dir(spark, "checkpoint"),
-            "lsst", new_dir(spark, "history"))
-        q.awaitTermination()
-    return store
+def _write_messages(spark, ev: DataFrame, paths: dict[str, str] | None = None) -> dict[str, str]:
+    """The messages of both surveys as files, added to what the folders hold."""
+    paths = paths or {name: new_dir(spark, f"messages-{name}") for name in _MESSAGES}
+    for name, (messages, _, _) in _MESSAGES.items():
+        messages(ev).select("value").write.mode("append").text(paths[name])
+    return paths
+
+
+def _streams(spark, paths: dict[str, str]) -> list[SurveyStream]:
+    """Both surveys in ingest order, with fresh checkpoints."""
+    def lsst(raw: DataFrame, pipeline_id: int) -> DataFrame:
+        return normalize.normalize_lsst(normalize.latest_alert_per_object(raw, "diaObjectId", "lastDiaSourceMjdTai", "ra"), pipeline_id)
+
+    def ztf(raw: DataFrame, pipeline_id: int) -> DataFrame:
+        return normalize.normalize_ztf(normalize.latest_alert_per_object(raw, "objectId", "latest_jd", "ra"), pipeline_id)
+
+    return [
+        SurveyStream(name, alerts.stream_alert_files(spark, paths[name]), _MESSAGES[name][1], _MESSAGES[name][2], to_contract, new_dir(spark, "checkpoint"), (f"{name}-default", "v1.0"))
+        for name, to_contract in (("lsst", lsst), ("ztf", ztf))]
+
+
+def _both_stream_runs(spark, sf_dir) -> tuple[BucketStore, list[StreamRun], str, str]:
+    """The early messages of both surveys in one run, the late ones in the next, with ageing after each."""
+    ev, store = A.events(spark, sf_dir), _stored(spark)
+    early = F.col("mjd") < A.BATCH_SPLIT_MJD
+    paths = _write_messages(spark, ev.filter(early))
+    streams, pipelines = _streams(spark, paths), dimensions.seed_pipelines(spark)
+    history, letters = new_dir(spark, "history"), new_dir(spark, "dead-letters")
+    runs = [stream_run(streams, store, RUN_A, pipelines, history, letters)]
+    _write_messages(spark, ev.filter(~early), paths)
+    runs.append(stream_run(streams, store, RUN_B, pipelines, history, letters))
+    for run in runs:
+        if run.failed:
+            raise RuntimeError(f"streams failed: {run.failed}")
+    return store, runs, history, letters
 
 
 @query
 def stream_ingest(spark, sf_dir):
-    return _object_columns(_stream_lsst(spark, A.events(spark, sf_dir), 1).load().objects).drop("updated_day")
+    """The messages of both surveys, drained into one state."""
+    store, paths = _stored(spark), _write_messages(spark, A.events(spark, sf_dir))
+    for stream in _streams(spark, paths):
+        start_stream_ingest(stream, store, RUN_B, dimensions.seed_pipelines(spark)).awaitTermination()
+    return _object_columns(store.load().objects).drop("updated_day")
+
+
+@query
+def stream_run_query(spark, sf_dir):
+    """The objects after two runs over the streams of both surveys."""
+    return _object_columns(_both_stream_runs(spark, sf_dir)[0].load().objects)
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """What both runs set aside, by stream, stage and reason."""
+    letters = read_dead_letters(spark, _both_stream_runs(spark, sf_dir)[3])
+    return letters.groupBy(F.substring_index("batch", "-", 1).alias("stream"), "stage", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_report(spark, sf_dir):
+    """What each micro-batch of both runs read and did."""
+    reports = [report for run in _both_stream_runs(spark, sf_dir)[1] for report in run.reports]
+    return report_table(spark, reports).drop("millis")
 
 
 @query

@@ -13,12 +13,13 @@ from ..operators.clock import DEACTIVATE_AFTER_DAYS, FAINT_LIMIT_MAG, deactivate
 from ..operators.lineage import materialize
 from ..operators.skymatch import Resolution, sky_resolve_batch
 from ..operators.upsert import (
-    assign_names, check_names_left, create_objects, first_selections, insert_if_absent, name_state, native_names,
+    NameState, assign_names, check_names_left, create_objects, first_selections, insert_if_absent, name_state, native_names,
     number_rows, updated_minus_new, upsert_objects, year_of,
 )
 from ..operators.validate import alert_rejects, validate_alerts
 from ..schemas import EVENTS, OBJECTS
-from ..sources.state import SkyState
+from ..sources.buckets import BucketStore
+from ..sources.state import SkyState, append_history
 
 REPORT_ROWS = 200
 # Order of the events of one batch and object at the same time.
@@ -62,7 +63,11 @@ class IngestResult:
     @property
     def rejects(self) -> DataFrame:
         """The refused rows with their reasons."""
-        return alert_rejects(self.contract, self.params.now_mjd)
+        return self.rejects_of(self.contract, self.params)
+
+    @staticmethod
+    def rejects_of(contract: DataFrame, params: IngestParams) -> DataFrame:
+        return alert_rejects(contract, params.now_mjd)
 
     @property
     def updated(self) -> DataFrame:
@@ -103,20 +108,39 @@ def batch_events(
     )
 
 
-def ingest_batch(state: SkyState, contract: DataFrame, params: IngestParams) -> IngestResult:
-    """
-    One survey's batch: validate, stage, resolve, create, update, names, selections, events, clock.
-    Nothing of the given state changes; the caller makes the returned state current.
-    """
+@dataclass
+class Batch:
+    """The valid rows of a batch, written out, and their numbered positions."""
+
+    contract: DataFrame
+    valid: DataFrame
+    points: DataFrame
+    n_rows: int
+
+
+def read_batch(contract: DataFrame, params: IngestParams) -> Batch:
+    """Validate the contract rows and number them. Only keys and positions are sorted."""
     valid = materialize(
         validate_alerts(contract, params.now_mjd).withColumn("row_id", F.monotonically_increasing_id()), "valid"
     )
-    # Only keys and positions are sorted, numbered and resolved; the wide rows are joined once, at the end.
     n_rows = valid.count()
-    points = materialize(number_rows(valid, "row_id", n_rows), "points")
-    names = name_state(state.objects, params.name_prefix, year_of(params.now))
+    return Batch(contract, valid, materialize(number_rows(valid, "row_id", n_rows), "points"), n_rows)
+
+
+def ingest_batch(
+    state: SkyState, contract: DataFrame | Batch, params: IngestParams, names: NameState | None = None
+) -> IngestResult:
+    """
+    One survey's batch: validate, stage, resolve, create, update, names, selections, events, clock.
+    Nothing of the given state changes; the caller makes the returned state current. `names` says where ids and
+    names continue; without it that is read from all objects.
+    """
+    batch = contract if isinstance(contract, Batch) else read_batch(contract, params)
+    valid, points = batch.valid, batch.points
+    # Only keys and positions are resolved; the wide rows are joined once, at the end.
+    names = names or name_state(state.objects, params.name_prefix, year_of(params.now))
     resolution = sky_resolve_batch(
-        points, state.objects.select("object_id", "ra", "dec"), names.next_object_id, params.radius_deg, n_rows
+        points, state.objects.select("object_id", "ra", "dec"), names.next_object_id, params.radius_deg, batch.n_rows
     )
     check_names_left(names, resolution.n_new)
     resolved = points.select("row_id", "stage_row").join(resolution.assignments, "stage_row")
@@ -135,7 +159,59 @@ def ingest_batch(state: SkyState, contract: DataFrame, params: IngestParams) ->
         selections=selections,
         nights=nights,
     )
-    return IngestResult(new_state, staged, created, changes, events, contract, params, resolution)
+    return IngestResult(new_state, staged, created, changes, events, batch.contract, params, resolution)
+
+
+def _ranked(events: DataFrame) -> DataFrame:
+    rank = F.create_map(*[F.lit(x) for pair in EVENT_RANKS.items() for x in pair])
+    return events.withColumn("event_rank", F.try_element_at(rank, F.col("event_type")))
+
+
+def _stored_names(store: BucketStore, params: IngestParams) -> NameState:
+    """Where ids and names continue, from the pointer; the names begin anew with the year."""
+    pointer, year = store.pointer(), year_of(params.now)
+    if "next_object_id" not in pointer:
+        return name_state(store.load().objects, params.name_prefix, year)
+    return NameState(pointer["next_object_id"], pointer["next_name"] if pointer["year"] == year else 0, params.name_prefix, year)
+
+
+def ingest_into(
+    store: BucketStore, contract: DataFrame, params: IngestParams, history_path: str | None = None, batch_key: str | None = None, **recorded
+) -> IngestResult:
+    """
+    One survey's batch into the stored state. Only the zones around the batch's positions are read, and only those with an object
+    that it made or changed are written. Its events go to the history under `batch_key`, so that a repeated batch replaces them;
+    `recorded` is kept in the pointer together with the new state.
+    """
+    batch = read_batch(contract, params)
+    names = _stored_names(store, params)
+    result = ingest_batch(store.near(batch.points, params.radius_deg), batch, params, names)
+    n_new = result.resolution.n_new
+    recorded |= {"next_object_id": names.next_object_id + n_new, "next_name": names.next_name + n_new, "year": names.year}
+    if history_path is not None:
+        next_id = store.pointer().get("next_event_id", 1)
+        recorded["next_event_id"] = append_history(_ranked(result.events), history_path, batch_key or f"{params.run_id}", next_id)
+    store.merge(result.state, result.changes.filter("touched"), **recorded)
+    return result
+
+
+def age_out_into(store: BucketStore, params: IngestParams, history_path: str | None = None, batch_key: str | None = None, **recorded) -> DataFrame:
+    """Switch off stale and faint objects in the stored state and return them. All zones are read, those with such an object are written."""
+    state = store.load()
+    aged = deactivate_objects(
+        state.objects, materialize(state.nights, "nights"), params.now_mjd, params.deactivate_after_days, params.faint_mag)
+    off = materialize(aged.filter(F.col("deactivation_reason").isNotNull()), "deactivated")
+    if off.isEmpty():
+        store.record(**recorded)
+        return off
+    if history_path is not None:
+        events = event_rows(off, "deactivated", params, reason=F.col("deactivation_reason"))
+        next_id = store.pointer().get("next_event_id", 1)
+        recorded["next_event_id"] = append_history(_ranked(events), history_path, batch_key or f"ageing-{params.run_id}", next_id)
+    around = store.load([r["zone"] for r in store.zoned(off.select("ra", "dec")).select("zone").distinct().collect()])
+    others = around.objects.join(off.select("object_id"), "object_id", "left_anti")
+    store.merge(around.with_tables(objects=others.unionByName(off.select(*OBJECTS.names))), off, **recorded)
+    return off
 
 
 def age_out(state: SkyState, params: IngestParams) -> tuple[SkyState, DataFrame, DataFrame]:

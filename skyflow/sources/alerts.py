@@ -72,11 +72,23 @@ def message_problem(value: Column, id_key: str) -> Column:
     )
 
 
+def judged_messages(messages: DataFrame, schema: T.StructType, id_key: str) -> DataFrame:
+    """
+    `messages` plus `_alert` (the parsed row) and `skip_reason` (NULL for a message that is readable). A message is parsed once;
+    only one that isn't right in every field is looked at again.
+    """
+    whole = T.StructType([*schema.fields, T.StructField("_corrupt", _s)])
+    parsed = messages.withColumn("_alert", F.from_json("value", whole, {"columnNameOfCorruptRecord": "_corrupt"}))
+    value = F.col("value")
+    clean = F.coalesce(F.ltrim(value).startswith("{") & F.col(f"_alert.{id_key}").isNotNull() & F.col("_alert._corrupt").isNull(), F.lit(False))
+    reason = F.when(clean, None).when(_readable(value, id_key), None).otherwise(message_problem(value, id_key))
+    return parsed.withColumn("skip_reason", reason.cast("string")).withColumn("_alert", F.col("_alert").dropFields("_corrupt"))
+
+
 def parse_alerts(messages: DataFrame, schema: T.StructType, id_key: str) -> DataFrame:
     """The readable messages as typed rows; other columns of `messages` (offsets) are kept."""
     rest = [c for c in messages.columns if c != "value"]
-    parsed = messages.filter(_readable(F.col("value"), id_key)).select(*rest, F.from_json("value", schema).alias("_a"))
-    return parsed.select(*rest, "_a.*")
+    return judged_messages(messages, schema, id_key).filter("skip_reason IS NULL").select(*rest, "_alert.*")
 
 
 def skipped_messages(messages: DataFrame, id_key: str) -> DataFrame:

@@ -1,10 +1,8 @@
-"""Durable state: versioned parquet snapshots behind a pointer, and append-only history."""
+"""The tables that an ingest keeps, and append-only history. `buckets` stores the former."""
 
 from __future__ import annotations
 
-import json
-import uuid
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,79 +35,6 @@ def empty_state(spark: SparkSession) -> SkyState:
     return SkyState(**{name: spark.createDataFrame([], schema) for name, schema in _TABLES.items()})
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    target, fs = _file_system(spark, path)
-    out = fs.create(target, False)
-    try:
-        out.write(bytearray(text, "utf-8"))
-    finally:
-        out.close()
-
-
-class StateStore:
-    """
-    Snapshots of the state under one root:
-
-        <root>/version=<n>-<unique>/<table>/   parquet
-        <root>/commits/<n>.json                written last, names the folder; the highest one is the current state
-
-    Two writers of one version have folders of their own, and only one of them can create the commit file. A version without its commit file does not exist for readers, so all tables of a batch change
-    together or not at all. The commit also remembers the last streaming batch it contains.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _versions(self) -> list[int]:
-        folder, fs = _file_system(self.spark, f"{self.root}/commits")
-        if not fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json"))
-
-    def current(self) -> int | None:
-        versions = self._versions()
-        return versions[-1] if versions else None
-
-    def commit_info(self) -> dict:
-        version = self.current()
-        if version is None:
-            return {}
-        text = self.spark.read.text(f"{self.root}/commits/{version}.json", wholetext=True).first()[0]
-        return json.loads(text)
-
-    def load(self) -> SkyState:
-        version = self.current()
-        if version is None:
-            return empty_state(self.spark)
-        base = f"{self.root}/{self.commit_info()['folder']}"
-        return SkyState(**{n: self.spark.read.schema(s).parquet(f"{base}/{n}") for n, s in _TABLES.items()})
-
-    def commit(self, state: SkyState, **info) -> int:
-        """Write all tables as a new version, then its commit file. `info` must be JSON."""
-        version = (self.current() or 0) + 1
-        folder = f"version={version}-{uuid.uuid4().hex}"
-        for f in fields(SkyState):
-            getattr(state, f.name).write.parquet(f"{self.root}/{folder}/{f.name}")
-        _write_text(self.spark, f"{self.root}/commits/{version}.json", json.dumps({"version": version, "folder": folder, **info}))
-        return version
-
-    def expire(self, keep: int = 10) -> None:
-        """Delete all but the newest `keep` versions: first what makes one current, then its tables."""
-        for version in self._versions()[:-keep] if keep > 0 else []:
-            commit = f"{self.root}/commits/{version}.json"
-            folder = json.loads(self.spark.read.text(commit, wholetext=True).first()[0])["folder"]
-            for path in (commit, f"{self.root}/{folder}"):
-                target, fs = _file_system(self.spark, path)
-                fs.delete(target, True)
-
-
 def append_history(events: DataFrame, path: str, batch: int | str, next_id: int = 1) -> int:
     """
     Add one batch of events (with `event_rank`, their order within a moment) to the history and return the
