@@ -182,7 +182,9 @@ def name_sql(index: str) -> str:
     three = f"{letter(f'{index} // 676')} || {letter(f'{index} // 26')} || {letter(index)}"
     j = f"({index} - 17576)"
     four = f"{letter(f'{j} // 17576')} || {letter(f'{j} // 676')} || {letter(f'{j} // 26')} || {letter(j)}"
-    return f"CASE WHEN {index} < 17576 THEN {three} ELSE {four} END"
+    k = f"({index} - 474552)"
+    five = " || ".join(letter(f"{k} // {26 ** i}") for i in range(4, -1, -1))
+    return f"CASE WHEN {index} < 17576 THEN {three} WHEN {index} < 474552 THEN {four} ELSE {five} END"
 
 
 def resolve(prefix: str, stage: str, objects: str | None, next_id: str) -> dict[str, str]:
@@ -303,8 +305,8 @@ CTES["assoc"] = (
 _OPEN = "(sync_state IS NULL OR sync_state = 'not_submittable')"
 CTES["tried"] = f"SELECT * FROM ob WHERE sync_pending AND active AND facility_id IS NULL AND {_OPEN}"
 CTES["refusals"] = """
-    SELECT o.object_id, CASE WHEN o.dec > 40 THEN 'dec is north of +40' WHEN o.dec < -89.99999999 THEN 'dec is below the limit'
-                             WHEN d.band IS NULL THEN 'no valid detection magnitude' END AS refusal
+    SELECT o.object_id, CASE WHEN o.dec > 40 THEN 'dec beyond the northern limit' WHEN o.dec < -89.99999999 THEN 'dec beyond the southern limit'
+                             WHEN d.band IS NULL THEN 'no detection that can be sent' END AS refusal
     FROM ob o LEFT JOIN ob_det d ON d.object_id = o.object_id"""
 CTES["ready"] = """
     SELECT t.object_id, t.name, round(d.mag, 3) AS mag, (row_number() OVER (ORDER BY t.object_id) - 1) // 50 AS batch_id

@@ -31,6 +31,10 @@ _SKIPPED = {"skipped": f"""
     FROM (SELECT event_id, survey_id, mjd, {_MESSAGE_KIND} AS kind FROM ev) WHERE kind <> 'ok'"""}
 add("src_skip_malformed", "SELECT event_id, skip_reason FROM skipped", _SKIPPED)
 add("src_bounded_batch", "SELECT CASE survey_id WHEN 1 THEN 'lsst' ELSE 'ztf' END AS survey, count(*) AS accepted, 4 AS batches FROM ev WHERE k >= 0 GROUP BY survey_id")
+add("src_bounded_accepted", """
+    SELECT CASE survey_id WHEN 1 THEN 'lsst' ELSE 'ztf' END AS survey, b AS batch_id, least(n, (b + 1) * bound) - b * bound AS accepted, b * bound AS first,
+           least(n, (b + 1) * bound) - 1 AS last
+    FROM (SELECT survey_id, count(*) AS n, count(*) // 3 + 1 AS bound FROM ev WHERE k >= 0 GROUP BY survey_id), (VALUES (0), (1), (2)) t(b)""")
 _STREAM = {
     **latest_input("in_all_lsst", "lsst_m", "true", "ra DESC"), **latest_input("in_all_ztf", "ztf_m", "true", "ra DESC"),
     **ingest("s1", "in_all_lsst", None, "2024-02-01", "60341.0::DOUBLE"), **ingest("s2", "in_all_ztf", "s1_obj", "2024-02-01", "60341.0::DOUBLE"),
@@ -42,7 +46,7 @@ _PARTS = [("lsst", 0, "mi1", "min_lsst_a"), ("ztf", 0, "mi2", "min_ztf_a"), ("ls
 add("stream_rejects", """
     SELECT CASE survey_id WHEN 1 THEN 'lsst' ELSE 'ztf' END AS stream, 'skipped' AS stage, skip_reason AS reason, count(*) AS n FROM skipped GROUP BY ALL
     UNION ALL SELECT stream, 'rejected', reason, count(*) FROM (""" + " UNION ALL ".join(
-        f"SELECT '{stream}' AS stream, CASE WHEN ra >= 0 AND ra < 360 AND dec BETWEEN -90 AND 90 THEN 'other' ELSE 'ra/dec out of range' END AS reason "
+        f"SELECT '{stream}' AS stream, CASE WHEN ra >= 0 AND ra < 360 AND dec BETWEEN -90 AND 90 THEN 'other' ELSE 'position outside the sky' END AS reason "
         f"FROM {given} WHERE native_id NOT IN (SELECT native_id FROM {p}_stage)" for stream, _, p, given in _PARTS) + ") GROUP BY ALL",
     {**FROM_MESSAGES, **_SKIPPED})
 
@@ -100,18 +104,18 @@ add("validate_alerts", f"""
            TRY_CAST(json_extract_string(latest_mag, '$.r_lsst') AS DOUBLE) AS latest_mag,
            TRY_CAST(json_extract_string(n_sources, '$.r_lsst') AS BIGINT) AS n_sources
     FROM sub WHERE {_SUB_OK}""")
-_PROBLEM = [("native_id IS NULL", "no object_id")]
+_PROBLEM = [("native_id IS NULL", "native id missing")]
 for _c in ("ra", "dec", "jdmax"):
-    _PROBLEM.append((f"{_c} IS NULL OR NOT isfinite({_c})", f"{_c} missing or not finite"))
+    _PROBLEM.append((f"{_c} IS NULL OR NOT isfinite({_c})", f"{_c} is no finite number"))
 for _c in ("survey_id", "pipeline_id"):
-    _PROBLEM.append((f"{_c} IS NULL", f"{_c} missing or not finite"))
-_PROBLEM.append(("NOT (ra >= 0 AND ra < 360 AND dec BETWEEN -90 AND 90)", "ra/dec out of range"))
-_PROBLEM.append((f"NOT (jdmax > 40000 AND jdmax <= {NOW} + 1)", "jdmax is not a plausible MJD"))
+    _PROBLEM.append((f"{_c} IS NULL", f"{_c} is no finite number"))
+_PROBLEM.append(("NOT (ra >= 0 AND ra < 360 AND dec BETWEEN -90 AND 90)", "position outside the sky"))
+_PROBLEM.append((f"NOT (jdmax > 40000 AND jdmax <= {NOW} + 1)", "jdmax lies outside the accepted dates"))
 for _c in ("latest_filter", "latest_mag", "n_sources"):
-    _PROBLEM.append((f"{_c} IS NULL OR NOT json_valid({_c})", f"{_c} is not JSON"))
+    _PROBLEM.append((f"{_c} IS NULL OR NOT json_valid({_c})", f"{_c} cannot be read as JSON"))
     _PROBLEM.append((
         f"json_type({_c}) <> 'OBJECT' OR coalesce(len(list_filter(json_keys({_c}), lambda k: TRY_CAST(json_extract_string({_c}, '$.' || k) AS DOUBLE) IS NULL)), 0) > 0",
-        f"{_c} has non-finite values"))
+        f"{_c} holds values that are no finite numbers"))
 _REASON = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r in _PROBLEM) + " END"
 add("alert_rejects", f"SELECT event_id, reject_reason FROM (SELECT event_id, {_REASON} AS reject_reason FROM sub) WHERE reject_reason IS NOT NULL")
 _SEL = {"latest_lsst": "SELECT * FROM lsst QUALIFY row_number() OVER (PARTITION BY diaObjectId ORDER BY lastDiaSourceMjdTai DESC, event_id DESC) = 1"}
@@ -240,11 +244,12 @@ add("host_report_join", """
 
 # ---------------------------------------------------------------- aggregations
 
+_TWO = {"first": f"SELECT * FROM staged WHERE jdmax < {A.FIRST_SPLIT_MJD}::DOUBLE", "second": f"SELECT * FROM staged WHERE jdmax >= {A.FIRST_SPLIT_MJD}::DOUBLE"}
 add("batch_span_per_object", "SELECT object_id, min(jdmin) AS jdmin, max(jdmax) AS jdmax FROM staged GROUP BY object_id")
 add("survey_heartbeat", "SELECT survey_id, night FROM nights_all")
 add("first_selections", """
-    SELECT DISTINCT object_id, survey_id, pipeline_id FROM late
-    EXCEPT SELECT object_id, survey_id, pipeline_id FROM early""")
+    SELECT DISTINCT object_id, survey_id, pipeline_id FROM second
+    EXCEPT SELECT object_id, survey_id, pipeline_id FROM first""", _TWO)
 add("selection_counts", f"""
     SELECT p.pipeline_name, 'v1.0' AS version, s.survey_id, count(*) AS n,
            strftime(min(t), '%Y-%m-%d %H:%M:%S') AS first, strftime(max(t), '%Y-%m-%d %H:%M:%S') AS last
@@ -282,10 +287,10 @@ add("band_map_build", " UNION ALL ".join(
 add("latest_alert_per_object", "SELECT diaObjectId, lastDiaSourceMjdTai, ra, decl, event_id FROM latest_lsst", _SEL)
 add("newest_per_object", f"SELECT object_id, stage_row, survey_id, native_id, jdmax FROM ({newest('staged')})")
 _NAMES = {f"names_{t}": f"SELECT object_id, survey_id, native_id FROM {t} QUALIFY row_number() OVER (PARTITION BY object_id, survey_id ORDER BY jdmax DESC, stage_row) = 1"
-          for t in ("early", "late")}
+          for t in ("first", "second")}
 add("native_names", """
-    SELECT * FROM names_early UNION ALL SELECT l.* FROM names_late l
-    WHERE NOT EXISTS (SELECT 1 FROM names_early e WHERE e.object_id = l.object_id AND e.survey_id = l.survey_id)""", _NAMES)
+    SELECT * FROM names_first UNION ALL SELECT l.* FROM names_second l
+    WHERE NOT EXISTS (SELECT 1 FROM names_first e WHERE e.object_id = l.object_id AND e.survey_id = l.survey_id)""", {**_TWO, **_NAMES})
 add("active_set_as_of", """
     SELECT object_id, event_type FROM (
         SELECT * FROM hist WHERE event_type IN ('created', 'activated', 'deactivated') AND event_time <= TIMESTAMP '2024-01-20 12:00:00'
@@ -303,7 +308,10 @@ add("host_rank", """
         SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY mag, host_name) AS rank
         FROM (SELECT *, CAST(floor(ra / 10) AS BIGINT) AS object_id FROM gal)) WHERE rank <= 3""")
 add("request_batches", "SELECT batch_id, count(*) AS n, min(object_id) AS first_id, max(object_id) AS last_id, count(*) AS n_items FROM ready GROUP BY batch_id")
-add("assign_ids_names", f"SELECT stage_row, stage_row + 17571 AS object_id, 'SKY24' || {name_sql('(stage_row + 17570)')} AS name FROM ordered")
+add("assign_ids_names", f"""
+    SELECT stage_row, n + 17571 AS object_id, 'SKY24' || {name_sql('(n + 17570)')} AS name FROM (
+        SELECT stage_row, row_number() OVER (ORDER BY stage_row) - 1 AS n FROM ordered WHERE stage_row NOT IN (
+            SELECT a.stage_row FROM ordered a JOIN ordered b ON {near('a', 'b')} AND b.stage_row < a.stage_row))""")
 
 # ---------------------------------------------------------------- sorts, limits, sets
 
@@ -319,8 +327,8 @@ add("object_request_history", f"""
     FROM req WHERE first_id = 8 OR second_id = 8""")
 add("needs_human", "SELECT object_id, name, sync_state, sync_attempts, sync_last_error FROM ob WHERE sync_state IN ('failed', 'conflict')")
 add("insert_if_absent", """
-    SELECT object_id, survey_id, 'old' AS origin FROM (SELECT DISTINCT object_id, survey_id FROM early)
-    UNION ALL SELECT object_id, survey_id, 'new' FROM (SELECT DISTINCT object_id, survey_id FROM staged EXCEPT SELECT object_id, survey_id FROM early)""")
+    SELECT object_id, survey_id, 'old' AS origin FROM (SELECT DISTINCT object_id, survey_id FROM first)
+    UNION ALL SELECT object_id, survey_id, 'new' FROM (SELECT DISTINCT object_id, survey_id FROM staged EXCEPT SELECT object_id, survey_id FROM first)""", _TWO)
 add("updated_minus_new", "SELECT object_id, new_detection FROM changes WHERE touched AND object_id NOT IN (SELECT object_id FROM objects0 WHERE ra < 180)")
 add("native_ids_of_object", "SELECT DISTINCT survey_id, survey_object_id FROM hist WHERE object_id = 8 AND event_type IN ('alert', 'manual_submission')")
 
@@ -355,7 +363,7 @@ add("scalar_band_label", """
     SELECT event_id, band, CASE WHEN band IN ('g_lsst', 'r_lsst', 'i_lsst', 'z_lsst') THEN 'LSST_' || band[1] || '_AB'
                                 WHEN band IN ('g_ztf', 'r_ztf') THEN 'SDSS_' || band[1] || '_AB' END AS label
     FROM (SELECT event_id, CASE k WHEN 0 THEN 'g' WHEN 1 THEN 'r' WHEN 2 THEN 'i' WHEN 3 THEN 'z' ELSE 'u' END || CASE survey_id WHEN 1 THEN '_lsst' ELSE '_ztf' END AS band FROM ev)""")
-add("scalar_base26_name", f"SELECT o_orderkey, {name_sql('(o_orderkey * 31 % 474552)')} AS letters FROM orders")
+add("scalar_base26_name", f"SELECT o_orderkey, {name_sql('(o_orderkey * 31 % 12355928)')} AS letters FROM orders")
 add("scalar_truncate_text", """
     SELECT doc_id, len(left(text, 200)) AS len_200, len(left(text, 1000)) AS len_1000, len(left(text, 4000)) AS len_4000, md5(left(text, 200)) AS hash_200 FROM documents""")
 add("scalar_least_greatest", """
@@ -419,12 +427,12 @@ add("apply_create_results", """
            CASE WHEN a.item_id IS NOT NULL THEN NULL WHEN a.outcome IS NULL THEN o.sync_last_error
                 WHEN a.outcome = 'ok' THEN 'accepted, but the answer has no target of this name'
                 WHEN a.outcome = 'retry' THEN 'create request refused for now, sent again later: refused'
-                ELSE 'POST ' || a.outcome || ': ' || CASE WHEN a.batch_id % 7 = 5 THEN '<html>Internal error</html>' ELSE 'refused' END END AS sync_last_error,
+                ELSE 'create request ' || a.outcome || ': ' || CASE WHEN a.batch_id % 7 = 5 THEN '<html>Internal error</html>' ELSE 'refused' END END AS sync_last_error,
            coalesce(a.item_id, o.facility_id) AS facility_id,
            CASE WHEN a.item_id IS NOT NULL THEN a.mag ELSE o.facility_mag END AS facility_mag, a.item_id IS NOT NULL AS was_created
     FROM ob o LEFT JOIN ready_out a ON a.object_id = o.object_id""")
 add("split_rejected_batches", """
-    SELECT batch_id, object_id, name FROM ready_out
+    SELECT batch_id, object_id, name, name AS sent_name, mag AS sent_mag FROM ready_out
     WHERE outcome = 'rejected' AND batch_id IN (SELECT batch_id FROM ready GROUP BY batch_id HAVING count(*) > 1)""")
 add("reconcile_ambiguous", """
     SELECT o.object_id, o.active,
@@ -433,7 +441,7 @@ add("reconcile_ambiguous", """
            o.sync_attempts + CASE WHEN v.verdict IN ('foreign', 'conflict') THEN 1 ELSE 0 END AS sync_attempts,
            CASE v.verdict WHEN 'adopt' THEN NULL WHEN 'foreign' THEN 'lookup gave targets of other names'
                 WHEN 'resend' THEN 'lookup found nothing, to be created again'
-                WHEN 'conflict' THEN CAST(v.n_found AS VARCHAR) || ' targets have the name ' || o.name || ' or elsewhere on the sky' ELSE o.sync_last_error END AS sync_last_error,
+                WHEN 'conflict' THEN CAST(v.n_found AS VARCHAR) || ' targets have the name ' || o.name || ' or lie elsewhere: ' || CAST(o.object_id + 800000 AS VARCHAR) || CASE WHEN v.n_found = 2 THEN ', ' || CAST(o.object_id + 800001 AS VARCHAR) ELSE '' END ELSE o.sync_last_error END AS sync_last_error,
            CASE WHEN v.verdict = 'adopt' THEN o.object_id + 800000 ELSE o.facility_id END AS facility_id,
            CASE WHEN v.verdict = 'adopt' THEN 15.0::DOUBLE + o.object_id % 9 ELSE o.facility_mag END AS facility_mag,
            coalesce(v.verdict = 'adopt', false) AS was_adopted
@@ -446,14 +454,14 @@ add("apply_active_results", """
     SELECT object_id, active, sync_pending AND NOT synced AS sync_pending,
            CASE WHEN synced THEN NULL WHEN outcome IN ('ok', 'rejected') THEN 'failed' ELSE sync_state END AS sync_state,
            CASE WHEN synced THEN 0 WHEN outcome IS NOT NULL THEN sync_attempts + 1 ELSE sync_attempts END AS sync_attempts,
-           CASE WHEN synced THEN NULL WHEN outcome = 'ok' THEN 'PATCH is_active not echoed: ' || body WHEN outcome = 'rejected' THEN 'PATCH rejected: ' || body
-                WHEN outcome = 'retry' THEN 'PATCH failed, will retry: ' || body ELSE sync_last_error END AS sync_last_error,
+           CASE WHEN synced THEN NULL WHEN outcome = 'ok' THEN 'answer does not confirm the active flag: ' || body WHEN outcome = 'rejected' THEN 'active flag refused: ' || body
+                WHEN outcome = 'retry' THEN 'active flag not delivered, sent again later: ' || body ELSE sync_last_error END AS sync_last_error,
            facility_id, facility_mag
     FROM (SELECT o.*, p.outcome, p.body, coalesce(p.outcome = 'ok' AND o.object_id % 3 <> 0, false) AS synced
           FROM ob o LEFT JOIN patched p ON p.object_id = o.object_id)""", _PATCHED)
 add("apply_mag_results", """
     SELECT o.object_id, round(CASE WHEN d.done THEN d.mag ELSE o.facility_mag END, 4) AS facility_mag,
-           CASE WHEN d.object_id IS NOT NULL AND NOT d.done THEN 'mag PATCH ' || d.outcome ELSE o.sync_last_error END AS noted,
+           CASE WHEN d.object_id IS NOT NULL AND NOT d.done THEN 'magnitude update ' || d.outcome ELSE o.sync_last_error END AS noted,
            coalesce(d.done, false) AS mag_updated
     FROM ob o LEFT JOIN (SELECT *, CASE object_id % 5 WHEN 1 THEN 'rejected' WHEN 2 THEN 'retry' WHEN 4 THEN 'retry' ELSE 'ok' END AS outcome,
                                 object_id % 5 IN (0, 3) AND object_id % 3 <> 0 AS done FROM due) d ON d.object_id = o.object_id""",
@@ -471,10 +479,95 @@ add("request_log_append", """
                 ELSE least(4000, 2 + sum(len('{"id":' || CAST(item_id AS VARCHAR) || ',"name":"' || name || '"}') + 1) FILTER (item_id IS NOT NULL) - 1) END AS response_chars,
            'v1' AS code_version
     FROM ready_out GROUP BY batch_id""")
-add("dry_run_requests", "SELECT min(object_id) AS first_id, count(*) AS n, 'POST' AS method, 'dry_run' AS outcome FROM ready GROUP BY batch_id")
+add("dry_run_requests", "SELECT min(object_id) AS first_id, count(*) AS n, 'POST' AS method, 'https://facility.example/transients/' AS url, 'dry_run' AS outcome FROM ready GROUP BY batch_id")
 add("release_failed", "SELECT object_id, CASE WHEN sync_state = 'failed' AND dec < 0 THEN NULL ELSE sync_state END AS sync_state FROM ob")
 add("switch_by_hand", "SELECT object_id, active AND NOT dec > 20 AS active, sync_pending OR dec > 20 AS sync_pending FROM ob")
 
+add("switch_by_hand_events", """
+    SELECT object_id, 'activated' AS event_type, 'manual' AS reason, 'observer' AS submitted_by, 'still bright' AS why FROM ob WHERE NOT active AND dec < -60""")
+
+# The whole run, step by step: o1 after the lookups, o2 without idle rows, o3 after the creations, o4 after the flags, o5 after the magnitudes.
+_PICK = "CASE object_id % 5 WHEN 1 THEN 'rejected' WHEN 2 THEN 'retry' WHEN 4 THEN 'retry' ELSE 'ok' END"
+_RUN = {
+    "found": """
+        SELECT object_id, CASE object_id % 6 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END AS n_found,
+               CASE WHEN object_id % 6 IN (4, 5) THEN 'foreign' WHEN object_id % 6 = 0 THEN 'resend' WHEN object_id % 6 = 1 AND object_id % 11 <> 5 THEN 'adopt' ELSE 'conflict' END AS verdict
+        FROM ob WHERE sync_state = 'ambiguous' AND object_id % 13 <> 0""",
+    "o1": """
+        SELECT o.* EXCLUDE (sync_pending, sync_state, sync_attempts, sync_last_error, facility_id, facility_mag),
+               CASE WHEN verdict = 'adopt' THEN active <> (o.object_id % 4 = 1) ELSE sync_pending END AS sync_pending,
+               CASE WHEN verdict IN ('adopt', 'resend') THEN NULL WHEN verdict = 'conflict' THEN 'conflict' ELSE sync_state END AS sync_state,
+               sync_attempts + CASE WHEN verdict IN ('foreign', 'conflict') THEN 1 ELSE 0 END AS sync_attempts,
+               CASE verdict WHEN 'adopt' THEN NULL WHEN 'foreign' THEN 'lookup gave targets of other names' WHEN 'resend' THEN 'lookup found nothing, to be created again'
+                    WHEN 'conflict' THEN CAST(n_found AS VARCHAR) || ' targets have the name ' || name || ' or lie elsewhere' ELSE sync_last_error END AS sync_last_error,
+               CASE WHEN verdict = 'adopt' THEN o.object_id + 800000 ELSE facility_id END AS facility_id,
+               CASE WHEN verdict = 'adopt' THEN 15.0::DOUBLE + o.object_id % 9 ELSE facility_mag END AS facility_mag, verdict
+        FROM ob o LEFT JOIN found f ON f.object_id = o.object_id""",
+    "o2": f"SELECT * EXCLUDE (sync_pending), sync_pending AND NOT (NOT active AND facility_id IS NULL AND {_OPEN}) AS sync_pending FROM o1",
+    "new2": f"SELECT o.object_id, o.name, r.refusal FROM o2 o JOIN refusals r ON r.object_id = o.object_id WHERE sync_pending AND active AND facility_id IS NULL AND {_OPEN}",
+    "ready2": """
+        SELECT n.object_id, n.name, round(d.mag, 3) AS mag, (row_number() OVER (ORDER BY n.object_id) - 1) // 50 AS batch_id
+        FROM new2 n JOIN ob_det d ON d.object_id = n.object_id WHERE n.refusal IS NULL""",
+    "batch2": "SELECT batch_id, count(*) AS n, min(object_id) AS first_id, arg_min(name, object_id) AS first_name FROM ready2 GROUP BY batch_id",
+    "posted": """
+        SELECT r.*, b.batch_id % 7 = 1 AND b.n > 1 AS split,
+               CASE WHEN b.batch_id % 7 = 1 AND b.n > 1 THEN CASE object_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'rejected' WHEN 2 THEN 'ambiguous' ELSE 'retry' END
+                    ELSE CASE b.batch_id % 7 WHEN 0 THEN 'ok' WHEN 1 THEN 'rejected' WHEN 3 THEN 'retry' WHEN 6 THEN 'ok' ELSE 'ambiguous' END END AS outcome
+        FROM ready2 r JOIN batch2 b ON b.batch_id = r.batch_id""",
+    "made": "SELECT *, outcome = 'ok' AND (split OR object_id % 10 <> 3) AS done FROM posted",
+    "o3": """
+        SELECT o.* EXCLUDE (sync_pending, sync_state, sync_attempts, sync_last_error, facility_id, facility_mag), o.sync_pending AND done IS NOT TRUE AS sync_pending,
+               CASE WHEN done THEN NULL WHEN outcome = 'rejected' THEN 'failed' WHEN outcome IS NOT NULL THEN 'ambiguous' WHEN n.refusal IS NOT NULL THEN 'not_submittable' ELSE o.sync_state END AS sync_state,
+               CASE WHEN done THEN 0 ELSE o.sync_attempts + CASE WHEN outcome IS NOT NULL OR n.refusal IS NOT NULL THEN 1 ELSE 0 END END AS sync_attempts,
+               CASE WHEN done THEN NULL WHEN outcome = 'ok' THEN 'accepted, but the answer has no target of this name' WHEN outcome = 'retry' THEN 'create request refused for now, sent again later'
+                    WHEN outcome IS NOT NULL THEN 'create request ' || outcome WHEN n.refusal IS NOT NULL THEN n.refusal ELSE o.sync_last_error END AS sync_last_error,
+               CASE WHEN done THEN o.object_id + 800000 ELSE o.facility_id END AS facility_id, CASE WHEN done THEN m.mag ELSE o.facility_mag END AS facility_mag, coalesce(done, false) AS created
+        FROM o2 o LEFT JOIN new2 n ON n.object_id = o.object_id LEFT JOIN made m ON m.object_id = o.object_id""",
+    "flags": f"SELECT object_id, facility_id, active, {_PICK} AS outcome, {_PICK} = 'ok' AND object_id % 3 <> 0 AS done FROM o3 WHERE sync_pending AND facility_id IS NOT NULL AND sync_state IS NULL",
+    "o4": """
+        SELECT o.* EXCLUDE (sync_pending, sync_state, sync_attempts, sync_last_error), sync_pending AND done IS NOT TRUE AS sync_pending,
+               CASE WHEN done THEN NULL WHEN outcome IN ('ok', 'rejected') THEN 'failed' ELSE sync_state END AS sync_state,
+               CASE WHEN done THEN 0 ELSE sync_attempts + CASE WHEN outcome IS NULL THEN 0 ELSE 1 END END AS sync_attempts,
+               CASE WHEN done THEN NULL WHEN outcome = 'ok' THEN 'answer does not confirm the active flag' WHEN outcome = 'rejected' THEN 'active flag refused'
+                    WHEN outcome = 'retry' THEN 'active flag not delivered, sent again later' ELSE sync_last_error END AS sync_last_error
+        FROM o3 o LEFT JOIN flags f ON f.object_id = o.object_id""",
+    "mags": f"SELECT *, {_PICK} AS outcome, {_PICK} = 'ok' AND object_id % 3 <> 0 AS done FROM ({_DUE.replace('FROM ob o', 'FROM o4 o')})",
+    "o5": """
+        SELECT o.* EXCLUDE (sync_last_error, facility_mag), CASE WHEN done THEN m.mag ELSE o.facility_mag END AS facility_mag,
+               CASE WHEN m.object_id IS NOT NULL AND NOT done THEN 'magnitude update ' || outcome ELSE sync_last_error END AS sync_last_error
+        FROM o4 o LEFT JOIN mags m ON m.object_id = o.object_id""",
+    **_REJECTED,
+}
+add("outbox_run", """
+    SELECT object_id, active, sync_pending, sync_state, sync_attempts, split_part(sync_last_error, ':', 1) AS sync_last_error, facility_id, round(facility_mag, 4) AS facility_mag FROM o5""", _RUN)
+add("outbox_events", """
+    SELECT object_id, 'facility_created' AS event_type, 'adopted_after_ambiguous_post' AS reason, facility_id, NULL::DOUBLE AS mag, 'r1' AS run_id FROM o1 WHERE verdict = 'adopt'
+    UNION ALL SELECT object_id, 'facility_created', NULL, facility_id, NULL, 'r1' FROM o3 WHERE created
+    UNION ALL SELECT object_id, 'facility_mag_update', NULL, NULL, mag, 'r1' FROM mags WHERE done""", _RUN)
+_BASE = "'https://facility.example/transients/'"
+add("outbox_requests", f"""
+    SELECT object_id AS first_id, 1 AS n, 'GET' AS method, {_BASE} || '?name=' || name || '&subsurvey=sky-sn' AS url, CASE WHEN object_id % 13 = 0 THEN 500 ELSE 200 END AS status_code,
+           CASE WHEN object_id % 13 = 0 THEN 'retry' ELSE 'ok' END AS outcome, NULL::BOOLEAN AS is_active, NULL::VARCHAR AS first_name, NULL::DOUBLE AS mag FROM ob WHERE sync_state = 'ambiguous'
+    UNION ALL SELECT first_id, n, 'POST', {_BASE}, CASE batch_id % 7 WHEN 0 THEN 201 WHEN 1 THEN 400 WHEN 2 THEN 500 WHEN 3 THEN 429 WHEN 5 THEN 200 WHEN 6 THEN 200 END,
+           CASE batch_id % 7 WHEN 0 THEN 'ok' WHEN 1 THEN 'rejected' WHEN 3 THEN 'retry' WHEN 6 THEN 'ok' ELSE 'ambiguous' END, CASE WHEN n = 0 THEN true END, first_name, NULL FROM batch2
+    UNION ALL SELECT object_id, 1, 'POST', {_BASE}, CASE object_id % 4 WHEN 0 THEN 201 WHEN 1 THEN 400 WHEN 2 THEN 500 ELSE 429 END, outcome, true, name, NULL FROM posted WHERE split
+    UNION ALL SELECT object_id, 1, 'PATCH', {_BASE} || CAST(facility_id AS VARCHAR) || '/', CASE object_id % 5 WHEN 1 THEN 404 WHEN 2 THEN 500 WHEN 4 THEN NULL ELSE 200 END, outcome, active, NULL, NULL FROM flags
+    UNION ALL SELECT object_id, 1, 'PATCH', {_BASE} || CAST(facility_id AS VARCHAR) || '/', CASE object_id % 5 WHEN 1 THEN 404 WHEN 2 THEN 500 WHEN 4 THEN NULL ELSE 200 END, outcome, NULL, NULL, mag FROM mags""", _RUN)
+add("host_associate", f"""
+    SELECT row_number() OVER (ORDER BY object_id, rank) AS association_id, object_id, CAST(rank AS INT) AS rank, 10 AS pipeline_id,
+           dense_rank() OVER (ORDER BY host_name) AS host_id, host_name, mag, round({arcsec('h')}, 6) AS separation_arcsec, false AS active FROM (
+        SELECT object_id, host_name, mag, h, row_number() OVER (PARTITION BY object_id ORDER BY h, host_name) AS rank FROM (
+            SELECT o.object_id, g.host_name, g.mag, {hav('o', 'g')} AS h FROM objects0 o JOIN gal g ON o.active AND g.object_type = 'galaxy' AND {near('o', 'g', _HOST_R)}))
+    WHERE rank <= 3""")
+_TAKEN = {"taken": """
+    SELECT *, TRY_CAST(date_ingested AS TIMESTAMP) AS t FROM tg
+    WHERE id IS NOT NULL AND ostd_targ_id IS NOT NULL AND subsurvey = 'sky-sn' AND TRY_CAST(date_ingested AS TIMESTAMP) > TIMESTAMP '2024-01-01'""",
+    "marks": "SELECT max(t) AS t FROM taken JOIN ob ON ob.facility_id = taken.id"}
+add("facility_sync_run", """
+    SELECT o.object_id, o.facility_id, t.ostd_targ_id, t.ostd_u_obj_id AS ostd_u_obj_id, strftime(t.t, '%Y-%m-%d %H:%M:%S') AS date_ingested,
+           strftime(m.t - INTERVAL 3 DAY, '%Y-%m-%dT%H:%M:%S.%fZ') AS since, epoch_us(m.t) AS mark
+    FROM ob o LEFT JOIN taken t ON t.id = o.facility_id, marks m""", _TAKEN)
+
 # ---------------------------------------------------------------- streaming
 
 _LATE_FIRST = {

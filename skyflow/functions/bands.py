@@ -30,10 +30,6 @@ def build_map(entries: list[tuple[str, str]], value_type: str) -> Column:
     return F.expr(f"map_from_entries(filter(array({items}), e -> e.v IS NOT NULL))")
 
 
-def empty_map(value_type: str) -> Column:
-    return F.lit(None).cast(f"map<string,{value_type}>")
-
-
 def parse_band_map(text: Column, value_type: str = "double") -> Column:
     """JSON text to a band map; NULL, empty or non-object text gives an empty map."""
     parsed = F.transform_values(json_object(json_variant(text)), lambda _, v: json_number(v).try_cast(value_type))
@@ -96,6 +92,6 @@ def milestone_due(mag: Column, facility_mag: Column) -> Column:
 
 
 __all__ = [
-    "BAND_LABELS", "MILESTONES", "all_fainter", "band_label", "build_map", "empty_map", "latest_detection",
+    "BAND_LABELS", "MILESTONES", "all_fainter", "band_label", "build_map", "latest_detection",
     "merge_band_maps", "milestone_due", "parse_band_map", "payload_number",
 ]

@@ -11,8 +11,9 @@ JD_MIN, JD_MAX = 2459945.5, 2462501.5
 MJD_EPOCH_DATE = "1858-11-17"
 UNIX_EPOCH_MJD = 40587.0
 RA_MAX = 359.99999999
-NAMES_PER_YEAR = 474_552
 THREE_LETTER_NAMES = 26 ** 3
+FOUR_LETTER_END = THREE_LETTER_NAMES + 26 ** 4       # 474,552
+NAMES_PER_YEAR = FOUR_LETTER_END + 26 ** 5           # five letters are our own continuation
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,10 +58,6 @@ def timestamp_to_mjd(ts: Column) -> Column:
     return F.unix_micros(ts) / F.lit(86400000000.0) + F.lit(UNIX_EPOCH_MJD)
 
 
-def mjd_to_timestamp(mjd: Column) -> Column:
-    return F.timestamp_micros(F.round((mjd - F.lit(UNIX_EPOCH_MJD)) * F.lit(86400000000.0)).cast("long"))
-
-
 def ra_wrap(ra: Column) -> Column:
     """Right ascension folded into [0, 359.99999999]."""
     return F.least(F.pmod(ra, F.lit(360.0)), F.lit(RA_MAX))
@@ -81,7 +78,10 @@ def format_utc(ts: Column) -> Column:
 
 
 def base26_name(index: Column) -> Column:
-    """0..17575 as aaa..zzz, then 17576..474551 as aaaa..zzzz; anything else is an error."""
+    """
+    0..17575 as aaa..zzz, then 17576..474551 as aaaa..zzzz. Where a year needs more, five letters follow, aaaaa..zzzzz, up to
+    index 12,355,927. Anything else is an error.
+    """
     def letters(number: Column, width: int) -> Column:
         digits = [
             F.substring(F.lit(ALPHABET), (F.floor(number / (26 ** p)) % 26).cast("int") + 1, F.lit(1))
@@ -92,7 +92,8 @@ def base26_name(index: Column) -> Column:
     n = index.cast("long")
     return (
         F.when((n >= 0) & (n < THREE_LETTER_NAMES), letters(n, 3))
-        .when((n >= THREE_LETTER_NAMES) & (n < NAMES_PER_YEAR), letters(n - THREE_LETTER_NAMES, 4))
+        .when((n >= THREE_LETTER_NAMES) & (n < FOUR_LETTER_END), letters(n - THREE_LETTER_NAMES, 4))
+        .when((n >= FOUR_LETTER_END) & (n < NAMES_PER_YEAR), letters(n - FOUR_LETTER_END, 5))
         .otherwise(F.raise_error(F.concat(F.lit("no name left for index "), n.cast("string"))))
     )
 
@@ -102,7 +103,7 @@ def parse_base26(letters: str) -> int:
     number = 0
     for ch in letters:
         number = number * 26 + ALPHABET.index(ch)
-    return number + (THREE_LETTER_NAMES if len(letters) == 4 else 0)
+    return number + {4: THREE_LETTER_NAMES, 5: FOUR_LETTER_END}.get(len(letters), 0)
 
 
 def payload_number(text: Column) -> Column:

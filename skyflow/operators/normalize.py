@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bands import FINITE_VALUES, build_map
 from ..functions.scalars import AB_ZERO_POINT_NJY, MJD_TO_JD, is_finite
-from ..schemas import CONTRACT_COLUMNS
 
 SURVEY_LSST, SURVEY_ZTF = 1, 2
 LSST_BANDS = ["g", "r", "i", "z"]
@@ -63,7 +62,7 @@ def normalize_lsst(raw: DataFrame, pipeline_id: int, keep: list[str] | None = No
         dates.append((key, f"CASE WHEN {usable} THEN {mjd} END"))
         counts.append((key, f"coalesce(CASE WHEN {_finite(n)} THEN CAST({n} AS BIGINT) END, 0L)"))
     columns = {
-        "native_id": "CAST(CAST(diaObjectId AS BIGINT) AS STRING)",
+        "native_id": f"CAST({_column(raw, 'diaObjectId', 'bigint')} AS STRING)",
         "survey_id": str(SURVEY_LSST),
         "pipeline_id": str(pipeline_id),
         "ra": _column(raw, "ra"),
@@ -87,7 +86,7 @@ def normalize_ztf(raw: DataFrame, pipeline_id: int, keep: list[str] | None = Non
     jd = _column(raw, "latest_jd")
     mjd = f"({jd} - {MJD_TO_JD}D)"
     if {"latestFilter", "latestMag"} <= set(raw.columns):
-        mag = "CAST(latestMag AS DOUBLE)"
+        mag = _column(raw, "latestMag")
         in_band = {b: f"latestFilter = '{b}'" for b in ZTF_BANDS}
     else:
         gmag, rmag = _column(raw, "gmag"), _column(raw, "rmag")
@@ -115,7 +114,3 @@ def normalize_ztf(raw: DataFrame, pipeline_id: int, keep: list[str] | None = Non
         "n_sources": single("1", "bigint"),
     }
     return raw.select(*_contract(columns, maps, keep))
-
-
-def contract_only(df: DataFrame) -> DataFrame:
-    return df.select(*CONTRACT_COLUMNS)

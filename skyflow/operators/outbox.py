@@ -111,10 +111,10 @@ def build_target_payload(objects: DataFrame, facility: Facility = Facility()) ->
     det = latest_detection(F.col("latest_mags"), F.col("latest_mjd"))
     rows = objects.withColumn("_det", det)
     refusal = (
-        F.when(~(is_finite(ra) & is_finite(dec)), F.lit("ra/dec missing or not finite"))
-        .when(dec > DEC_MAX, F.concat(F.lit("dec "), F.format_string("%.5f", dec), F.lit(" is north of +40")))
-        .when(dec < DEC_MIN, F.concat(F.lit("dec "), F.format_string("%.8f", dec), F.lit(" is below the limit")))
-        .when(F.col("_det").isNull(), F.lit("no valid detection magnitude"))
+        F.when(~(is_finite(ra) & is_finite(dec)), F.lit("position unknown"))
+        .when(dec > DEC_MAX, F.concat(F.lit("dec "), F.format_string("%.5f", dec), F.lit(" beyond the northern limit")))
+        .when(dec < DEC_MIN, F.concat(F.lit("dec "), F.format_string("%.8f", dec), F.lit(" beyond the southern limit")))
+        .when(F.col("_det").isNull(), F.lit("no detection that can be sent"))
     )
     fixed = {**TARGET_DEFAULTS, "subsurvey": facility.subsurvey, "template": facility.template,
              "ruleset": facility.ruleset, "uploadedfor_survey_id": facility.survey_id, "is_active": True}
@@ -162,11 +162,12 @@ def request_batches(ready: DataFrame, known_rows: int | None = None, size: int =
 
 
 def split_rejected_batches(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """One request per row of every refused batch with more than one row: (batch_id, object_id, name)."""
+    """One request per row of every refused batch with more than one row: (batch_id, object_id, name, payload), the payload one JSON object."""
     refused = outcomes.filter(F.col("outcome") == "rejected").select("batch_id")
     many = requests.filter(F.size("object_ids") > 1).join(refused, "batch_id", "left_semi")
-    return many.select("batch_id", F.explode(F.arrays_zip("object_ids", "names")).alias("_one")).select(
-        "batch_id", F.col("_one.object_ids").alias("object_id"), F.col("_one.names").alias("name")
+    items = F.from_json("payload", "array<string>").alias("payloads")      # the text of each item
+    return many.select("batch_id", F.explode(F.arrays_zip("object_ids", "names", items)).alias("_one")).select(
+        "batch_id", F.col("_one.object_ids").alias("object_id"), F.col("_one.names").alias("name"), F.col("_one.payloads").alias("payload")
     )
 
 
@@ -178,10 +179,10 @@ def mark_in_flight(objects: DataFrame, sent: DataFrame) -> DataFrame:
     ).drop("_sent")
 
 
-def dry_run_requests(batches: DataFrame, now: Column, code_version: str, run_id: str) -> DataFrame:
-    """The log rows of a dry run: payloads that would have been sent."""
-    return batches.select(
-        now.alias("request_time"), "object_ids", F.lit("POST").alias("method"), F.lit(None).cast("string").alias("url"),
+def dry_run_requests(requests: DataFrame, now: Column, code_version: str, run_id: str) -> DataFrame:
+    """The log rows of a dry run: requests (object_ids, method, url, payload) that would have been sent."""
+    return requests.select(
+        now.alias("request_time"), "object_ids", "method", "url",
         "payload", F.lit(None).cast("int").alias("status_code"), F.lit("dry_run").alias("outcome"),
         F.lit(None).cast("string").alias("response_text"),
         F.lit(code_version).alias("code_version"), F.lit(run_id).alias("run_id"),
@@ -246,8 +247,9 @@ def apply_create_responses(sent: DataFrame, responses: DataFrame) -> DataFrame:
     return sent.join(judged, "batch_id").join(items, ["batch_id", "name"], "left")
 
 
-def _python_text(body: Column) -> Column:
-    return F.coalesce(truncate_text(body, BODY_CHARS), F.lit("None"))
+def _shown_body(body: Column) -> Column:
+    """The begin of an answer for an error text."""
+    return F.coalesce(truncate_text(body, BODY_CHARS), F.lit("no answer"))
 
 
 def apply_create_results(objects: DataFrame, answered: DataFrame) -> DataFrame:
@@ -262,8 +264,8 @@ def apply_create_results(objects: DataFrame, answered: DataFrame) -> DataFrame:
     problem = outcome.isNotNull() & ~created
     error = (
         F.when(outcome == "ok", F.lit("accepted, but the answer has no target of this name"))
-        .when(outcome == "retry", F.concat(F.lit("create request refused for now, sent again later: "), _python_text(F.col("_body"))))
-        .otherwise(F.concat(F.lit("POST "), outcome, F.lit(": "), _python_text(F.col("_body"))))
+        .when(outcome == "retry", F.concat(F.lit("create request refused for now, sent again later: "), _shown_body(F.col("_body"))))
+        .otherwise(F.concat(F.lit("create request "), outcome, F.lit(": "), _shown_body(F.col("_body"))))
     )
     state = (
         F.when(created, F.lit(None).cast("string"))
@@ -303,6 +305,7 @@ def reconcile_by_lookup(ambiguous: DataFrame, found: DataFrame, facility: Facili
         F.count_if(any_row & ~ours).alias("n_foreign"),
         F.count_if(any_row & F.coalesce(near, F.lit(False))).alias("n_near"),
         F.max("f_id").alias("f_id"), F.max("f_mag").alias("f_mag"), F.max("f_active").alias("f_active"),
+        F.sort_array(F.collect_set("f_id")).alias("found_ids"),        # of one answer
     )
     verdict = (
         F.when(F.col("n_foreign") > 0, F.lit("foreign"))
@@ -310,12 +313,12 @@ def reconcile_by_lookup(ambiguous: DataFrame, found: DataFrame, facility: Facili
         .when((F.col("n_found") == 1) & ~F.col("has_next") & (F.col("n_near") == 1), F.lit("adopt"))
         .otherwise(F.lit("conflict"))
     )
-    return seen.select("object_id", "n_found", verdict.alias("verdict"), "f_id", "f_mag", "f_active")
+    return seen.select("object_id", "n_found", verdict.alias("verdict"), "f_id", "f_mag", "f_active", "found_ids")
 
 
 def reconcile_ambiguous(objects: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Fold lookup verdicts into the ambiguous objects; adds `was_adopted` for the event."""
-    v = verdicts.select("object_id", "verdict", "n_found", "f_id", "f_mag", "f_active")
+    v = verdicts.select("object_id", "verdict", "n_found", "f_id", "f_mag", "f_active", "found_ids")
     rows = objects.join(v, "object_id", "left")
     verdict = F.when(F.col("sync_state") == "ambiguous", F.col("verdict"))
     adopt, conflict = verdict == "adopt", verdict == "conflict"
@@ -323,7 +326,7 @@ def reconcile_ambiguous(objects: DataFrame, verdicts: DataFrame) -> DataFrame:
         F.when(verdict == "foreign", F.lit("lookup gave targets of other names"))
         .when(verdict == "resend", F.lit("lookup found nothing, to be created again"))
         .when(conflict, F.concat(F.col("n_found").cast("string"), F.lit(" targets have the name "), F.col("name"),
-                                 F.lit(" or elsewhere on the sky")))
+                                 F.lit(" or lie elsewhere: "), F.array_join(F.col("found_ids").cast("array<string>"), ", ")))
     )
     return rows.withColumns({
         "facility_id": F.when(adopt, F.col("f_id")).otherwise(F.col("facility_id")),
@@ -336,7 +339,7 @@ def reconcile_ambiguous(objects: DataFrame, verdicts: DataFrame) -> DataFrame:
         "sync_last_error": F.when(adopt, F.lit(None).cast("string")).when(verdict.isNotNull(), error).otherwise(
             F.col("sync_last_error")),
         "was_adopted": F.coalesce(adopt, F.lit(False)),
-    }).drop("verdict", "n_found", "f_id", "f_mag", "f_active")
+    }).drop("verdict", "n_found", "f_id", "f_mag", "f_active", "found_ids")
 
 
 def _patch_answers(answers: DataFrame) -> DataFrame:
@@ -351,11 +354,11 @@ def apply_active_results(objects: DataFrame, answers: DataFrame) -> DataFrame:
     echoed = F.try_variant_get(F.try_parse_json("_body"), "$.is_active", "boolean")
     synced = F.coalesce((outcome == "ok") & (echoed == F.col("active")), F.lit(False))
     problem = outcome.isNotNull() & ~synced
-    shown = _python_text(F.col("_body"))
+    shown = _shown_body(F.col("_body"))
     error = (
-        F.when(outcome == "ok", F.concat(F.lit("PATCH is_active not echoed: "), shown))
-        .when(outcome == "rejected", F.concat(F.lit("PATCH rejected: "), shown))
-        .otherwise(F.concat(F.lit("PATCH failed, will retry: "), shown))
+        F.when(outcome == "ok", F.concat(F.lit("answer does not confirm the active flag: "), shown))
+        .when(outcome == "rejected", F.concat(F.lit("active flag refused: "), shown))
+        .otherwise(F.concat(F.lit("active flag not delivered, sent again later: "), shown))
     )
     return rows.withColumns({
         "sync_pending": F.col("sync_pending") & ~synced,
@@ -375,7 +378,7 @@ def apply_mag_results(objects: DataFrame, sent: DataFrame, answers: DataFrame) -
     outcome = F.col("_outcome")
     echoed = F.try_variant_get(F.try_parse_json("_body"), "$.mag", "double")
     done = F.coalesce((outcome == "ok") & (F.abs(echoed - F.col("_mag")) < 1e-3), F.lit(False))
-    error = F.concat(F.lit("mag PATCH "), outcome, F.lit(": "), _python_text(F.col("_body")))
+    error = F.concat(F.lit("magnitude update "), outcome, F.lit(": "), _shown_body(F.col("_body")))
     return rows.withColumns({
         "facility_mag": F.when(done, F.col("_mag")).otherwise(F.col("facility_mag")),
         "sync_last_error": F.when(outcome.isNotNull() & ~done, truncate_text(error, ERROR_CHARS)).otherwise(

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .skew import salted_join
+from .lineage import materialize
 
 LSST_BANDS = ["g", "r", "i", "z"]
 # Fixed values of the selection: magnitude 22.5 in nJy, 3 sigma, 2 nights, 3 bands, the accepted classes.
@@ -90,26 +90,40 @@ def lightcurve_first_pass(detections: DataFrame, c: LightcurveCriteria) -> DataF
 
     Each criterion only ever turns from false to true as x grows, so the turning points are found by
     aggregation instead of replaying prefixes: the min_bands-th of the first significant dates per
-    band, the min_nights-th of those per night, and the first date at the brightness limit.
+    band, the min_nights-th of those per night, and the first date at the brightness limit. The detections
+    are read once, into one row per object, band and night; all else follows from these rows. Only where a turning point
+    falls between two detections of one band and night, and is none itself, are those detections looked at again.
     """
-    sig = _significant(c)
+    sig, jd = _significant(c), F.col("jd")
+    detected = F.col("candid").isNotNull()
+    key = ["objectId", "fid", "nid"]
+    groups = materialize(detections.groupBy(*key).agg(
+        F.min(F.when(sig, jd)).alias("_sig"), F.min(F.when(F.col("magpsf") <= c.mag_limit, jd)).alias("_bright"),
+        F.min(F.when(sig & detected, jd)).alias("_sure"), F.min(F.when(detected, jd)).alias("_low"), F.max(F.when(detected, jd)).alias("_high")), "nights")
 
     def nth_first(group: str, n: int, name: str) -> DataFrame:
         # Bounded per object: one date per band, or one per calendar night.
-        firsts = detections.filter(sig).groupBy("objectId", group).agg(F.min("jd").alias("_first"))
+        firsts = groups.filter("_sig IS NOT NULL").groupBy("objectId", group).agg(F.min("_sig").alias("_first"))
         dates = F.sort_array(F.collect_list("_first"))
         return firsts.groupBy("objectId").agg(F.try_element_at(dates, F.lit(n)).alias(name))
 
-    bright = detections.filter(F.col("magpsf") <= c.mag_limit).groupBy("objectId").agg(F.min("jd").alias("_t_mag"))
+    bright = groups.groupBy("objectId").agg(F.min("_bright").alias("_t_mag"))
     turning = (
         nth_first("fid", c.min_bands, "_t_band").join(nth_first("nid", c.min_nights, "_t_night"), "objectId")
         .join(bright, "objectId")
-        .filter(F.col("_t_band").isNotNull() & F.col("_t_night").isNotNull())
+        .filter(F.col("_t_band").isNotNull() & F.col("_t_night").isNotNull() & F.col("_t_mag").isNotNull())
         .select("objectId", F.greatest("_t_band", "_t_night", "_t_mag").alias("_from"))
     )
-    tested = detections.filter(F.col("candid").isNotNull()).select("objectId", "jd")
-    after = salted_join(tested, turning, "objectId", F.col("jd") >= F.col("_from"), "jd")
-    return after.groupBy("objectId").agg(F.min("jd").alias("first_pass_jd"))
+    at = F.col("_from")
+    known = F.when(F.col("_low") >= at, F.col("_low")).when((F.col("_sure") == at) | (F.col("_high") == at), at)
+    tested = materialize(groups.join(turning, "objectId").select(*key, "_from", known.alias("_known"), (known.isNull() & (F.col("_high") > at)).alias("_between")), "turning")
+    passed = tested.filter("_known IS NOT NULL").select("objectId", F.col("_known").alias("jd"))
+    settled = tested.filter("_known = _from").select("objectId").distinct()
+    between = tested.filter("_between").join(settled, "objectId", "left_anti").select(*key, "_from")
+    if not between.isEmpty():
+        again = detections.filter(detected).join(between, key).filter(jd >= at).select("objectId", "jd")
+        passed = passed.unionByName(again)
+    return passed.groupBy("objectId").agg(F.min("jd").alias("first_pass_jd"))
 
 
 def attach_selection_result(alerts: DataFrame, results: DataFrame) -> DataFrame:

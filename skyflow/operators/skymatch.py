@@ -34,13 +34,15 @@ def sky_pairs(
     known_rows: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     cells_per_radius: int = CELLS_PER_RADIUS,
+    send_rows: bool = False,
 ) -> DataFrame:
     """
     Every (row_key, object_key, _h) with a separation below `radius_deg`; _h orders like the separation.
 
     `spread` names the side that is copied into the neighbouring cells: the smaller one. Objects are
     pairwise farther apart than the radius, so a cell holds a bounded number of them, and hot cells
-    of the row side are salted.
+    of the row side are salted. `send_rows` sends the rows to the objects instead (only for a counted few; then the
+    objects are neither shuffled nor sorted).
     """
     height = radius_deg * cells_per_radius
     left = rows.select(F.col(row_key).alias("_row"), F.col("ra").alias("_ra"), F.col("dec").alias("_dec"))
@@ -53,9 +55,11 @@ def sky_pairs(
         left = with_cell(left, "_ra", "_dec", height, "_cell")
         right = with_ball_cells(right, "_ora", "_odec", radius_deg, height, "_cell")
     h = F.expr(haversine_sql("_ra", "_dec", "_ora", "_odec"))
-    pairs = salted_join(
-        left, right, "_cell", h < haversine_limit(radius_deg), "_row", known_rows, rows_per_task
-    )
+    near = h < haversine_limit(radius_deg)
+    if send_rows:
+        pairs = right.withColumnRenamed("_cell", "_ocell").join(F.broadcast(left), (F.col("_cell") == F.col("_ocell")) & near)
+    else:
+        pairs = salted_join(left, right, "_cell", near, "_row", known_rows, rows_per_task)
     return pairs.select(F.col("_row").alias(row_key), F.col("_obj").alias(object_key), h.alias("_h"))
 
 

@@ -30,8 +30,8 @@ def _finite_values(df: DataFrame, name: str) -> Column:
 
 def _map_problem(df: DataFrame, name: str) -> Column:
     missing = F.col(name).isNull() if _is_map(df, name) else json_variant(F.col(name)).isNull()
-    return F.when(missing, F.lit(f"{name} is not JSON")).when(
-        ~F.coalesce(_finite_values(df, name), F.lit(False)), F.lit(f"{name} has non-finite values")
+    return F.when(missing, F.lit(f"{name} cannot be read as JSON")).when(
+        ~F.coalesce(_finite_values(df, name), F.lit(False)), F.lit(f"{name} holds values that are no finite numbers")
     )
 
 
@@ -55,16 +55,16 @@ def is_valid(df: DataFrame, now_mjd: float) -> Column:
 def alert_problem(df: DataFrame, now_mjd: float) -> Column:
     """First failing reason of a contract row, NULL for a valid row. jdmin is not checked."""
     ra, dec, jdmax = (F.col(c).try_cast("double") for c in ("ra", "dec", "jdmax"))
-    checks = [F.when(F.col("native_id").isNull(), F.lit("no object_id"))]
+    checks = [F.when(F.col("native_id").isNull(), F.lit("native id missing"))]
     for name in ("ra", "dec", "jdmax", "survey_id", "pipeline_id"):
-        checks.append(F.when(~is_finite(F.col(name)), F.lit(f"{name} missing or not finite")))
+        checks.append(F.when(~is_finite(F.col(name)), F.lit(f"{name} is no finite number")))
     checks.append(
-        F.when(~((ra >= 0.0) & (ra < 360.0) & dec.between(-90.0, 90.0)), F.lit("ra/dec out of range"))
+        F.when(~((ra >= 0.0) & (ra < 360.0) & dec.between(-90.0, 90.0)), F.lit("position outside the sky"))
     )
     checks.append(
         F.when(
             ~((jdmax > MJD_FLOOR) & (jdmax <= now_mjd + 1.0)),
-            F.concat(F.lit("jdmax "), jdmax.cast("string"), F.lit(" is not a plausible MJD")),
+            F.concat(F.lit("jdmax "), jdmax.cast("string"), F.lit(" lies outside the accepted dates")),
         )
     )
     checks.extend(_map_problem(df, name) for name in _MAPS)

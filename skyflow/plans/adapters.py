@@ -17,6 +17,7 @@ BANDS = ["g", "r", "i", "z"]
 CONTRACT_BANDS = [f"{b}_lsst" for b in BANDS] + ["g_ztf", "r_ztf"]
 OUTBOX_BANDS = ["g_lsst", "r_ztf", "u_lsst"]
 BATCH_SPLIT_MJD = 60325.0
+FIRST_SPLIT_MJD = 60310.5        # so early that the second part has objects that the first lacks
 NOW_MJD = 60341.0
 PIPELINE_LSST, PIPELINE_ZTF = 1, 2
 

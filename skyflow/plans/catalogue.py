@@ -17,7 +17,10 @@ from ..sources import alerts, dimensions, facility as facility_source, state as
 from ..sources.buckets import BucketStore
 from ..streaming.ingest import StreamRun, SurveyStream, read_dead_letters, start_stream_ingest, stream_run
 from ..streaming.report import report_table
+from ..sources.accepted import start_log, stream_accepted
 from . import adapters as A
+from .facility_sync import facility_sync_run
+from .outbox_run import OutboxParams, OutboxRun, outbox_run, switch_run
 from .ingest import (
     EVENT_RANKS, IngestParams, RunResult, age_out, ingest_batch, multi_survey_ingest, run_report,
 )
@@ -63,11 +66,8 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The valid alerts of both surveys, read from survey tables as the surveys would deliver them."""
-    ev = A.events(spark, sf_dir)
-    lsst = normalize.normalize_lsst(materialize(A.lsst_raw(ev), "lsst"), A.PIPELINE_LSST, ["event_id"])
-    ztf = normalize.normalize_ztf(materialize(A.ztf_raw(ev), "ztf"), A.PIPELINE_ZTF, ["event_id"])
-    return validate.validate_alerts(lsst, A.NOW_MJD).unionByName(validate.validate_alerts(ztf, A.NOW_MJD))
+    """The valid alerts of both surveys."""
+    return validate.validate_alerts(_alerts(spark, sf_dir), A.NOW_MJD)
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +86,11 @@ def _late(staged: DataFrame) -> DataFrame:
     return staged.filter(F.col("jdmax") >= A.BATCH_SPLIT_MJD)
 
 
+def _before(staged: DataFrame, split: float) -> tuple[DataFrame, DataFrame]:
+    """Two batches; after an early split the second one brings much that the first lacks."""
+    return staged.filter(F.col("jdmax") < split), staged.filter(F.col("jdmax") >= split)
+
+
 def _objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One object per source user with alerts in the early batch, made from the newest of them."""
     newest = upsert.newest_per_object(_early(_staged(spark, sf_dir)))
@@ -181,6 +186,27 @@ def src_bounded_batch(spark, sf_dir):
     return counted[0].unionByName(counted[1])
 
 
+@query
+def src_bounded_accepted(spark, sf_dir):
+    """The accepted messages of both surveys in batches bounded by accepted messages, three of each; one row a batch."""
+    ev, drained = A.events(spark, sf_dir), []
+    for name, (messages, schema, id_key) in _MESSAGES.items():
+        path, log, out, checkpoint = (new_dir(spark, label) for label in ("messages", "accepted", "batches", "checkpoint"))
+        messages(ev).select("value").write.text(path)
+        start_log(alerts.stream_alert_files(spark, path), log, new_dir(spark, "checkpoint"), schema, id_key).awaitTermination()
+        bound = spark.read.parquet(f"{log}/data").count() // 3 + 1
+
+        def store(batch, batch_id, out=out):
+            batch.agg(F.count(F.lit(1)).alias("accepted"), F.min("number").alias("first"), F.max("number").alias("last")).withColumn(
+                "batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/run={batch_id}")
+
+        for _ in range(3):                  # three runs from one checkpoint
+            stream_accepted(spark, log, bound).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(
+                availableNow=True).start().awaitTermination()
+        drained.append(spark.read.schema("accepted bigint, first bigint, last bigint, batch_id bigint").parquet(f"{out}/run=*").withColumn("survey", F.lit(name)))
+    return drained[0].unionByName(drained[1])
+
+
 @query
 def sink_commit_after_state(spark, sf_dir):
     """The files of both surveys read twice by fresh checkpoints: the second pass leaves the objects as they were."""
@@ -334,7 +360,7 @@ def validate_alerts(spark, sf_dir):
 def alert_rejects(spark, sf_dir):
     bad = validate.alert_rejects(A.submissions(A.events(spark, sf_dir)), A.NOW_MJD)
     # The MJD in the text is printed differently by each engine.
-    reason = F.regexp_replace("reject_reason", r"jdmax \S+ is", "jdmax is")
+    reason = F.regexp_replace("reject_reason", r"jdmax \S+ lies", "jdmax lies")
     return bad.select("event_id", reason.alias("reject_reason"))
 
 
@@ -665,9 +691,9 @@ def survey_heartbeat(spark, sf_dir):
 
 @query
 def first_selections(spark, sf_dir):
-    staged = _staged(spark, sf_dir)
-    old = _early(staged).select("object_id", "survey_id", "pipeline_id").distinct().withColumn("selection_time", RUN_A.now_column)
-    added = upsert.first_selections(_late(staged), old, RUN_B.now_column)[1]
+    first, second = _before(_staged(spark, sf_dir), A.FIRST_SPLIT_MJD)
+    old = first.select("object_id", "survey_id", "pipeline_id").distinct().withColumn("selection_time", RUN_A.now_column)
+    added = upsert.first_selections(second, old, RUN_B.now_column)[1]
     return added.select("object_id", "survey_id", "pipeline_id")
 
 
@@ -768,10 +794,9 @@ def newest_per_object(spark, sf_dir):
 
 @query
 def native_names(spark, sf_dir):
-    """The late batch's names inserted after the early one's: the first batch wins."""
-    staged = _staged(spark, sf_dir)
-    old = upsert.native_names(_early(staged))
-    return upsert.insert_if_absent(old, upsert.native_names(_late(staged)), ["object_id", "survey_id"])[0]
+    """The second batch's names inserted after the first one's: the first batch wins."""
+    first, second = _before(_staged(spark, sf_dir), A.FIRST_SPLIT_MJD)
+    return upsert.insert_if_absent(upsert.native_names(first), upsert.native_names(second), ["object_id", "survey_id"])[0]
 
 
 @query
@@ -802,12 +827,11 @@ def request_batches(spark, sf_dir):
 
 @query
 def assign_ids_names(spark, sf_dir):
-    """A new object per valid alert, continuing after 17,570 names of the same year: three and four letters."""
-    valid = _valid(spark, sf_dir).select("jdmax", "event_id")
-    staged, _ = write_row_index(valid, [F.col("jdmax").desc(), F.col("event_id")], "stage_row")
-    leaders = staged.select("stage_row", (F.col("stage_row") + 17_571).alias("object_id"))
+    """The leaders of all valid alerts named in stage order, going on after 17,570 names of the year: three and four letters."""
+    leaders = skymatch.sky_new_leaders(_ordered_points(spark, sf_dir))
     state = upsert.NameState(17_571, 17_570, "SKY", "24")
-    return upsert.assign_names(leaders, state).select("stage_row", "object_id", "name")
+    numbered, _ = write_row_index(leaders, [F.col("stage_row")], "object_id", state.next_object_id)
+    return upsert.assign_names(numbered, state).select("stage_row", "object_id", "name")
 
 
 # ---------------------------------------------------------------- sorts, limits, sets
@@ -843,7 +867,7 @@ def needs_human(spark, sf_dir):
 def insert_if_absent(spark, sf_dir):
     staged = _staged(spark, sf_dir)
     keys = ["object_id", "survey_id"]
-    old = _early(staged).select(*keys).distinct().withColumn("origin", F.lit("old"))
+    old = _before(staged, A.FIRST_SPLIT_MJD)[0].select(*keys).distinct().withColumn("origin", F.lit("old"))
     new = staged.select(*keys).distinct().withColumn("origin", F.lit("new"))
     return upsert.insert_if_absent(old, new, keys)[0]
 
@@ -1054,6 +1078,9 @@ def replay_noop(spark, sf_dir):
 
 # ---------------------------------------------------------------- outbox state machine
 
+_URL = "https://facility.example/transients/"
+
+
 @query
 def classify_response(spark, sf_dir):
     outcome = outbox.classify_response(F.col("method"), F.col("status_code"), F.col("body"), F.col("error_kind"))
@@ -1077,7 +1104,8 @@ def split_rejected_batches(spark, sf_dir):
     answers = _create_answers(batches)
     outcomes = answers.select("batch_id", outbox.classify_response(
         F.lit("POST"), F.col("status_code"), F.col("body"), F.col("error_kind")).alias("outcome"))
-    return outbox.split_rejected_batches(batches, outcomes)
+    single = F.from_json("payload", "name string, mag double")
+    return outbox.split_rejected_batches(batches, outcomes).select("batch_id", "object_id", "name", single["name"].alias("sent_name"), single["mag"].alias("sent_mag"))
 
 
 @query
@@ -1125,7 +1153,7 @@ def mark_not_submittable(spark, sf_dir):
 def request_log_append(spark, sf_dir):
     """One appended log row per create request with its judged answer."""
     batches = materialize(outbox.request_batches(_ready(spark, sf_dir)), "batches")
-    requests = batches.withColumns({"method": F.lit("POST"), "url": F.lit("https://facility.example/transients/")})
+    requests = batches.withColumns({"method": F.lit("POST"), "url": F.lit(_URL)})
     rows = outbox.request_log_rows(requests, _create_answers(batches), _log_now(), "v1", "r1")
     path = new_dir(spark, "requests")
     state_source.append_requests(rows, path, 1)
@@ -1137,8 +1165,9 @@ def request_log_append(spark, sf_dir):
 
 @query
 def dry_run_requests(spark, sf_dir):
-    rows = outbox.dry_run_requests(outbox.request_batches(_ready(spark, sf_dir)), _log_now(), "v1", "r1")
-    return rows.select(F.element_at("object_ids", 1).alias("first_id"), F.size("object_ids").alias("n"), "method", "outcome")
+    requests = outbox.request_batches(_ready(spark, sf_dir)).withColumns({"method": F.lit("POST"), "url": F.lit(_URL)})
+    rows = outbox.dry_run_requests(requests, _log_now(), "v1", "r1")
+    return rows.select(F.element_at("object_ids", 1).alias("first_id"), F.size("object_ids").alias("n"), "method", "url", "outcome")
 
 
 @query
@@ -1154,6 +1183,121 @@ def switch_by_hand(spark, sf_dir):
     return outbox.switch_by_hand(objects, objects.filter(F.col("dec") > 20), False).select("object_id", "active", "sync_pending")
 
 
+@query
+def switch_by_hand_events(spark, sf_dir):
+    """The events of objects that a person switched on."""
+    objects = _as_objects(A.outbox(spark, sf_dir))
+    params = OutboxParams(dt.datetime(1998, 8, 1), _URL, code_version="v1", run_id="r1")
+    events = switch_run(objects, objects.filter("NOT active AND dec < -60"), True, params, "observer", "still bright")[1]
+    return events.select("object_id", "event_type", "reason", "submitted_by", F.get_json_object("details", "$.why").alias("why"))
+
+
+def _as_objects(df: DataFrame) -> DataFrame:
+    """Rows with the columns of the object table; those that they lack are NULL."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in OBJECTS.fields])
+
+
+def _facility_client(objects: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Answers to an outbox run's requests, of every kind, by the first object of a request or the number of a batch."""
+    def pick(n: Column, *values) -> Column:
+        return F.element_at(F.array(*[F.lit(v).cast("int") for v in values]), (n % len(values) + 1).cast("int"))
+
+    def client(requests: DataFrame) -> DataFrame:
+        step = F.substring_index("request_id", "-", 1)
+        number = F.substring_index("request_id", "-", -1).cast("bigint")
+        single = F.col("request_id").startswith("create-one-")
+        rows = requests.withColumns({"_step": step, "_n": number, "_one": single, "_id": F.element_at("object_ids", 1)}).join(
+            objects.select(F.col("object_id").alias("_id"), "name", "ra", "dec", "active"), "_id")
+        n, kind = F.col("_n"), F.col("_n") % 6
+        status = (
+            F.when(step == "find", F.when(n % 13 == 0, 500).otherwise(200)).when(F.col("_one"), pick(n, 201, 400, 500, 429))
+            .when(step == "create", pick(n, 201, 400, 500, 429, None, 200, 200)).otherwise(pick(n, 200, 404, 500, 200, None)))
+        target = lambda i: F.struct(
+            (n + 800000 + i).alias("id"), F.when(kind == 4, F.lit("other")).otherwise(F.col("name")).alias("name"), F.col("ra"),
+            (F.col("dec") + F.when(kind == 2, F.lit(2.0) / 3600.0).otherwise(F.lit(0.5) / 3600.0)).alias("dec"),
+            F.when(kind == 5, F.lit("source")).otherwise(F.lit("sky-sn")).alias("subsurvey"), (F.lit(15.0) + n % 9).alias("mag"), (n % 4 == 1).alias("is_active"))
+        found = F.when(kind == 0, F.filter(F.array(target(0)), lambda _: F.lit(False))).when(kind == 3, F.array(target(0), target(1))).otherwise(F.array(target(0)))
+        page = F.to_json(F.struct(F.when(n % 11 == 5, F.lit("page 2")).alias("next"), found.alias("results")))
+        made = F.to_json(F.transform(
+            F.filter(F.arrays_zip("object_ids", "names"), lambda x: x["object_ids"] % 10 != 3),
+            lambda x: F.struct((x["object_ids"] + 800000).alias("id"), x["names"].alias("name")))) if "names" in requests.columns else F.lit(None).cast("string")
+        one = F.to_json(F.struct((n + 800000).alias("id"), F.col("name").alias("name")))
+        active = F.to_json(F.struct(F.when(n % 3 == 0, ~F.col("active")).otherwise(F.col("active")).alias("is_active")))
+        sent = F.try_variant_get(F.try_parse_json("payload"), "$.mag", "double")
+        mag = F.to_json(F.struct(F.when(n % 3 == 0, sent + 0.5).otherwise(sent).alias("mag")))
+        body = (
+            F.when(step == "find", page).when((step == "create") & ~F.col("_one") & (n % 7 == 5), F.lit("<html>Internal error</html>"))
+            .when(F.col("_one"), F.when(status == 201, one).otherwise(F.lit("refused"))).when(step == "create", F.when(status.isin(200, 201), made).otherwise(F.lit("refused")))
+            .when(step == "active", active).otherwise(mag))
+        return rows.select("request_id", status.cast("int").alias("status_code"), body.alias("body"), F.when(status.isNull(), F.lit("timeout")).alias("error_kind"))
+
+    return client
+
+
+def _outbox_run(spark, sf_dir) -> OutboxRun:
+    objects = materialize(_as_objects(A.outbox(spark, sf_dir)), "objects")
+    params = OutboxParams(dt.datetime(1998, 8, 1), _URL, code_version="v1", run_id="r1")
+    return outbox_run(objects, A.request_log(spark, sf_dir), params, _facility_client(objects))
+
+
+@query
+def outbox_run_query(spark, sf_dir):
+    """The objects after a whole run against a facility that gives every kind of answer."""
+    error = F.substring_index(F.regexp_replace("sync_last_error", r"dec -?[\d.]+ ", "dec "), ":", 1)
+    return _outbox_run(spark, sf_dir).objects.select(*_OUTBOX_STATE[:5], error.alias("sync_last_error"), "facility_id", F.round("facility_mag", 4).alias("facility_mag"))
+
+
+@query
+def outbox_events(spark, sf_dir):
+    """What the run recorded about objects."""
+    detail = lambda key, kind: F.try_variant_get(F.try_parse_json("details"), f"$.{key}", kind)
+    return _outbox_run(spark, sf_dir).events.select(
+        "object_id", "event_type", "reason", detail("facility_id", "bigint").alias("facility_id"), detail("mag", "double").alias("mag"), "run_id")
+
+
+@query
+def outbox_requests(spark, sf_dir):
+    """Every request of the run with its outcome: lookups, batches, single rows of refused batches, flags and magnitudes."""
+    payload = F.try_parse_json("payload")
+    return _outbox_run(spark, sf_dir).requests.select(
+        F.element_at("object_ids", 1).alias("first_id"), F.size("object_ids").alias("n"), "method", "url", "status_code", "outcome",
+        F.try_variant_get(payload, "$.is_active", "boolean").alias("is_active"),
+        F.coalesce(F.try_variant_get(payload, "$.name", "string"), F.try_variant_get(payload, "$[0].name", "string")).alias("first_name"),
+        F.when(F.col("method") == "PATCH", F.try_variant_get(payload, "$.mag", "double")).alias("mag"))
+
+
+@query
+def host_associate(spark, sf_dir):
+    """Two runs over a stored catalogue: the second finds nothing new. Associations with the galaxy's name."""
+    path = new_dir(spark, "galaxies")
+    hosts.store_galaxies(A.galaxies(spark, sf_dir), path)
+    objects = materialize(_objects(spark, sf_dir).select("object_id", "ra", "dec", "active"), "objects")
+    associations = spark.createDataFrame([], hosts.ASSOCIATION)
+    catalog = spark.createDataFrame([], "host_id bigint, host_name string, ra double, dec double, mag double")
+    for _ in range(2):
+        run = hosts.host_associate(objects, associations, catalog, path, 10, 10.0)
+        associations, catalog = run.associations, run.catalog
+    separation = F.get_json_object("metadata", "$.separation_arcsec").cast("double")
+    return associations.join(catalog.select("host_id", "host_name", "mag"), "host_id").select(
+        "association_id", "object_id", "rank", "pipeline_id", "host_id", "host_name", "mag", separation.alias("separation_arcsec"), "active")
+
+
+@query
+def facility_sync_run_query(spark, sf_dir):
+    """Two dumps that overlap, the second one twice, into stored objects: their ids and dates, and the mark."""
+    store = _store_objects(spark, _as_objects(A.outbox(spark, sf_dir)))
+
+    def read(until: str) -> Callable[[str], DataFrame]:
+        ingested = S.iso_timestamp(F.col("date_ingested"))
+        return lambda since: A.targets(spark, sf_dir).filter((ingested > F.lit(since).cast("timestamp")) & (ingested <= F.lit(until).cast("timestamp")))
+
+    runs = [facility_sync_run(store, read(until), "sky-sn", "2024-01-01") for until in ("2024-07-15T12:00:00", "2024-08-01T00:00:00", "2024-08-01T00:00:00")]
+    if runs[-1].changed:
+        raise RuntimeError("a repeated run changed objects")
+    return store.load().objects.select("object_id", "facility_id", "ostd_targ_id", "ostd_u_obj_id", _iso("date_ingested").alias("date_ingested")).withColumns({
+        "since": F.lit(runs[-1].since), "mark": F.lit(runs[-1].mark)})
+
+
 # ---------------------------------------------------------------- streaming
 
 def _write_messages(spark, ev: DataFrame, paths: dict[str, str] | None = None) -> dict[str, str]:

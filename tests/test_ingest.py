@@ -169,7 +169,7 @@ def test_names_restart_with_the_year_and_end(spark):
     assert upsert.name_state(objs, "SKY", "25") == upsert.NameState(8, 29, "SKY", "25")
     assert upsert.name_state(objs, "SKY", "26").next_name == 0
     with pytest.raises(ValueError):
-        upsert.check_names_left(upsert.NameState(1, 474_000, "SKY", "26"), 553)
+        upsert.check_names_left(upsert.NameState(1, 12_355_000, "SKY", "26"), 929)
 
 
 def test_state_store_and_streaming(spark, tmp_path):

@@ -79,18 +79,18 @@ GOOD = {"native_id": "a", "survey_id": 1.0, "pipeline_id": 1.0, "ra": 10.0, "dec
 CASES = [
     ({}, None), ({"ra": 0.0, "dec": -90.0}, None), ({"dec": 90.0}, None), ({"latest_mag": '{"g":"21.5"}'}, None),
     ({"latest_mag": '{"g": true}'}, None),
-    ({"native_id": None}, "no object_id"),
-    ({"ra": NAN}, "ra missing or not finite"), ({"dec": None}, "dec missing or not finite"),
-    ({"jdmax": INF}, "jdmax missing or not finite"), ({"survey_id": None}, "survey_id missing or not finite"),
-    ({"pipeline_id": None}, "pipeline_id missing or not finite"), ({"ra": None, "jdmax": 1.0}, "ra missing or not finite"),
-    ({"ra": 360.0}, "ra/dec out of range"), ({"ra": -0.1}, "ra/dec out of range"), ({"dec": 90.01}, "ra/dec out of range"),
-    ({"jdmax": 2461000.5}, "jdmax 2461000.5 is not a plausible MJD"), ({"jdmax": 40000.0}, "jdmax 40000.0 is not a plausible MJD"),
-    ({"jdmax": 61062.01}, "jdmax 61062.01 is not a plausible MJD"), ({"jdmax": 61062.0}, None),
-    ({"latest_mag": "{bad"}, "latest_mag is not JSON"), ({"latest_mag": None}, "latest_mag is not JSON"),
-    ({"latest_mag": "[1]"}, "latest_mag has non-finite values"), ({"latest_mag": '{"g":NaN}'}, "latest_mag has non-finite values"),
-    ({"latest_mag": '{"g":-Infinity}'}, "latest_mag has non-finite values"),
-    ({"latest_mag": '{"g":null}'}, "latest_mag has non-finite values"), ({"n_sources": '{"g":"x"}'}, "n_sources has non-finite values"),
-    ({"latest_filter": "nope", "latest_mag": "{bad"}, "latest_filter is not JSON"),
+    ({"native_id": None}, "native id missing"),
+    ({"ra": NAN}, "ra is no finite number"), ({"dec": None}, "dec is no finite number"),
+    ({"jdmax": INF}, "jdmax is no finite number"), ({"survey_id": None}, "survey_id is no finite number"),
+    ({"pipeline_id": None}, "pipeline_id is no finite number"), ({"ra": None, "jdmax": 1.0}, "ra is no finite number"),
+    ({"ra": 360.0}, "position outside the sky"), ({"ra": -0.1}, "position outside the sky"), ({"dec": 90.01}, "position outside the sky"),
+    ({"jdmax": 2461000.5}, "jdmax 2461000.5 lies outside the accepted dates"), ({"jdmax": 40000.0}, "jdmax 40000.0 lies outside the accepted dates"),
+    ({"jdmax": 61062.01}, "jdmax 61062.01 lies outside the accepted dates"), ({"jdmax": 61062.0}, None),
+    ({"latest_mag": "{bad"}, "latest_mag cannot be read as JSON"), ({"latest_mag": None}, "latest_mag cannot be read as JSON"),
+    ({"latest_mag": "[1]"}, "latest_mag holds values that are no finite numbers"), ({"latest_mag": '{"g":NaN}'}, "latest_mag holds values that are no finite numbers"),
+    ({"latest_mag": '{"g":-Infinity}'}, "latest_mag holds values that are no finite numbers"),
+    ({"latest_mag": '{"g":null}'}, "latest_mag holds values that are no finite numbers"), ({"n_sources": '{"g":"x"}'}, "n_sources holds values that are no finite numbers"),
+    ({"latest_filter": "nope", "latest_mag": "{bad"}, "latest_filter cannot be read as JSON"),
 ]
 
 
@@ -108,7 +108,7 @@ def test_first_failing_reason(spark):
 
 def test_map_columns_are_checked_unless_known_good(spark):
     df = spark.createDataFrame([("a", 1, 1, 1.0, 1.0, None, 61050.0, {"g": NAN}, {}, {})], validate_schema())
-    assert validate.alert_rejects(df, 61061.0).first()["reject_reason"] == "latest_filter has non-finite values"
+    assert validate.alert_rejects(df, 61061.0).first()["reject_reason"] == "latest_filter holds values that are no finite numbers"
 
 
 def validate_schema():
@@ -299,7 +299,7 @@ def test_patch_answers(spark):
     sent = spark.createDataFrame([(i, 17.5) for i in (1, 2, 3, 4)], "object_id bigint, mag double")
     mags = by_id(outbox.apply_mag_results(objs, sent, answers))
     assert [mags[i]["facility_mag"] for i in (1, 2, 3, 4)] == [17.5, 19.0, 19.0, 19.0]
-    assert mags[2]["sync_state"] is None and mags[2]["sync_last_error"].startswith("mag PATCH ok")
+    assert mags[2]["sync_state"] is None and mags[2]["sync_last_error"].startswith("magnitude update ok")
 
 
 def test_rejection_back_off(spark):
@@ -423,7 +423,7 @@ def test_bad_values_refuse_one_row_only(spark):
     df = spark.createDataFrame(rows, schema)
     assert {r.native_id for r in validate.validate_alerts(df, 61061.0).collect()} == {"a", "c"}
     assert {(r.native_id, r.reject_reason) for r in validate.alert_rejects(df, 61061.0).collect()} == {
-        ("b", "ra missing or not finite"), ("d", "survey_id missing or not finite")}
+        ("b", "ra is no finite number"), ("d", "survey_id is no finite number")}
 
 
 def test_a_host_listed_twice_takes_one_rank(spark):
