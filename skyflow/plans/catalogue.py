@@ -262,7 +262,7 @@ def sink_append_history(spark, sf_dir):
 
 
 def _stored(spark: SparkSession) -> BucketStore:
-    return BucketStore(spark, new_dir(spark, "state"))
+    return BucketStore(spark, new_dir(spark, "state"), zone_deg=30.0)      # few objects: 55 zones
 
 
 def _store_objects(spark: SparkSession, objects: DataFrame) -> BucketStore:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,6 +12,7 @@ from ..functions.sky import MATCH_RADIUS_DEG, with_ball_cells, with_cell
 from .state import SkyState, empty_state
 
 ZONE_DEG = 5.0            # a zone is about this high and wide: 1,700 of them
+ROWS_PER_FILE = 1_000_000
 KEPT_STAGES = 2           # staged batches that stay for those who still read them
 
 
@@ -128,11 +130,11 @@ class BucketStore:
         zones = [r["zone"] for r in self.zoned(touched.select("ra", "dec")).select("zone").distinct().collect()]      # bounded as in zones_near
         stage = f"{self.root}/stage/{pointer['number'] + 1}"
         objects = self.zoned(state.objects).filter(F.col("zone").isin(zones))
-        self._write(objects, f"{stage}/objects")
+        objects.write.mode("overwrite").parquet(f"{stage}/objects")
         place = self.spark.read.schema("object_id bigint, zone bigint").parquet(f"{stage}/objects")
         for name in ("native_names", "selections"):
-            self._write(getattr(state, name).join(place, "object_id"), f"{stage}/{name}")
-        state.nights.write.mode("overwrite").partitionBy("survey_id").parquet(f"{stage}/nights")
+            getattr(state, name).join(place, "object_id").write.mode("overwrite").parquet(f"{stage}/{name}")
+        state.nights.write.mode("overwrite").parquet(f"{stage}/nights")
         self._apply(self._write_pointer({**pointer, **recorded, "stage": stage}))
         return sorted(zones)
 
@@ -140,20 +142,20 @@ class BucketStore:
         """Keep something in the pointer without changing a table."""
         self._write_pointer({**self.pointer(), **recorded})
 
-    @staticmethod
-    def _write(rows: DataFrame, path: str) -> None:
+    def _overwrite(self, stage: str, name: str) -> None:
+        """Put the staged rows of a table in place of the partitions that they are of."""
+        key = "zone" if name in _BY_ZONE else "survey_id"
+        fields = [*_BY_ZONE[name].fields, T.StructField("zone", T.LongType())] if name in _BY_ZONE else schemas.NIGHTS.fields
+        rows = self.spark.read.schema(T.StructType(fields)).parquet(f"{stage}/{name}")
         # a zone is one file, or several where it holds much
-        rows.hint("rebalance", "zone").write.mode("overwrite").partitionBy("zone").parquet(path)
+        few = rows.count() <= ROWS_PER_FILE
+        dealt = rows.repartition(self.spark.sparkContext.defaultParallelism, key) if few else rows.hint("rebalance", key)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(f"{self.root}/{name}")
 
     def _apply(self, pointer: dict) -> dict:
-        stage = pointer["stage"]
-        for name, key in (("objects", "zone"), ("native_names", "zone"), ("selections", "zone"), ("nights", "survey_id")):
-            if not any(n.startswith(f"{key}=") for n in _names(self.spark, f"{stage}/{name}")):
-                continue
-            schema = _BY_ZONE.get(name, schemas.NIGHTS)
-            columns = T.StructType([f for f in schema.fields if f.name != key] + [T.StructField(key, T.LongType() if key == "zone" else T.IntegerType())])
-            rows = self.spark.read.schema(columns).parquet(f"{stage}/{name}")
-            rows.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(f"{self.root}/{name}")
+        with ThreadPoolExecutor(4) as pool:
+            for written in [pool.submit(self._overwrite, pointer["stage"], name) for name in (*_BY_ZONE, "nights")]:
+                written.result()
         done = self._write_pointer({**pointer, "stage": None})
         self._forget(done["number"])
         return done

@@ -172,54 +172,6 @@ def test_names_restart_with_the_year_and_end(spark):
         upsert.check_names_left(upsert.NameState(1, 12_355_000, "SKY", "26"), 929)
 
 
-def test_state_store_and_streaming(spark, tmp_path):
-    import json
-
-    from skyflow.operators import normalize
-    from skyflow.sources import alerts
-    from skyflow.streaming.ingest import start_stream_ingest
-
-    src = tmp_path / "in"
-    src.mkdir()
-
-    def message(i, mjd):
-        return json.dumps({"diaObjectId": 170028485034020999 + i, "ra": 10.0 + i, "decl": 1.0, "firstDiaSourceMjdTai": mjd - 1,
-                           "lastDiaSourceMjdTai": mjd, "g_psfFlux": 3630.78, "g_latestMJD": mjd, "ngSources": 2})
-
-    (src / "a.json").write_text("\n".join([message(0, 61050.0), message(0, 61049.0), "{bad", "[1]", '{"x": 1}', message(1, 61050.0)]))
-    store = store_module.StateStore(spark, str(tmp_path / "state"))
-    assert store.current() is None
-
-    def to_contract(batch):
-        raw = alerts.parse_alerts(batch, alerts.LSST_ALERT, "diaObjectId")
-        return normalize.normalize_lsst(normalize.latest_alert_per_object(raw, "diaObjectId", "lastDiaSourceMjdTai"), 1)
-
-    def drain(checkpoint, survey="lsst"):
-        start_stream_ingest(alerts.stream_alert_files(spark, str(src)), to_contract, store, PARAMS,
-                            str(tmp_path / checkpoint), survey, str(tmp_path / "history")).awaitTermination()
-
-    drain("c1")
-    first = by_id(store.load().objects)
-    assert len(first) == 2 and first[1]["latest_mags"] == {"g_lsst": 22.5}
-    native = {r["native_id"] for r in store.load().native_names.collect()}
-    assert native == {"170028485034020999", "170028485034021000"}
-    version = store.current()
-    drain("c1")                    # nothing new: no version
-    assert store.current() == version
-    drain("c2")                    # a lost checkpoint delivers batch 0 again: ingested, objects stay
-    assert store.current() == version + 1 and by_id(store.load().objects) == first
-    (src / "c.json").write_text(message(5, 61050.0))
-    drain("c3")                    # a fresh checkpoint with something new under the same name: nothing is lost
-    assert len(by_id(store.load().objects)) == 3
-    store.expire(keep=1)
-    assert store._versions() == [store.current()] and len(by_id(store.load().objects)) == 3
-    (src / "b.json").write_text(message(0, 61055.0))
-    drain("c1")
-    assert by_id(store.load().objects)[1]["jdmax"] == 61055.0
-    ids = [r["event_id"] for r in spark.read.parquet(str(tmp_path / "history")).collect()]
-    assert sorted(ids) == list(range(1, len(ids) + 1))
-
-
 def test_now_mjd():
     assert plan.IngestParams(now=dt.datetime(2024, 1, 1)).now_mjd == 60310.0
     assert F is not None

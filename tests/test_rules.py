@@ -256,10 +256,10 @@ def test_downtime_sequence(spark):
 
 
 def test_rejected_batches_are_split(spark):
-    batches = spark.createDataFrame([(0, [1, 2], ["a", "b"]), (1, [3], ["c"]), (2, [4, 5], ["d", "e"])],
-                                    "batch_id bigint, object_ids array<bigint>, names array<string>")
+    batches = spark.createDataFrame([(0, [1, 2], ["a", "b"], '[{"name":"a","mag":1.5},{"name":"b"}]'), (1, [3], ["c"], "[{}]"), (2, [4, 5], ["d", "e"], "[{},{}]")],
+                                    "batch_id bigint, object_ids array<bigint>, names array<string>, payload string")
     outcomes = spark.createDataFrame([(0, "rejected"), (1, "rejected"), (2, "ok")], "batch_id bigint, outcome string")
-    assert {tuple(r) for r in outbox.split_rejected_batches(batches, outcomes).collect()} == {(0, 1, "a"), (0, 2, "b")}
+    assert {tuple(r) for r in outbox.split_rejected_batches(batches, outcomes).collect()} == {(0, 1, "a", '{"name":"a","mag":1.5}'), (0, 2, "b", '{"name":"b"}')}
 
 
 def test_create_answers_by_name(spark):
