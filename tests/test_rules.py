@@ -131,13 +131,13 @@ def test_messages(spark):
 # ---------------------------------------------------------------- scalars
 
 def test_base26_names(spark):
-    idx = [0, 25, 26, 17575, 17576, 474551]
+    idx = [0, 25, 26, 17575, 17576, 474551, 474552, 12355927]
     df = spark.createDataFrame([(i,) for i in idx], "i bigint").select("i", scalars.base26_name(F.col("i")).alias("s"))
     got = {r["i"]: r["s"] for r in df.collect()}
-    assert got == {0: "aaa", 25: "aaz", 26: "aba", 17575: "zzz", 17576: "aaaa", 474551: "zzzz"}
+    assert got == {0: "aaa", 25: "aaz", 26: "aba", 17575: "zzz", 17576: "aaaa", 474551: "zzzz", 474552: "aaaaa", 12355927: "zzzzz"}
     assert [scalars.parse_base26(got[i]) for i in idx] == idx
     with pytest.raises(Exception, match="no name left"):
-        spark.createDataFrame([(474552,)], "i bigint").select(scalars.base26_name(F.col("i"))).collect()
+        spark.createDataFrame([(12355928,)], "i bigint").select(scalars.base26_name(F.col("i"))).collect()
 
 
 def test_dates_and_jd(spark):
@@ -211,7 +211,7 @@ def test_payload_refusals(spark):
         {"object_id": 5, "dec": -90.0, **ok})
     got = by_id(outbox.build_target_payload(objs))
     assert {i: r["refusal"] and r["refusal"].split()[0] + " " + r["refusal"].split()[-1] for i, r in got.items()} == {
-        1: None, 2: "dec +40", 3: "no magnitude", 4: "ra/dec finite", 5: "dec limit"}
+        1: None, 2: "dec limit", 3: "no sent", 4: "position unknown", 5: "dec limit"}
     import json
 
     p = json.loads(got[1]["payload"])
