@@ -17,10 +17,10 @@ from .words import STEP, mix, powers, runs, words_of
 
 SHINGLE = 5
 PERCENT = 80                 # the default of the library's near-duplicate operators
-HASHES, ROWS = 252, 6        # 42 bands of 6: a pair at 0.8 shares no band with probability 3e-6, at 0.85 with 2e-9
+HASHES, ROWS = 500, 10       # 50 bands of 10: a pair at 0.8 shares no band with probability 3e-3, at 0.85 with 2e-5; at 0.5 it shares one with 0.05
 SKETCH_BITS = 1024
-LEADERS = 32                 # times as many leaders in each further round
-_SLACK = 0.131               # 5.2 standard deviations of the share of differing samples at 0.8
+MORE = 16                    # times as many heads in each further round
+_SLACK = 0.093               # 5.2 standard deviations of the share of differing samples at 0.8
 _rng = np.random.default_rng(5081)          # seeded: the same functions everywhere
 _MULTIPLY = (_rng.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -109,12 +109,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     fewer words are one shingle) have 100 * intersection >= `percent` * union (at least 80) are linked; component_id is the smallest id that
     links reach, kept marks its row.
 
-    Equal sets become one node first. 252 MinHash samples of each node give 42 bands and an odd sketch. A band's nodes are
-    not paired with each other: each is compared with one leader; nodes that the links found so far have joined need no more
-    comparison, and only in bands that still hold several components more leaders are compared, LEADERS times as many in
-    each round, until no two components of a band are uncompared. Pairs whose sketches differ in more bits
-    than nearly equal sets can are dropped; the others are confirmed on their full sets. Components are joined between
-    rounds. All steps are keyed by node or (band, node); what a hot band or leader gathers is only counted or joined.
+    Equal sets become one node first. 500 MinHash samples of each node give 50 bands and an odd sketch, whose XOR counts estimate how many samples
+    differ. A band's nodes are not paired with each other. In the first round each node is compared with one leader, the first node of
+    most of its bands. Nodes that the links found so far have joined need no more comparison. In bands that still hold several components, the nodes of the
+    smaller one are compared with some nodes of the larger one, MORE times as many in each further round, in the end with all.
+    Sketches and sizes travel with the nodes of such bands, so that pairs which differ in more bits than nearly equal sets can are dropped inside the
+    join; the others are confirmed on their full sets. Components are joined between rounds. All steps are keyed by node or (band, node);
+    what a hot band or leader gathers is only counted or joined.
 
     Null and empty texts, and texts of white space, have no shingles and are linked with nothing (component_id is their own id). A row
     without an id takes the smallest id of its component, if any, and is not kept. Repeated rows share their result. Other
@@ -133,17 +134,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     needed = members.select("node").distinct().join(nodes.select("node", "pick"), "node")
     label = materialize(needed.select("node", F.col("node").alias("label")), "labels")
     n_bits = HASHES * 2 * (1 - percent / 100 + _SLACK)
-    sets = None
-    pairs = members.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    reach = 1
+    differ = F.aggregate(F.zip_with("_sa", "_sb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    alike = (F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent) & (differ <= n_bits)
+    sides = lambda node, of: sketches.select(F.col("node").alias(node), F.col("sketch").alias(f"_s{of}"), F.col("n").alias(f"_n{of}"))
+    common_bands = members.filter("node != leader").groupBy("node", "leader").agg(F.count("*").alias("_bands"))
+    pairs = common_bands.groupBy(F.col("node").alias("b")).agg(F.max_by("leader", F.struct("_bands", "leader")).alias("a"))
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("_na")).otherwise(F.col("_nb")).alias("_na"),
+            F.when(F.col("a") < F.col("b"), F.col("_nb")).otherwise(F.col("_na")).alias("_nb")]
+    near = materialize(pairs.join(sides("a", "a"), "a").join(sides("b", "b"), "b").filter(alike).select(*pair).distinct(), "near")
+    checked, sets, reach, all_met = near.select("a", "b"), None, MORE, False
     while True:
-        two = (
-            pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("_sa"), F.col("n").alias("_na")), "a")
-            .filter("a != b")
-            .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("_sb"), F.col("n").alias("_nb")), "b"))
-        differ = F.aggregate(F.zip_with("_sa", "_sb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-        near = two.filter((F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent) & (differ <= n_bits)).select("a", "b", "_na", "_nb")
-        near = materialize(near, "near")
         # nodes whose sketches come near another's have their whole text looked up, once
         looked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
         missing = materialize((looked if sets is None else looked.join(sets, "node", "left_anti")).join(needed, "node"), "looked-up")
@@ -162,18 +162,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
             label.select(F.col("node").alias("b"), F.col("label").alias("_lb")), "b").select("_la", "_lb").filter("_la != _lb")
         merged = connected_components(joined, "_la", "_lb").select(F.col("node").alias("label"), F.col("label").alias("_to"))
         label = materialize(label.join(merged, "label", "left").select("node", F.coalesce("_to", "label").alias("label")), "labels")
-        # bands that still hold several components
-        labelled = members.join(label, "node")
-        mixed = labelled.groupBy("band").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high").select("band")
-        left = materialize(labelled.join(mixed, "band").select("band", "node", "label", "members"), "mixed")
-        most = left.agg(F.max("members")).first()[0]
-        if most is None or reach >= 2 * most:
+        # bands that still hold several components, with the number of each one's nodes there
+        labelled = members.select("band", "node").join(label, "node")
+        parts = labelled.groupBy("band", "label").agg(F.count("*").alias("part"))
+        mixed = parts.groupBy("band").agg(F.count("*").alias("_parts")).filter("_parts > 1").select("band")
+        parts = materialize(parts.join(mixed, "band"), "mixed")
+        most = parts.agg(F.max("part")).first()[0]
+        if most is None or all_met:
             break
-        # the next leaders by a hash, in the end all
-        rank = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("members") / float(1 << 30)
-        heads = left.filter((rank < reach * LEADERS) & ((rank >= reach) | F.lit(reach == 1))).select("band", F.col("node").alias("a"), F.col("label").alias("_la"))
-        pairs = left.join(heads, "band").filter("label != _la").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        reach *= LEADERS
+        all_met = reach > most
+        left = materialize(labelled.join(parts, ["band", "label"]).join(sketches, "node"), "apart")
+        # some nodes of each component by a hash, in the end all; those of the larger component meet all of the smaller one
+        rank = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("part") / float(1 << 30)
+        heads = left.filter(rank < reach).select(
+            F.col("band").alias("_band"), F.col("node").alias("a"), F.col("label").alias("_la"), F.col("part").alias("_pa"), F.col("sketch").alias("_sa"), F.col("n").alias("_na"))
+        others = left.select("band", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("part").alias("_pb"), F.col("sketch").alias("_sb"), F.col("n").alias("_nb"))
+        larger = (F.col("_pa") > F.col("_pb")) | ((F.col("_pa") == F.col("_pb")) & (F.col("_la") < F.col("_lb")))
+        met = others.join(heads, (F.col("band") == F.col("_band")) & larger & alike).select(*pair).distinct()
+        near = materialize(met.join(checked, ["a", "b"], "left_anti"), "near")
+        checked, reach = checked.unionByName(near.select("a", "b")), reach * MORE
     classes = nodes.select("node", "least_id").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
     by_node = classes.join(least, "label").select("node", "component_id")
