@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.lineage import materialize
 from .arrow import map_rows, texts_of
+from .names import free_names
 from .vocab import batches, word_bpe
 
 CAPACITY = 4096
@@ -108,11 +109,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_column: str = "leng
     """
     pieces = pieces.drop("sequence_id", "offset")
     columns = pieces.columns
+    own = free_names(pieces, "_piece")[0]
     pieces = pieces.withColumn(
         length_column, F.when(F.col(length_column).between(1, capacity), F.col(length_column)).otherwise(F.raise_error(F.lit("length out of range"))))
-    base = materialize(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pack-pieces")
-    full = base.filter(F.col(length_column) == capacity).select("_piece", F.lit(0).alias("_round"), F.col("_piece").alias("_bin"), F.lit(0).cast("long").alias("offset"))
-    open_ = base.filter(F.col(length_column) < capacity).select("_piece", F.col(length_column).cast("int").alias("_length"))
+    base = materialize(pieces.withColumn(own, F.monotonically_increasing_id()), "pack-pieces")
+    piece = F.col(own).alias("_piece")
+    full = base.filter(F.col(length_column) == capacity).select(piece, F.lit(0).alias("_round"), F.col(own).alias("_bin"), F.lit(0).cast("long").alias("offset"))
+    open_ = base.filter(F.col(length_column) < capacity).select(piece, F.col(length_column).cast("int").alias("_length"))
     done, count, bins_before, round_ = [full], open_.count(), None, 1
     while count:
         parts = max(1, math.ceil(count / part_pieces))
@@ -133,7 +136,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_column: str = "leng
         placed = placed.unionByName(more)
     # rounds share a number range: round in the top bits, then the partition and its bin, or the piece
     sequence = F.shiftleft(F.col("_round").cast("long"), 56).bitwiseOR(F.col("_bin")).alias("sequence_id")
-    return base.join(placed.select("_piece", sequence, "offset"), "_piece").select(*columns, "sequence_id", "offset")
+    return base.join(placed.select(F.col("_piece").alias(own), sequence, "offset"), own).select(*columns, "sequence_id", "offset")
 
 
 def _pack_round(open_: DataFrame, parts: int, round_: int, capacity: int) -> DataFrame:

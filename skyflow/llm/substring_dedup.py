@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.lineage import materialize
 from .arrow import map_rows, texts_of
+from .names import free_names
 from .vocab import batches
 from .words import runs, span_hashes, words_of
 
@@ -181,8 +182,10 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_column: str
             _locate, "anchor bigint, content bigint, covered array<int>"), "located")
     by_row = spots.join(located, ["anchor", "content"]).select(*key, F.transform("covered", lambda x: x + F.col("start")).alias("covered"))
     removed = by_row.groupBy(*key).agg(F.flatten(F.collect_set("covered")).alias("_covered"))                 # within one document
-    keyed = docs.withColumn("_row", row_id).withColumn("_text_key", F.xxhash64(text_column)).alias("d")
-    joined = keyed.join(removed.alias("r"), (F.col("_row") == F.col("r.row_id")) & (F.col("_text_key") == F.col("r.text_key")), "left").select("d.*", "_covered").drop("_row", "_text_key")
+    row, text_key, spans_of = free_names(docs, "_row", "_text_key", "_covered")
+    keyed = docs.withColumn(row, row_id).withColumn(text_key, F.xxhash64(text_column)).alias("d")
+    joined = keyed.join(removed.alias("r"), (F.col(f"d.{row}") == F.col("r.row_id")) & (F.col(f"d.{text_key}") == F.col("r.text_key")), "left").select(
+        "d.*", F.col("r._covered").alias(spans_of)).drop(row, text_key)
     return _remove(joined, docs, text_column)
 
 
