@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.lineage import materialize
+from .names import free_names
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -14,6 +15,7 @@ SLOTS_PER_SHARD = 1024
 _ROUNDS = 10                 # of the index permutation
 _LINES = 4096                # a source's documents are laid out in this many lines that follow one another
 _CHUNK = 4096                # slots that one row expands to
+_TASK_SLOTS = 65_536         # and about as many a task
 
 
 def permuted(df: DataFrame, name: str, index: str, size: str, key: list[Column]) -> DataFrame:
@@ -72,8 +74,9 @@ def mixed_documents(docs: DataFrame, text_column: str = "text", **options) -> Da
         F.sort_array(F.collect_list(F.struct("word", "n_words"))).alias("_parts"), F.sum("n_words").alias("_n"))
     key = row_key(options.get("id_column", "doc_id"), text_column, options.get("seed", 0))
     source = F.col(options.get("source_column", "source"))
-    once = docs.withColumn("_key", key).withColumn("_source", source).dropDuplicates(["_key", "_source"])
-    both = once.alias("d").join(taken.alias("t"), (F.col("d._key") == F.col("t.row_key")) & F.col("d._source").eqNullSafe(F.col("t.source")))
+    own, from_ = free_names(docs, "_key", "_source")
+    once = docs.withColumn(own, key).withColumn(from_, source).dropDuplicates([own, from_])
+    both = once.alias("d").join(taken.alias("t"), (F.col(f"d.{own}") == F.col("t.row_key")) & F.col(f"d.{from_}").eqNullSafe(F.col("t.source")))
     words = F.regexp_extract_all(F.col(f"d.{text_column}"), F.lit(WORD), F.lit(0))
     part = lambda p: F.array_join(F.slice(words, (p["word"] + 1).cast("int"), p["n_words"].cast("int")), " ")
     text = F.when(F.col("_n") == F.col("t.size"), F.col(f"d.{text_column}")).otherwise(F.array_join(F.transform("_parts", part), " "))
@@ -90,11 +93,13 @@ def mix(
     doc_id, source, size, row_key, first_word, block, epoch, word (from 0 in the document), n_words.
 
     Words are packed into blocks of `block_words`, source by source; the documents lie in the order of a hash. Every source
-    gets as many slots as come nearest to its target. The slots of all sources are dealt to output shards by a
+    gets slots for as many words as its target, rounded: whole epochs over all its blocks, then part of one, of which the last slot takes
+    the first words of its block, so many as are left. The slots of all sources are dealt to output shards by a
     pseudorandom permutation, so that each shard's counts are a multinomial draw given the totals. A source's slots
-    take its blocks through another permutation for every epoch, so that no block is taken more than once more often
-    than another and, as targets end at `most_times` the size, no document more than `most_times` its size. Slots and
-    blocks are joined by (source, block); all row counts follow the input and no key is hot: a large source is many blocks.
+    take its blocks through another permutation for every epoch (a last block that isn't full comes last), so that no block is taken more than
+    once more often than another and, as targets end at `most_times` the size, no document more than `most_times` its size. The slots
+    are written, in as many partitions as their number needs; slots and blocks are joined by (source, block); all row counts follow the input
+    and no key is hot: a large source is many blocks.
 
     Null texts have no words and no spans; null sources are one source; null ids and repeated rows count as documents
     (equal rows lie side by side and share what is taken in their order); an empty table gives empty tables; other columns are not read.
@@ -125,27 +130,33 @@ def mix(
         .withColumn("first_word", F.col("_first") + F.col("_copy") * F.col("size")).drop("_first", "_times", "_copy")
     )
     # slots
-    blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    plan = (
-        targets.filter("source_size > 0").withColumn("_blocks", blocks)
-        .withColumn("_slots", F.least(F.round(F.col("target") * F.col("_blocks") / F.col("source_size")).cast("long"), F.floor(F.col("_blocks") * float(most_times))))
+    size, in_full = F.col("source_size"), F.floor(F.col("source_size") / block_words).cast("long")
+    plan = materialize(
+        targets.filter("source_size > 0").withColumn("_words", F.least(F.round("target").cast("long"), F.floor(size * float(most_times))))
+        .withColumns({"_full": in_full, "_blocks": F.ceil(size / block_words).cast("long"), "_epochs": F.floor(F.col("_words") / size)})
+        .withColumn("_rest", F.col("_words") - F.col("_epochs") * size)
+        .withColumn("_slots", F.col("_epochs") * F.col("_blocks") + F.ceil(F.col("_rest") / block_words))
         .filter("_slots > 0")
-        .withColumn("_base", F.sum("_slots").over(Window.orderBy("_rank")) - F.col("_slots"))
+        .withColumn("_base", F.sum("_slots").over(Window.orderBy("_rank")) - F.col("_slots"))      # one row per source
         .withColumn("_all", F.sum("_slots").over(Window.partitionBy(F.lit(0))))
-        .select("_rank", "_blocks", "_slots", "_base", "_all")
-        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1, F.lit(_CHUNK).cast("long"))))
-    )
+        .select("_rank", "_full", "_blocks", "_epochs", "_rest", "_slots", "_base", "_all"),
+        "mix-plan")
+    n_slots = plan.agg(F.max("_all")).first()[0] or 0
     slots = (
-        plan.repartition("_rank", "_from")
+        plan.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1, F.lit(_CHUNK).cast("long"))))
+        .repartition(max(1, -(-n_slots // _TASK_SLOTS)), "_rank", "_from")
         .withColumn("_i", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + _CHUNK, "_slots") - 1)))
         .withColumn("epoch", F.floor(F.col("_i") / F.col("_blocks")))
         .withColumn("_in_epoch", F.pmod("_i", "_blocks"))
         .withColumn("_place", F.col("_base") + F.col("_i"))
+        .withColumn("_most", F.greatest("_full", F.lit(1).cast("long")))
     )
-    slots = permuted(slots, "block", "_in_epoch", "_blocks", [F.lit(seed), F.col("_rank"), F.col("epoch")])
+    slots = permuted(slots, "_mixed", "_in_epoch", "_most", [F.lit(seed), F.col("_rank"), F.col("epoch")])
     slots = permuted(slots, "_out", "_place", "_all", [F.lit(seed), F.lit(-1)])
-    slots = slots.select(
-        "_rank", "block", "epoch", F.floor(F.col("_out") / slots_per_shard).alias("shard"), F.pmod("_out", F.lit(slots_per_shard)).alias("slot"))
+    left = F.when(F.col("epoch") == F.col("_epochs"), F.least(F.lit(block_words), F.col("_rest") - F.col("_in_epoch") * block_words)).otherwise(F.lit(block_words))
+    slots = materialize(slots.select(
+        "_rank", F.when(F.col("_in_epoch") < F.col("_full"), F.col("_mixed")).otherwise(F.col("_full")).alias("block"), "epoch",
+        F.floor(F.col("_out") / slots_per_shard).alias("shard"), F.pmod("_out", F.lit(slots_per_shard)).alias("slot"), left.cast("int").alias("_limit")), "mix-slots")
     # the documents' stretches in each block
     first, last = F.floor(F.col("first_word") / block_words), F.floor((F.col("first_word") + F.col("size") - 1) / block_words)
     begin = F.greatest(F.col("block") * block_words, "first_word")
@@ -155,7 +166,8 @@ def mix(
         .withColumn("n_words", F.least((F.col("block") + 1) * block_words, F.col("first_word") + F.col("size")) - begin)
         .select("_rank", "block", "doc_id", "source", "size", "row_key", "first_word", "word", "n_words")
     )
-    spans = stretches.join(slots, ["_rank", "block"]).select(
+    in_block = F.col("first_word") + F.col("word") - F.col("block") * block_words
+    spans = stretches.join(slots, ["_rank", "block"]).withColumn("n_words", F.least(F.col("n_words"), F.col("_limit") - in_block)).filter("n_words > 0").select(
         "shard", "slot", "doc_id", "source", "size", "row_key", "first_word", "block", "epoch", "word", "n_words")
     return laid.drop("_rank"), spans
 

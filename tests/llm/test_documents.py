@@ -382,3 +382,45 @@ def test_pipeline(spark, sf_dir):
             assert offset == at
             at += length
         assert at <= 4096
+
+
+# ---- small sources, clashing names ----
+def test_small_sources_meet_their_targets(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30)), f"s{i:02d}") for i in range(12)] + [(100 + i, " ".join(["z"] * 500), "t") for i in range(7)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    documents, spans = mix(df)
+    taken = {r["source"]: r["n"] for r in spans.groupBy("source").agg(F.sum("n_words").alias("n")).collect()}
+    wanted = {r["source"]: r["target"] for r in documents.select("source", "target").distinct().collect()}
+    assert set(taken) == set(wanted) and all(abs(taken[s] - t) <= 1 for s, t in wanted.items())
+    most = spans.groupBy("doc_id", "size").agg(F.sum("n_words").alias("n")).collect()
+    assert all(r["n"] <= 2 * r["size"] for r in most)
+
+
+def test_slots_are_planned_by_many_tasks(spark, monkeypatch):
+    from skyflow.llm import mixing
+
+    monkeypatch.setattr(mixing, "_TASK_SLOTS", 64)
+    monkeypatch.setattr(mixing, "_CHUNK", 16)
+    df = spark.range(300).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 100) AS text", "concat('s', id % 2) AS source")
+    wide = mix(df, block_words=8)[1].groupBy("doc_id").agg(F.sum("n_words").alias("n")).collect()
+    monkeypatch.undo()
+    assert sorted(wide) == sorted(mix(df, block_words=8)[1].groupBy("doc_id").agg(F.sum("n_words").alias("n")).collect())
+
+
+def test_stages_leave_columns_with_their_own_names_alone(spark):
+    import corpus_pipeline
+
+    words = " ".join(f"w{i}" for i in range(50))
+    names = ["_key", "_row", "_text_key", "_score", "_toxic", "_source", "_covered", "_piece", "_id", "s", "row_id", "leader"]
+    rows = [(i, f"{words} own{i} " + " ".join(f"o{i}x{j}" for j in range(40)), "en", "ab"[i % 2], 5, *names) for i in range(6)]
+    rows.append(rows[0])
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{n} string" for n in names))
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("near_dedup", "substring_dedup", "mixing"):
+        out = stages[name](spark, df, "").collect()
+        assert out and all(r[n] == n for r in out for n in names), name
+    assert stages["packing"](spark, df, "").count() == 7
+    from skyflow.llm.packing import pack
+
+    packed = pack(df.withColumn("length", F.lit(100)))
+    assert packed.count() == 7 and all(r["_piece"] == "_piece" for r in packed.collect())
