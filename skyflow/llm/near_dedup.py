@@ -19,7 +19,7 @@ SHINGLE = 5
 PERCENT = 80                 # the default of the library's near-duplicate operators
 HASHES, ROWS = 500, 10       # 50 bands of 10: a pair at 0.8 shares no band with probability 3e-3, at 0.85 with 2e-5; at 0.5 it shares one with 0.05
 SKETCH_BITS = 1024
-MORE = 16                    # times as many heads in each further round
+HEADS, MORE = 16, 256        # nodes of a component that others of its band are compared with, and times as many in each further round
 _SLACK = 0.093               # 5.2 standard deviations of the share of differing samples at 0.8
 _rng = np.random.default_rng(5081)          # seeded: the same functions everywhere
 _MULTIPLY = (_rng.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -112,7 +112,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     Equal sets become one node first. 500 MinHash samples of each node give 50 bands and an odd sketch, whose XOR counts estimate how many samples
     differ. A band's nodes are not paired with each other. In the first round each node is compared with one leader, the first node of
     most of its bands. Nodes that the links found so far have joined need no more comparison. In bands that still hold several components, the nodes of the
-    smaller one are compared with some nodes of the larger one, MORE times as many in each further round, in the end with all.
+    smaller one are compared with HEADS nodes of the larger one (first with the closest of them only), MORE times as many in each further round, in the end with all.
     Sketches and sizes travel with the nodes of such bands, so that pairs which differ in more bits than nearly equal sets can are dropped inside the
     join; the others are confirmed on their full sets. Components are joined between rounds. All steps are keyed by node or (band, node);
     what a hot band or leader gathers is only counted or joined.
@@ -142,14 +142,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("_na")).otherwise(F.col("_nb")).alias("_na"),
             F.when(F.col("a") < F.col("b"), F.col("_nb")).otherwise(F.col("_na")).alias("_nb")]
     near = materialize(pairs.join(sides("a", "a"), "a").join(sides("b", "b"), "b").filter(alike).select(*pair).distinct(), "near")
-    checked, sets, reach, all_met = near.select("a", "b"), None, MORE, False
+    checked, reach, best_only, all_met = near.select("a", "b"), HEADS, True, False
+    sets = _node_sets(docs, needed, id_column, text_column)
     while True:
-        # nodes whose sketches come near another's have their whole text looked up, once
-        looked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        missing = materialize((looked if sets is None else looked.join(sets, "node", "left_anti")).join(needed, "node"), "looked-up")
-        if sets is None or not missing.isEmpty():
-            more = _node_sets(docs, missing, id_column, text_column)
-            sets = more if sets is None else sets.unionByName(more)
         common = F.size(F.array_intersect("_x", "_y"))
         links = (
             near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y")), "b")
@@ -158,19 +153,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
             .filter(F.col("_common") * 100 >= (F.col("_na") + F.col("_nb") - F.col("_common")) * percent).select("a", "b"))
         links = materialize(links, "confirmed")
         # links between components join them
-        joined = links.join(label.select(F.col("node").alias("a"), F.col("label").alias("_la")), "a").join(
-            label.select(F.col("node").alias("b"), F.col("label").alias("_lb")), "b").select("_la", "_lb").filter("_la != _lb")
-        merged = connected_components(joined, "_la", "_lb").select(F.col("node").alias("label"), F.col("label").alias("_to"))
-        label = materialize(label.join(merged, "label", "left").select("node", F.coalesce("_to", "label").alias("label")), "labels")
+        if not links.isEmpty():
+            joined = links.join(label.select(F.col("node").alias("a"), F.col("label").alias("_la")), "a").join(
+                label.select(F.col("node").alias("b"), F.col("label").alias("_lb")), "b").select("_la", "_lb").filter("_la != _lb")
+            merged = connected_components(joined, "_la", "_lb").select(F.col("node").alias("label"), F.col("label").alias("_to"))
+            label = materialize(label.join(merged, "label", "left").select("node", F.coalesce("_to", "label").alias("label")), "labels")
         # bands that still hold several components, with the number of each one's nodes there
         labelled = members.select("band", "node").join(label, "node")
         parts = labelled.groupBy("band", "label").agg(F.count("*").alias("part"))
         mixed = parts.groupBy("band").agg(F.count("*").alias("_parts")).filter("_parts > 1").select("band")
         parts = materialize(parts.join(mixed, "band"), "mixed")
         most = parts.agg(F.max("part")).first()[0]
-        if most is None or all_met:
+        if most is None or all_met:          # one component a band, or no two uncompared
             break
-        all_met = reach > most
+        all_met = reach > most and not best_only
         left = materialize(labelled.join(parts, ["band", "label"]).join(sketches, "node"), "apart")
         # some nodes of each component by a hash, in the end all; those of the larger component meet all of the smaller one
         rank = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("part") / float(1 << 30)
@@ -178,9 +174,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
             F.col("band").alias("_band"), F.col("node").alias("a"), F.col("label").alias("_la"), F.col("part").alias("_pa"), F.col("sketch").alias("_sa"), F.col("n").alias("_na"))
         others = left.select("band", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("part").alias("_pb"), F.col("sketch").alias("_sb"), F.col("n").alias("_nb"))
         larger = (F.col("_pa") > F.col("_pb")) | ((F.col("_pa") == F.col("_pb")) & (F.col("_la") < F.col("_lb")))
-        met = others.join(heads, (F.col("band") == F.col("_band")) & larger & alike).select(*pair).distinct()
-        near = materialize(met.join(checked, ["a", "b"], "left_anti"), "near")
-        checked, reach = checked.unionByName(near.select("a", "b")), reach * MORE
+        met = others.join(heads, (F.col("band") == F.col("_band")) & larger & alike)
+        if best_only:        # first the closest head of each component, as most of its other pairs are then joined already
+            closest = F.min_by(F.struct("a", "_na", "_nb"), F.struct(differ, F.col("a")))
+            met = met.groupBy("b", "_la").agg(closest.alias("_best")).select("b", "_best.*")
+        near = materialize(met.select(*pair).distinct().join(checked, ["a", "b"], "left_anti"), "near")
+        checked, reach, best_only = checked.unionByName(near.select("a", "b")), reach * MORE, False
     classes = nodes.select("node", "least_id").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = classes.groupBy("label").agg(F.min("least_id").alias("component_id"))
     by_node = classes.join(least, "label").select("node", "component_id")
@@ -190,9 +189,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
 
 
 def _node_sets(docs: DataFrame, needed: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(node, shingles) of the nodes that share a band, each from the text of one row (or of rows that repeat it)."""
+    """(node, shingles) of the nodes that share a band, each from the text of one row (or of rows that repeat it). Texts are shuffled once, at every size."""
     rows = _keyed(docs, id_column, text_column)
-    found = rows.alias("r").join(needed.alias("k"), (F.col("r.row_id") == F.col("k.pick.row_id")) & (F.col("r.text_key") == F.col("k.pick.text_key")))
+    found = rows.alias("r").join(needed.hint("merge").alias("k"), (F.col("r.row_id") == F.col("k.pick.row_id")) & (F.col("r.text_key") == F.col("k.pick.text_key")))
     return materialize(_sets(found.select("k.node", "r.text")), "sets")
 
 
