@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.lineage import materialize
 
 MAX_FIT_ROWS = 20_000          # the bound of the paragraphs that are fitted on: licence-like ones, and others
-FEATURES = 1 << 16             # buckets of word n-grams
+FIT_TASKS = 48
+FEATURES = 8_192              # of 20 names: 164,000 coefficients, of which the driver keeps a few copies
 UNKNOWN = "unknown"
 CONFIRMED = 0.6                # share of a template's word pairs that confirms a prediction
 SURE = 0.99                    # share of a family's calibration paragraphs that must reach its cut
@@ -169,9 +170,9 @@ def fit_licenses(
 ) -> LicenseModel:
     """
     Learn the licences' names from paragraphs of the corpus. A paragraph's label is the name in the template that it has nearly
-    all word pairs of; paragraphs with few of any template's are unknown. At most `max_rows` paragraphs that use
-    licence words and as many others are taken, chosen by a hash; the templates themselves always belong to them, so
-    that every name can be learned. Sparse binary word and word-pair features, multinomial logistic regression with an
+    all word pairs of; paragraphs with few of any template's are unknown. At most `max_rows` distinct paragraphs that use
+    licence words and as many others are taken, chosen by a hash, with 1 + ln of their number as weights, so that a frequent line can't fill the
+    sample; the templates themselves always belong to them, so that every name can be learned. Sparse binary word and word-pair features, multinomial logistic regression with an
     elastic net. A quarter of the rows is left out of the fit and calibrates each name's cut: the probability that SURE of its paragraphs reach.
     """
     spark = docs.sparkSession
@@ -179,19 +180,23 @@ def fit_licenses(
     classes = [*sorted({class_of(family) for family in templates}), UNKNOWN]
     lines = docs.select(F.explode(F.split(F.col(text_column), r"[\r\n]+", -1)).alias("text")).filter("trim(text) != ''")
     order = F.xxhash64("text")
-    hinted = lines.filter(F.col("text").rlike(_HINTS)).orderBy(order).limit(max_rows)
-    others = lines.filter(~F.col("text").rlike(_HINTS)).orderBy(order).limit(max_rows)
-    own = spark.createDataFrame([(text,) for _, text, _, _ in known], "text string")
-    rows = hinted.unionByName(others).withColumn("_own", F.lit(False)).unionByName(own.withColumn("_own", F.lit(True)))
+    hint = F.col("text").rlike(_HINTS)
+    # distinct paragraphs by their hashes alone: the highest hash that is still taken, of each kind
+    hashes = materialize(lines.select(hint.alias("hint"), order.alias("hash")).distinct(), "license-hashes")
+    last = [hashes.filter(F.col("hint") == kind).orderBy("hash").limit(max_rows).agg(F.max("hash")).first()[0] for kind in (True, False)]
+    taken = F.when(hint, order <= F.lit(last[0])).otherwise(order <= F.lit(last[1]))
+    found = lines.filter(taken).groupBy("text").agg((F.log(F.count("*").cast("double")) + 1).alias("weight")).withColumn("_own", F.lit(False))
+    own = spark.createDataFrame([(text,) for _, text, _, _ in known], "text string").withColumns({"weight": F.lit(1.0), "_own": F.lit(True)})
+    rows = found.unionByName(own).repartition(FIT_TASKS)
     rows = rows.withColumn("_words", _words(F.col("text"))).withColumn("_best", _likeness(F.col("_words"), known))
     number = F.element_at(F.create_map(*[F.lit(x) for f in sorted(templates) for x in (f, float(classes.index(class_of(f))))]), F.col("_best.family"))
     label = F.when(F.col("_best.likeness") >= 0.9, number).when(F.col("_best.likeness") < 0.5, F.lit(float(len(classes) - 1)))
     rows = rows.withColumn("label", label).filter("label IS NOT NULL").select(
-        "label", "_own", _grams(F.col("_words")).alias("grams"), (F.pmod(F.xxhash64("text", F.lit(7)), F.lit(4)) == 0).alias("_calibrate"))
+        "label", "weight", "_own", _grams(F.col("_words")).alias("grams"), (F.pmod(F.xxhash64("text", F.lit(7)), F.lit(4)) == 0).alias("_calibrate"))
     rows = materialize(rows, "license-rows")
     features = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
     fit = features.transform(rows.filter("_own OR NOT _calibrate"))
-    classifier = LogisticRegression(family="multinomial", regParam=1e-4, elasticNetParam=0.5, maxIter=25).fit(fit.select("features", "label"))
+    classifier = LogisticRegression(family="multinomial", regParam=1e-4, elasticNetParam=0.5, maxIter=25, weightCol="weight").fit(fit.select("features", "label", "weight"))
     scored = classifier.transform(features.transform(rows.filter("_own OR _calibrate")))
     own_probability = F.element_at(vector_to_array("probability"), (F.col("label") + 1).cast("int"))
     cuts = {r["label"]: r["cut"] for r in scored.groupBy("label").agg(F.percentile_approx(own_probability, 1 - SURE, 10_000).alias("cut")).collect()}
