@@ -16,6 +16,7 @@ from .upsert import insert_if_absent
 MAX_HOSTS = 3
 QUEUE_AFTER_DAYS = 50
 FAINT_HOST_MAG = 24.0
+
 SENT_OBJECTS = 100_000      # up to this many (counted) new objects are sent to the catalogue, some 10 MB in their cells
 GALAXY_ZONE_DEG = 5.0
 ASSOCIATION = (
