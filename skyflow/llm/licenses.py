@@ -18,7 +18,7 @@ FEATURES = 8_192              # of 20 names: 164,000 coefficients, of which the
 UNKNOWN = "unknown"
 CONFIRMED = 0.6                # share of a template's word pairs that confirms a prediction
 SURE = 0.99                    # share of a family's calibration paragraphs that must reach its cut
-_WORD = r"[\p{L}\p{N}][\p{L}\p{N}.\-]*"
+_WORD = r"[\p{L}\p{N}](?:[\p{L}\p{N}.\-]*[\p{L}\p{N}])?"      # dots and hyphens at a word's end are none of it
 _HINTS = r"(?i)licen[sc]|copyright|rights\s+reserved|permission|redistribut|warrant"   # chooses fit rows, not results
 
 #: Sentences by which texts name their licence; the SQL knows these only.
@@ -119,8 +119,7 @@ class LicenseModel:
 
 
 def _words(text: Column) -> Column:
-    found = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
-    return F.transform(found, lambda w: F.rtrim(w, F.lit(".-")))
+    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
 def _grams(words: Column) -> Column:
@@ -134,28 +133,29 @@ def _pairs(words: Column) -> Column:
     return F.filter(pairs, lambda p: p.isNotNull())
 
 
-def _likeness(words: Column, templates: list[tuple[str, str, list[str], list[str]]], name: Column | None = None) -> Column:
-    """struct(likeness, family) of the template whose word pairs the paragraph has most of, among those whose required pairs it
-    has all of (likeness 0: none); of one class only if it is given."""
+def _with_likeness(df: DataFrame, templates: list[tuple[str, str, list[str], list[str]]], name: Column | None = None) -> DataFrame:
+    """
+    `df` (with `_words`) plus _likeness and _family: of the template whose word pairs the paragraph has most of, among those whose required pairs it
+    has all of (likeness 0: none); of one class only if it is given. Templates are held only against those pairs of the paragraph that any template has. They
+    are columns of a generator, so that filters on them don't make Spark work them out again.
+    """
     # one expression in SQL's words: thousands of single columns take the driver minutes
-    quoted = lambda items: "array(" + ", ".join(f"'{x}'" for x in items) + ")"
+    quoted = lambda items: "CAST(array(" + ", ".join(f"'{x}'" for x in items) + ") AS array<string>)"
     known = F.expr("array(" + ", ".join(
-        f"named_struct('name', '{class_of(family)}', 'family', '{family}', 'own', {quoted(own)}, 'needed', CAST({quoted(needed)} AS array<string>))"
+        f"named_struct('name', '{class_of(family)}', 'family', '{family}', 'own', {quoted(own)}, 'needed', {quoted(needed)})"
         for family, _, own, needed in templates) + ")")
+    every = F.expr(quoted(dict.fromkeys(x for _, _, own, needed in templates for x in (*own, *needed))))
 
-    def best(have: Column) -> Column:
-        def score(t: Column) -> Column:
-            confirmed = F.size(F.array_except(t["needed"], have)) == 0
-            if name is not None:
-                confirmed &= t["name"] == name
-            return F.struct(
-                F.when(confirmed, F.size(F.array_intersect(t["own"], have)) / F.size(t["own"])).otherwise(0.0).alias("likeness"),
-                F.when(confirmed, F.size(t["needed"])).otherwise(0).alias("needed"), t["family"].alias("family"))
-        return F.array_max(F.transform(known, score))
+    def score(t: Column) -> Column:
+        confirmed = F.size(F.array_except(t["needed"], F.col("_shared"))) == 0
+        if name is not None:
+            confirmed &= t["name"] == name
+        return F.struct(
+            F.when(confirmed, F.size(F.array_intersect(t["own"], F.col("_shared"))) / F.size(t["own"])).otherwise(0.0).alias("_likeness"),
+            F.when(confirmed, F.size(t["needed"])).otherwise(0).alias("_needed"), t["family"].alias("_family"))
 
-    # a variable of a lambda function, so that the pairs are made once and not for every template
-    found = F.transform(F.array(_pairs(words)), best)[0]
-    return F.struct(found["likeness"].alias("likeness"), found["family"].alias("family"))
+    shared = df.withColumn("_shared", F.array_intersect(_pairs(F.col("_words")), every))
+    return shared.select(*shared.columns, F.inline(F.array(F.array_max(F.transform(known, score))))).drop("_shared", "_needed")
 
 
 def paragraphs_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -188,9 +188,9 @@ def fit_licenses(
     found = lines.filter(taken).groupBy("text").agg((F.log(F.count("*").cast("double")) + 1).alias("weight")).withColumn("_own", F.lit(False))
     own = spark.createDataFrame([(text,) for _, text, _, _ in known], "text string").withColumns({"weight": F.lit(1.0), "_own": F.lit(True)})
     rows = found.unionByName(own).repartition(FIT_TASKS)
-    rows = rows.withColumn("_words", _words(F.col("text"))).withColumn("_best", _likeness(F.col("_words"), known))
-    number = F.element_at(F.create_map(*[F.lit(x) for f in sorted(templates) for x in (f, float(classes.index(class_of(f))))]), F.col("_best.family"))
-    label = F.when(F.col("_best.likeness") >= 0.9, number).when(F.col("_best.likeness") < 0.5, F.lit(float(len(classes) - 1)))
+    rows = _with_likeness(rows.withColumn("_words", _words(F.col("text"))), known)
+    number = F.element_at(F.create_map(*[F.lit(x) for f in sorted(templates) for x in (f, float(classes.index(class_of(f))))]), F.col("_family"))
+    label = F.when(F.col("_likeness") >= 0.9, number).when(F.col("_likeness") < 0.5, F.lit(float(len(classes) - 1)))
     rows = rows.withColumn("label", label).filter("label IS NOT NULL").select(
         "label", "weight", "_own", _grams(F.col("_words")).alias("grams"), (F.pmod(F.xxhash64("text", F.lit(7)), F.lit(4)) == 0).alias("_calibrate"))
     rows = materialize(rows, "license-rows")
@@ -212,13 +212,14 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, id_column: str = "doc_id
     """
     lines = paragraphs_of(docs, id_column, text_column).withColumn("_words", _words(F.col("text"))).withColumn("_grams", _grams(F.col("_words")))
     features = HashingTF(inputCol="_grams", outputCol="features", numFeatures=FEATURES, binary=True)
-    scored = model.classifier.transform(features.transform(lines)).withColumn("_p", F.element_at(vector_to_array("probability"), (F.col("prediction") + 1).cast("int")))
-    cut = F.element_at(F.array(*map(F.lit, model.cuts)), (F.col("prediction") + 1).cast("int"))
-    name = F.element_at(F.array(*map(F.lit, model.classes)), (F.col("prediction") + 1).cast("int"))
-    known = scored.withColumn("_name", name).filter((F.col("_name") != UNKNOWN) & (F.col("_p") >= cut))
-    confirmed = known.withColumn("_best", _likeness(F.col("_words"), model.templates, F.col("_name")))
-    return confirmed.filter(F.col("_best.likeness") >= CONFIRMED).select(
-        "doc_id", "text_key", "paragraph", F.col("_best.family").alias("family"), F.col("_p").alias("probability"), F.col("_best.likeness").alias("likeness"))
+    scored = model.classifier.transform(features.transform(lines))
+    at = (F.col("prediction") + 1).cast("int")
+    named = scored.select("doc_id", "text_key", "paragraph", "_words", F.inline(F.array(F.struct(
+        F.element_at(vector_to_array("probability"), at).alias("_p"), F.element_at(F.array(*map(F.lit, model.cuts)), at).alias("_cut"),
+        F.element_at(F.array(*map(F.lit, model.classes)), at).alias("_name")))))
+    known = named.filter((F.col("_name") != UNKNOWN) & (F.col("_p") >= F.col("_cut")))
+    return _with_likeness(known, model.templates, F.col("_name")).filter(F.col("_likeness") >= CONFIRMED).select(
+        "doc_id", "text_key", "paragraph", F.col("_family").alias("family"), F.col("_p").alias("probability"), F.col("_likeness").alias("likeness"))
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

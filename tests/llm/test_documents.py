@@ -284,6 +284,21 @@ def test_licenses_of_odd_documents(spark, odd_docs, no_docs, docs):
     fit_licenses(no_docs)
 
 
+def test_templates_are_met_once_a_paragraph(spark):
+    """Filters on the likeness must not make Spark work it out again, and words that no template has change nothing."""
+    from skyflow.llm import licenses as lc
+
+    known = [lc._template(f, t) for f, ts in sorted(FAMILIES.items()) for t in ts]
+    noise = " ".join(f"n{i}" for i in range(300))
+    lines = [("licensed under the Apache License, Version 2.0.", "apache-2.0"), ("a MIT License-. b", "mit"), (noise, None)]
+    df = spark.createDataFrame([(t, f) for t, f in lines] + [(f"{noise} {t} {noise}", f) for t, f in lines], "text string, family string")
+    best = lc._with_likeness(df.withColumn("_words", lc._words(F.col("text"))), known).filter("_likeness >= 0.5 OR _likeness < 0.1")
+    plan = best.select("_family", "_likeness", "family")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_except(") == 2          # in one expression: for the likeness and for the tie
+    rows = best.collect()
+    assert len(rows) == 6 and all((r._family if r._likeness else None) == r.family for r in rows)
+
+
 LICENSE_LINES = [
     ("// SPDX-License-Identifier: MIT", "mit"), ("# SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"), ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"),
     ("it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or", "gpl-3.0"),
