@@ -129,8 +129,8 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_column: str
 
     1. Every window gets an anchor that depends on its words alone; neighbouring windows share it. Anchors are counted
        (aggregated before the shuffle), and only stretches around anchors that recur are looked at again.
-    2. Equal stretches are counted as one with a weight and read once. Where an anchor has several kinds of stretches, their
-       windows are counted one by one: recurring passages are confirmed.
+    2. Equal stretches are counted as one with a weight. An anchor's only kind of stretch recurs as a whole. Where an anchor has several kinds, each is read
+       once and their windows are counted one by one: recurring passages are confirmed.
     3. Each maximal run of confirmed windows is a phrase. Phrases are dealt by anchor into shards of bounded size, each is
        compiled to an Aho-Corasick automaton over words, and the distinct stretches are streamed through the automaton
        of their anchor, a shard with many of them in several tasks. Equal windows have equal anchors, so no
@@ -153,12 +153,13 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_column: str
     # equal stretches as one, with their number and one place where the words can be read
     kinds = materialize(
         spots.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct(*key, "start", "count")).alias("pick")), "kinds")
-    wanted = kinds.select(*(F.col(f"pick.{c}").alias(c) for c in key), F.struct("anchor", "content", "times", "pick.start", "pick.count").alias("s")).groupBy(
+    # an anchor with one kind of stretch: all its windows recur, and no words need be read; else they are counted one by one
+    per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("_n"), F.max("content").alias("content"), F.max("pick.count").alias("_count"))
+    alone = per_anchor.filter("_n = 1").select("anchor", "content", F.array(F.lit(0), (F.col("_count") + window - 1).cast("int")).alias("covered"))
+    several = per_anchor.filter("_n > 1").select("anchor")
+    wanted = kinds.join(several, "anchor", "left_semi").select(*(F.col(f"pick.{c}").alias(c) for c in key), F.struct("anchor", "content", "times", "pick.start", "pick.count").alias("s")).groupBy(
         *key).agg(F.collect_list("s").alias("wanted"))                                                            # within one document
-    distinct = materialize(_contexts(rows.join(wanted, key), window), "contexts")
-    # an anchor with one kind of stretch: all its windows recur; else they are counted one by one
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1").select("anchor")
-    mixed = distinct.join(several, "anchor", "left_semi")
+    mixed = materialize(_contexts(rows.join(wanted, key), window), "contexts")
     each_window = mixed.select("anchor", "content", "times", F.posexplode("windows").alias("at", "window"))
     confirmed = each_window.groupBy("window").agg(F.sum("times").alias("_n")).filter("_n > 1").select("window")
     runs_ = each_window.select("anchor", "content", "at", "window").distinct().join(confirmed, "window").groupBy("anchor", "content").agg(
@@ -168,11 +169,10 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_column: str
         F.min("at").alias("low"), F.max("at").alias("high"))
     words = F.slice(F.split("words", " "), F.col("low") + 1, F.col("high") - F.col("low") + window)
     parts = runs_.join(mixed.select("anchor", "content", "words"), ["anchor", "content"]).select("anchor", F.array_join(words, " ").alias("phrase"))
-    whole = distinct.join(several, "anchor", "left_anti").select("anchor", F.col("words").alias("phrase"))
-    phrases = materialize(parts.unionByName(whole).distinct(), "phrases")
+    phrases = materialize(parts.distinct(), "phrases")
     shards = max(1, math.ceil(phrases.count() / SHARD_PHRASES))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard")
-    streams = distinct.select(shard, "anchor", "content", "words")
+    streams = mixed.select(shard, "anchor", "content", "words")
     tasks = streams.groupBy("shard").agg(F.ceil(F.count("*") / TASK_CONTEXTS).cast("int").alias("tasks"))     # one row per shard
     dealt = streams.join(tasks, "shard").withColumn("task", F.pmod(F.xxhash64("anchor", "content"), F.col("tasks")).cast("int")).select(
         "shard", "task", "anchor", "content", "words")
@@ -180,7 +180,7 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, id_column: str
     located = materialize(
         dealt.groupBy("shard", "task").cogroup(compiled.groupBy("shard", "task")).applyInPandas(
             _locate, "anchor bigint, content bigint, covered array<int>"), "located")
-    by_row = spots.join(located, ["anchor", "content"]).select(*key, F.transform("covered", lambda x: x + F.col("start")).alias("covered"))
+    by_row = spots.join(located.unionByName(alone), ["anchor", "content"]).select(*key, F.transform("covered", lambda x: x + F.col("start")).alias("covered"))
     removed = by_row.groupBy(*key).agg(F.flatten(F.collect_set("covered")).alias("_covered"))                 # within one document
     row, text_key, spans_of = free_names(docs, "_row", "_text_key", "_covered")
     keyed = docs.withColumn(row, row_id).withColumn(text_key, F.xxhash64(text_column)).alias("d")

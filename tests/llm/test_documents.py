@@ -270,6 +270,22 @@ def test_substring_dedup_of_odd_documents(spark, odd_docs, no_docs, window):
     assert drop_repeated_passages(no_docs).count() == 0
 
 
+def test_stretches_of_one_kind_are_not_read_again(spark, monkeypatch):
+    """Passages that recur in one form only are removed without their words; those in several forms still by the automaton."""
+    from skyflow.llm import substring_dedup as sd
+
+    own = lambda i: " ".join(f"o{i}x{j}" for j in range(40))
+    same, read = " ".join(f"p{j}" for j in range(60)), []
+    kept = sd.materialize
+    monkeypatch.setattr(sd, "materialize", lambda df, label="step": read.append((label, kept(df, label))) or read[-1][1])
+    rows = [(i, same) for i in range(3)]
+    for texts, mixed in ((rows, False), (rows + [(9, f"{own(9)} {same} {own(8)}")], True)):
+        read.clear()
+        got = sd.drop_repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+        assert sorted((r.n_words, r.n_removed, " ".join(words(r.text))) for r in got) == sorted(brute_removal([t for _, t in texts], 35))
+        assert (dict(read)["contexts"].count() > 0) == mixed
+
+
 # ---- licences ----
 
 def test_licenses_of_odd_documents(spark, odd_docs, no_docs, docs):
