@@ -365,6 +365,16 @@ def test_search_of_odd_documents(spark, odd_docs, no_docs):
     assert search(empty, queries).count() == 0 and search(index, queries.limit(0)).count() == 0
 
 
+def test_shards_are_bounded_by_their_postings(spark):
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 400}" for j in range(100))) for i in range(300)] + [(300, " ".join(f"w{j}" for j in range(400)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    index = materialize(build_index(df, shard_postings=250), "index")
+    sizes = index.select(F.size("doc_ids").alias("docs"), F.size("place").alias("postings")).collect()
+    assert sum(r.docs for r in sizes) == 301 and all(r.postings <= 250 or r.docs == 1 for r in sizes)
+    queries = df.filter("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id")
+    assert sorted(search(index, queries).collect()) == sorted(search(materialize(build_index(df), "index"), queries).collect())
+
+
 # ---- the SQL of those that have one, and the pipeline ----
 
 LLM = [n for n in entry.queries() if re.match(r"op\d", n)]
