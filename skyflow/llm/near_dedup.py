@@ -59,16 +59,22 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(parity).view(np.int64)
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The odd sketch of a whole set: the XOR of two has at most as many bits set as their sets differ in, and hardly fewer where that is far below SKETCH_BITS."""
+    parity = (np.bincount((mix(shingles) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(parity).view(np.int64)
+
+
 def _signatures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     def sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = texts_of(part.column(1))
-            sizes, keys, bands, sketches = [], [], [], []
+            sizes, keys, bands, sketches, parities = [], [], [], [], []
             for a, b in batches([len(t) for t in texts]):
                 for s in shingle_sets(texts[a:b]):
                     sizes.append(len(s))
                     if not len(s):
-                        keys.append(None), bands.append(None), sketches.append(None)
+                        keys.append(None), bands.append(None), sketches.append(None), parities.append(None)
                         continue
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     samples = min_hashes(s)
@@ -76,13 +82,15 @@ def _signatures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                     number = np.arange(len(table), dtype=np.uint64)
                     bands.append(mix((table * powers(STEP, ROWS)).sum(axis=1) + mix(number + np.uint64(1))).view(np.int64))
                     sketches.append(odd_sketch(samples))
+                    parities.append(parity_sketch(s))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(2), part.column(3), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
-                 pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "row_id", "text_key", "n_shingles", "node", "bands", "sketch"])
+                 pa.array(sketches, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64()))],
+                names=["doc_id", "row_id", "text_key", "n_shingles", "node", "bands", "sketch", "parity"])
 
     return map_rows(
         _keyed(docs, id_column, text_column), sign,
-        "doc_id bigint, row_id bigint, text_key bigint, n_shingles bigint, node binary, bands array<bigint>, sketch array<bigint>")
+        "doc_id bigint, row_id bigint, text_key bigint, n_shingles bigint, node binary, bands array<bigint>, sketch array<bigint>, parity array<bigint>")
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -110,10 +118,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     links reach, kept marks its row.
 
     Equal sets become one node first. 500 MinHash samples of each node give 50 bands and an odd sketch, whose XOR counts estimate how many samples
-    differ. A band's nodes are not paired with each other. In the first round each node is compared with one leader, the first node of
-    most of its bands. Nodes that the links found so far have joined need no more comparison. In bands that still hold several components, the nodes of the
+    differ. A band's nodes are not paired with each other. In the first round each node is compared with one leader of
+    most of its bands: a band's leader is the node that meets most others in all its bands, so that copies of one text meet the least changed of them. Nodes that the links found so far have joined need no more comparison. In bands that still hold several components, the nodes of the
     smaller one are compared with HEADS nodes of the larger one (first with the closest of them only), MORE times as many in each further round, in the end with all.
-    Sketches and sizes travel with the nodes of such bands, so that pairs which differ in more bits than nearly equal sets can are dropped inside the
+    Sketches, parities of the whole sets and sizes travel with the nodes of such bands, so that pairs which differ in more bits than linked sets can are dropped inside the
     join; the others are confirmed on their full sets. Components are joined between rounds. All steps are keyed by node or (band, node);
     what a hot band or leader gathers is only counted or joined.
 
@@ -124,20 +132,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
     signed = materialize(_signatures(docs, id_column, text_column), "signatures")
     nodes = materialize(
         signed.filter("node IS NOT NULL").groupBy("node").agg(
-            F.min("doc_id").alias("least_id"), F.min(F.struct("row_id", "text_key")).alias("pick"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+            F.min("doc_id").alias("least_id"), F.min(F.struct("row_id", "text_key")).alias("pick"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")),
         "nodes")
     spread = nodes.select("node", F.explode("bands").alias("band"))
-    # bands of one node are of no use; the others are kept with their leader
-    leaders = spread.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("members")).filter("members > 1")
-    members = materialize(spread.join(leaders, "band"), "bands")
-    sketches = nodes.select("node", "sketch", "n")
+    # bands of one node are of no use; the others are kept with their leader, the node that meets most others in all its bands
+    shared = spread.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
+    members = materialize(spread.join(shared, "band"), "bands")
+    central = members.join(members.groupBy("node").agg(F.sum("members").alias("_met")), "node")
+    leaders = materialize(central.groupBy("band").agg(F.max(F.struct("_met", "node"))["node"].alias("leader")), "leaders")
+    sketches = nodes.select("node", "sketch", "parity", "n")
     needed = members.select("node").distinct().join(nodes.select("node", "pick"), "node")
     label = materialize(needed.select("node", F.col("node").alias("label")), "labels")
     n_bits = HASHES * 2 * (1 - percent / 100 + _SLACK)
-    differ = F.aggregate(F.zip_with("_sa", "_sb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    alike = (F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent) & (differ <= n_bits)
-    sides = lambda node, of: sketches.select(F.col("node").alias(node), F.col("sketch").alias(f"_s{of}"), F.col("n").alias(f"_n{of}"))
-    common_bands = members.filter("node != leader").groupBy("node", "leader").agg(F.count("*").alias("_bands"))
+    bits = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    differ = bits("_sa", "_sb")
+    # linked sets differ in (100 - percent) / (100 + percent) of the sum of their sizes at most, their parities in no more bits
+    exact = bits("_ea", "_eb") * (100 + percent) <= (F.col("_na") + F.col("_nb")) * (100 - percent)
+    alike = (F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent) & exact & (differ <= n_bits)
+    carried = lambda of: [F.col("sketch").alias(f"_s{of}"), F.col("parity").alias(f"_e{of}"), F.col("n").alias(f"_n{of}")]
+    sides = lambda node, of: sketches.select(F.col("node").alias(node), *carried(of))
+    common_bands = members.join(leaders, "band").filter("node != leader").groupBy("node", "leader").agg(F.count("*").alias("_bands"))
     pairs = common_bands.groupBy(F.col("node").alias("b")).agg(F.max_by("leader", F.struct("_bands", "leader")).alias("a"))
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("_na")).otherwise(F.col("_nb")).alias("_na"),
             F.when(F.col("a") < F.col("b"), F.col("_nb")).otherwise(F.col("_na")).alias("_nb")]
@@ -171,8 +185,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_column: str = "d
         # some nodes of each component by a hash, in the end all; those of the larger component meet all of the smaller one
         rank = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("part") / float(1 << 30)
         heads = left.filter(rank < reach).select(
-            F.col("band").alias("_band"), F.col("node").alias("a"), F.col("label").alias("_la"), F.col("part").alias("_pa"), F.col("sketch").alias("_sa"), F.col("n").alias("_na"))
-        others = left.select("band", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("part").alias("_pb"), F.col("sketch").alias("_sb"), F.col("n").alias("_nb"))
+            F.col("band").alias("_band"), F.col("node").alias("a"), F.col("label").alias("_la"), F.col("part").alias("_pa"), *carried("a"))
+        others = left.select("band", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("part").alias("_pb"), *carried("b"))
         larger = (F.col("_pa") > F.col("_pb")) | ((F.col("_pa") == F.col("_pb")) & (F.col("_la") < F.col("_lb")))
         met = others.join(heads, (F.col("band") == F.col("_band")) & larger & alike)
         if best_only:        # first the closest head of each component, as most of its other pairs are then joined already

@@ -238,6 +238,38 @@ def test_odd_sketch_bounds_the_difference():
         assert bits <= 2 * differ and bits >= differ * 0.8
 
 
+def test_copies_of_one_text_are_not_all_paired(spark, monkeypatch):
+    """A large group of near copies, most too far from each other: pairs that are read in full stay in proportion to the group."""
+    rng, base, counts = np.random.default_rng(4), [f"w{i}" for i in range(150)], Counter()
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for at in rng.choice(150, i % 12, replace=False):
+            text[at] = f"v{rng.integers(10_000)}"
+        rows.append((i, " ".join(text)))
+    whole = nd.materialize
+
+    def counted(df, label):
+        out = whole(df, label)
+        counts[label] += out.count()
+        return out
+
+    monkeypatch.setattr(nd, "materialize", counted)
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 85).collect()
+    want = brute_groups(rows, 85)
+    assert {r.doc_id: r.component_id for r in got} == {i: component for i, _, component in want}
+    assert counts["near"] < 5 * len(rows)
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        a = rng.integers(0, 2**63, 300).astype(np.uint64)
+        b = np.concatenate([a[rng.integers(0, 30):], rng.integers(0, 2**63, rng.integers(0, 30)).astype(np.uint64)])
+        bits = sum(int(x).bit_count() for x in (nd.parity_sketch(a) ^ nd.parity_sketch(b)).view(np.uint64))
+        assert 0.8 * len(np.setxor1d(a, b)) <= bits <= len(np.setxor1d(a, b))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)] + [(200, 200 + i) for i in range(1, 30)]
     rows = dict(tuple(r) for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect())
