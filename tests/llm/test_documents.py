@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from skyflow.llm import near_dedup as nd
+from skyflow.llm import near_dedup as nd, search as search_module
 from skyflow.llm.components import connected_components
 from skyflow.llm.fingerprints import differing_branches, fingerprint_documents, op2_fingerprints, stretches_of, with_next
 from skyflow.llm.licenses import FAMILIES, TEMPLATES, fit_licenses, scan_licenses
@@ -397,6 +397,41 @@ def test_search_of_odd_documents(spark, odd_docs, no_docs):
     assert search(empty, queries).count() == 0 and search(index, queries.limit(0)).count() == 0
 
 
+def test_many_queries_at_once_and_blocks_below_the_floor(monkeypatch):
+    """A shard's answers to many queries, in small batches too, are those of every score; blocks below a query's floor are not scored."""
+    rng = np.random.default_rng(8)
+    held = [np.unique(np.append(rng.integers(0, 400, 20), rng.integers(0, 10, 6))) for _ in range(300)]
+    term, place = np.concatenate(held), np.repeat(np.arange(300, dtype=np.int32), [len(h) for h in held])
+    order = np.argsort(term, kind="stable")
+    term, place = term[order], place[order]
+    block = place // search_module.BLOCK_DOCS
+    new = np.append(True, (np.diff(term) != 0) | (np.diff(block) != 0))
+    first = np.append(True, np.diff(term) != 0)
+    row = dict(doc_ids=np.arange(300)[::-1].copy(), lengths=np.array([len(h) for h in held]), terms=term[first], first_entry=(np.cumsum(new) - 1)[first], entry_block=block[new],
+               entry_posting=np.flatnonzero(new), place=place, count=np.ones(len(place), np.int32))
+    shard = search_module._Shard(row, 20.0)
+    assert 0 < len(shard.impacts) < len(shard.terms)
+    asked = [np.unique(rng.integers(0, len(shard.terms), k)) for k in (0, 1, 3, 40, 200)] * 4
+    of, at = np.repeat(np.arange(20), [len(a) for a in asked]), np.concatenate(asked)
+    weight = rng.random(len(at))
+    end = np.append(np.flatnonzero(first)[1:], len(place))
+    for cells in (1, 700, 1 << 20):
+        monkeypatch.setattr(search_module, "BATCH_CELLS", cells)
+        floor = np.zeros(20)
+        got = defaultdict(list)
+        for q, p, s in zip(*shard.search(20, of, at, weight, floor, 5)):
+            got[q].append((round(s, 6), shard.doc_ids[p]))
+        for q in range(20):
+            scores = np.zeros(300)
+            for t, w in zip(at[of == q], weight[of == q]):
+                hit = slice(np.flatnonzero(first)[t], end[t])
+                scores[place[hit]] += w * shard.impact[hit]
+            best = sorted(((round(s, 6), d) for s, d in zip(scores, shard.doc_ids) if s > 0), key=lambda x: (-x[0], x[1]))[:5]
+            assert [d for _, d in got[q]] == [d for _, d in best] and all(abs(x[0] - y[0]) < 2e-6 for x, y in zip(got[q], best))
+            assert abs(floor[q] - np.sort(scores)[-5]) < 1e-9
+        assert len(shard.search(20, of, at, weight, np.full(20, 1e6), 5)[0]) == 0
+
+
 def test_shards_are_bounded_by_their_postings(spark):
     rows = [(i, " ".join(f"w{(i * 7 + j) % 400}" for j in range(100))) for i in range(300)] + [(300, " ".join(f"w{j}" for j in range(400)))]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
