@@ -238,7 +238,8 @@ def test_odd_sketch_bounds_the_difference():
         assert bits <= 2 * differ and bits >= differ * 0.8
 
 
-def test_copies_of_one_text_are_not_all_paired(spark, monkeypatch):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_copies_of_one_text_are_not_all_paired(spark, monkeypatch, percent):
     """A large group of near copies, most too far from each other: pairs that are read in full stay in proportion to the group."""
     rng, base, counts = np.random.default_rng(4), [f"w{i}" for i in range(150)], Counter()
     rows = []
@@ -255,8 +256,8 @@ def test_copies_of_one_text_are_not_all_paired(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(nd, "materialize", counted)
-    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 85).collect()
-    want = brute_groups(rows, 85)
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent).collect()
+    want = brute_groups(rows, percent)
     assert {r.doc_id: r.component_id for r in got} == {i: component for i, _, component in want}
     assert counts["near"] < 5 * len(rows)
 
