@@ -443,6 +443,40 @@ def test_shards_are_bounded_by_their_postings(spark):
     assert sorted(search(index, queries).collect()) == sorted(search(materialize(build_index(df), "index"), queries).collect())
 
 
+def test_queries_of_many_partitions_are_sent_together(spark, monkeypatch):
+    """However many partitions the queries are dealt over, they are sent in as few blocks as the bounds allow."""
+    rows = [(q, (q % 40) << 32, [(t, 1.0) for t in range(4)]) for q in range(120)]
+    weighted = spark.createDataFrame(rows, "query_id long, block long, terms array<struct<term: long, weight: double>>")
+    assert search_module._query_blocks(weighted) == [(0, 39 << 32)]
+    monkeypatch.setattr(search_module, "QUERY_BLOCK", 60)
+    assert search_module._query_blocks(weighted) == [(0, 19 << 32), (20 << 32, 39 << 32)]
+    monkeypatch.setattr(search_module, "QUERY_BYTES", 16 * 120)
+    assert len(search_module._query_blocks(weighted)) == 4
+
+
+def test_a_task_returns_one_top_of_all_its_shards(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 60, 12))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    index = materialize(build_index(df, shard_docs=20), "index").coalesce(1)
+    assert index.count() == 10
+    queries = search_module._query_terms(df.filter("doc_id < 30"), "doc_id", "text").select("query_id", F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1.0).alias("weight"))).alias("terms"))
+    found = search_module._search_block(index, spark.sparkContext.broadcast(queries.toArrow()), 12.0, 3).collect()
+    assert len(found) == 90 and {r.query_id for r in found} == set(range(30))
+
+
+def test_scores_that_single_precision_cannot_tell_apart(spark):
+    """Scores that differ by less than single precision resolves are ranked as double precision has them."""
+    places, docs = np.arange(64, dtype=np.int32), np.arange(64)[::-1].copy()
+    row = dict(doc_ids=docs, lengths=np.full(64, 10**7) + np.arange(64), terms=np.array([7]), first_entry=np.array([0]), entry_block=np.array([0], np.int32),
+               entry_posting=np.array([0]), place=places, count=np.full(64, 3, np.int32))
+    shard = search_module._Shard(row, 10.0**7)
+    assert len(np.unique(shard.impacts)) < 64 == len(np.unique(shard.impact))
+    floor = np.zeros(1)
+    _, place, score = shard.search(1, np.array([0]), np.array([0]), np.array([5000.0]), floor, 5)
+    assert place.tolist() == list(range(5)) and np.array_equal(score, 5000.0 * shard.impact[:5]) and floor[0] == score[-1]
+
+
 # ---- the SQL of those that have one, and the pipeline ----
 
 LLM = [n for n in entry.queries() if re.match(r"op\d", n)]
