@@ -461,7 +461,7 @@ def test_a_task_returns_one_top_of_all_its_shards(spark):
     index = materialize(build_index(df, shard_docs=20), "index").coalesce(1)
     assert index.count() == 10
     queries = search_module._query_terms(df.filter("doc_id < 30"), "doc_id", "text").select("query_id", F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1.0).alias("weight"))).alias("terms"))
-    found = search_module._search_block(index, spark.sparkContext.broadcast(queries.toArrow()), 12.0, 3).collect()
+    found = search_module._search_block(index, spark.sparkContext.broadcast(search_module._query_arrays(queries.toArrow())), 12.0, 3).collect()
     assert len(found) == 90 and {r.query_id for r in found} == set(range(30))
 
 
