@@ -10,7 +10,9 @@ from collections import Counter, defaultdict
 
 import check
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -477,6 +479,46 @@ def test_scores_that_single_precision_cannot_tell_apart(spark):
     assert place.tolist() == list(range(5)) and np.array_equal(score, 5000.0 * shard.impact[:5]) and floor[0] == score[-1]
 
 
+def test_a_task_holds_one_shard_and_one_block_of_queries(spark, monkeypatch):
+    """The index is written a row at a time, and a block of queries is dropped everywhere when it has been answered."""
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 40}" for j in range(12))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    index = search_module.write_index(df, shard_docs=25)
+    held = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    assert sorted(m.row_group(i).num_rows for m in held for i in range(m.num_row_groups)) == [1] * 8
+    labels, ended, destroy = [], [], Broadcast.destroy
+    monkeypatch.setattr(search_module, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(search_module, "materialize", lambda df, label: (labels.append(label), materialize(df, label))[1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda self: (ended.append(self), destroy(self)))
+    queries = df.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
+    assert search(index, queries).count() == 100
+    assert len(ended) == len({id(x) for x in ended}) == labels.count("tops") > 1
+
+
+def test_long_documents_have_no_wide_table():
+    """The table of frequent terms has at most COMMON cells for each posting, also where a shard has few documents."""
+    place = np.tile(np.arange(3, dtype=np.int32), 500)
+    row = dict(doc_ids=np.arange(3), lengths=np.full(3, 500), terms=np.arange(500), first_entry=np.arange(500), entry_posting=np.arange(500) * 3, place=place, count=np.ones(1500, np.int32))
+    shard = search_module._Shard(row, 500.0)
+    assert shard.impacts.size <= search_module.COMMON * len(place)
+    _, found, score = shard.search(1, np.zeros(500, np.int64), np.arange(500), np.ones(500), np.zeros(1), 2)
+    assert found.tolist() == [0, 1] and np.allclose(score, shard.impact[0] * 500)
+
+
+def test_equal_documents_are_scored_in_bounded_pieces(monkeypatch):
+    """However many documents are as good as the last of the top, few of their postings are held at once."""
+    docs, terms = 512, 40
+    row = dict(doc_ids=np.arange(docs)[::-1].copy(), lengths=np.full(docs, terms), terms=np.arange(terms), first_entry=np.arange(terms), entry_posting=np.arange(terms) * docs,
+               place=np.tile(np.arange(docs, dtype=np.int32), terms), count=np.ones(docs * terms, np.int32))
+    shard = search_module._Shard(row, float(terms))
+    held, ranges = [], search_module._ranges
+    monkeypatch.setattr(search_module, "BATCH_CELLS", 1 << 10)
+    monkeypatch.setattr(search_module, "_ranges", lambda begin, sizes: (held.append(int(sizes.sum())), ranges(begin, sizes))[1])
+    query, place, score = shard.search(2, np.repeat([0, 1], terms), np.tile(np.arange(terms), 2), np.repeat([1.0, 2.0], terms), np.zeros(2), 5)
+    assert max(held) <= 1 << 10 and sum(held) == 2 * docs * terms
+    assert shard.doc_ids[place].tolist() == [0, 1, 2, 3, 4] * 2 and np.allclose(score, np.repeat([1.0, 2.0], 5) * shard.impact[0] * terms)
+
+
 # ---- the SQL of those that have one, and the pipeline ----
 
 LLM = [n for n in entry.queries() if re.match(r"op\d", n)]
